@@ -41,6 +41,8 @@ def fold_stream(digests: DataFrame, checkpoint: str, out: str, files_per_batch:
     overwrites its own files, so a restart from `checkpoint` is safe."""
     spark = digests.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", _PROVIDER)
+    # small stores would each reserve several megabytes of disk for their logs
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     state = digests.groupBy("digest").agg(F.max(F.struct("doc_id", "file")).alias("kept"), F.count("*").alias("group_size"))
 
     def save(changed: DataFrame, batch: int) -> None:
