@@ -24,21 +24,22 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import Powers, id_and_bytes, mix, partitions
 
 #: Symbols whose windows are looked at together; a longer text is cut at multiples of it.
-SEGMENT = 1 << 18
+SEGMENT = 1 << 16
 _LOW48 = np.uint64((1 << 48) - 1)
 
 
-def _leftmost_least(v: np.ndarray, width: int) -> np.ndarray:
-    """For each i, the position of the first minimum of v[i : i + width]."""
-    low, at, span = v, np.arange(len(v), dtype=np.int32), 1
+def _leftmost_least(values: np.ndarray, width: int) -> np.ndarray:
+    """For each i, the position of the first minimum, by the upper 32 bits, of
+    values[i : i + width]. The position rides in the lower bits."""
+    low = values & np.uint64(0xFFFFFFFF00000000)
+    low |= np.arange(len(values), dtype=np.uint64)
+    span = 1
     while 2 * span <= width:
-        take = low[span:] < low[:-span]
-        low, at = np.minimum(low[span:], low[:-span]), np.where(take, at[span:], at[:-span])
+        low = np.minimum(low[span:], low[:-span])
         span *= 2
-    rest = width - span
-    if rest:
-        at = np.where(low[rest:] < low[:-rest], at[rest:], at[:-rest])
-    return at
+    if width > span:
+        low = np.minimum(low[width - span :], low[: span - width])
+    return low.astype(np.uint32)
 
 
 def _segments(offsets: np.ndarray):
@@ -72,7 +73,7 @@ def fragments(symbols: np.ndarray, offsets: np.ndarray, window: int, gram: int,
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum((symbols[begin:stop].astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
         grams = mix((sums[gram:] - sums[:-gram]) * down[: n - gram + 1])
-        anchor = _leftmost_least((grams >> np.uint64(32)).astype(np.uint32), width)
+        anchor = _leftmost_least(grams, width)
         count = min(len(anchor), end - begin)
         anchor = anchor[:count]
         valid = np.ones(count, bool)
@@ -142,34 +143,30 @@ def _from_six(raw: np.ndarray) -> np.ndarray:
 # -- the exchanges --------------------------------------------------------------
 
 
-def _by_bucket(h: np.ndarray, buckets: int):
-    """Distinct grams in order of bucket and 48-bit print; where each bucket begins."""
-    distinct = np.unique(h)
-    bucket = bucket_of(distinct, buckets)
-    order = np.lexsort((distinct & _LOW48, bucket))
-    distinct, bucket = distinct[order], bucket[order]
-    return distinct, np.searchsorted(bucket, np.arange(buckets + 1))
+def _prints(h: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket (upper 16 bits) and 48 bits of each gram's hash; chance equals only
+    let a fragment be compared in vain."""
+    return bucket_of(h, buckets).astype(np.uint64) << np.uint64(48) | h & _LOW48
+
+
+def _edges(prints: np.ndarray, buckets: int) -> np.ndarray:
+    return np.searchsorted(prints, np.arange(buckets + 1, dtype=np.uint64) << np.uint64(48))
 
 
 def send_grams(block: int, h: np.ndarray, owner: np.ndarray, buckets: int) -> pa.Table:
     """Rows (bucket, block, cell): prints of the block's grams, and a bit for
     each that has more than one owner here."""
-    distinct, begin = _by_bucket(h, buckets)
-    order = np.argsort(h, kind="stable")
-    hs, own = h[order], owner[order]
-    first = np.searchsorted(hs, distinct, "left")
-    if len(hs):
-        group = np.flatnonzero(np.concatenate([[True], hs[1:] != hs[:-1]]))
-        low, high = np.minimum.reduceat(own, group), np.maximum.reduceat(own, group)
-        many = low[np.searchsorted(group, first)] != high[np.searchsorted(group, first)]
-    else:
-        many = np.zeros(0, bool)
+    every = _prints(h, buckets)
+    order, group = distinct_keys(every)
+    if not len(group):
+        return _cells([], ("bucket", "block"))
+    own, distinct = owner[order], every[order[group]]
+    many = np.minimum.reduceat(own, group) != np.maximum.reduceat(own, group)
+    begin = _edges(distinct, buckets)
     rows = []
-    for b in range(buckets):
+    for b in np.flatnonzero(np.diff(begin)).tolist():
         part = slice(begin[b], begin[b + 1])
-        if begin[b] < begin[b + 1]:
-            prints = _six(distinct[part] & _LOW48)
-            rows.append((b, block, int(begin[b + 1] - begin[b]).to_bytes(4, "little") + prints.tobytes() + np.packbits(many[part]).tobytes()))
+        rows.append((b, block, int(begin[b + 1] - begin[b]).to_bytes(4, "little") + _six(distinct[part]).tobytes() + np.packbits(many[part]).tobytes()))
     return _cells(rows, ("bucket", "block"))
 
 
@@ -196,15 +193,16 @@ def shared_grams(table: pa.Table) -> pa.Table:
 
 def wanted(h: np.ndarray, answers: pa.Table, buckets: int) -> np.ndarray:
     """For each fragment, whether its anchor gram was said to be shared."""
-    distinct, begin = _by_bucket(h, buckets)
-    use = np.zeros(len(distinct), bool)
+    every = _prints(h, buckets)
+    order, group = distinct_keys(every)
+    begin = _edges(every[order[group]], buckets)
+    use = np.zeros(len(group), bool)
     for b, cell in zip(answers.column("bucket").to_pylist(), answers.column("cell").to_pylist()):
         n = int(begin[b + 1] - begin[b])
         use[begin[b] : begin[b + 1]] = np.unpackbits(np.frombuffer(cell, np.uint8), count=n).astype(bool)
-    good = np.sort(distinct[use])
-    if not len(good):
-        return np.zeros(len(h), bool)
-    return good[np.minimum(np.searchsorted(good, h), len(good) - 1)] == h
+    out = np.zeros(len(h), bool)
+    out[order] = np.repeat(use, np.diff(np.append(group, len(h))))
+    return out
 
 
 def distinct_keys(key: np.ndarray):
@@ -228,7 +226,7 @@ def exchange(docs: DataFrame, id_col: str, text_col: str, grams, pieces, compare
     (block, bucket, cell); apply(table, found) -> rows of `schema`. The table
     of texts is dealt out once: its exchange is reused by the three readers.
     """
-    n = 4 * partitions(docs.sparkSession)
+    n = min(2 * partitions(docs.sparkSession), (1 << 16) - 1)
     text = id_and_bytes(docs, id_col, text_col)
     text = text.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int"))
     to_bucket, to_block = "bucket int, block int, cell binary", "block int, bucket int, cell binary"

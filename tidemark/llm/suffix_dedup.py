@@ -37,15 +37,20 @@ class Suffixes:
 
     def common(self, x, xi, y, yi, limit):
         """Length of the common extension of suffixes x and y, up to `limit`: binary search on hashes."""
-        got = np.zeros(len(x), np.int64)
-        step = 64
-        while step:
-            to = got + step
-            fits = to <= limit
-            to = np.where(fits, to, got)
-            same = fits & (self.stretch(x, xi, to) == self.stretch(y, yi, to))
-            got = np.where(same, to, got)
-            step //= 2
+        sums, dx, dy = self.sums, self.down[xi], self.down[yi]
+        cx, cy = sums[x] * dx, sums[y] * dy
+        same = sums[x + limit] * dx - cx == sums[y + limit] * dy - cy
+        got = np.where(same, limit, 0)
+        rest = np.flatnonzero(~same)  # these differ before the limit
+        if len(rest):
+            x, y, dx, dy, cx, cy, limit = (v[rest] for v in (x, y, dx, dy, cx, cy, limit))
+            at, step = np.zeros(len(rest), np.int64), 1 << max((int(limit.max()) - 1).bit_length() - 1, 0)
+            while step:
+                to = np.minimum(at + step, limit)
+                same = sums[x + to] * dx - cx == sums[y + to] * dy - cy
+                at = np.where(same, to, at)
+                step //= 2
+            got[rest] = at
         return got
 
     def less(self, x, xi, y, yi, limit):
@@ -244,9 +249,11 @@ def marked(found: pa.Table, key, far, p1):
     said, a, b, *more = (np.concatenate(x) for x in zip(*cells))
     order = np.argsort(said, kind="stable")
     said, a, b, *more = (x[order] for x in (said, a, b, *more))
-    lo, hi = np.searchsorted(said, key, "left"), np.searchsorted(said, key, "right")
-    frag = np.repeat(np.arange(len(key)), hi - lo)
-    pick = gather(lo, hi - lo)
+    lo = np.searchsorted(said, key)
+    hit = np.flatnonzero(said[np.minimum(lo, len(said) - 1)] == key)
+    lo = lo[hit]
+    n = np.searchsorted(said, key[hit], "right") - lo
+    frag, pick = np.repeat(hit, n), gather(lo, n)
     anchor = p1[frag] + far[frag]
     return frag, anchor - b[pick], anchor - a[pick], [x[pick] for x in more]
 
