@@ -71,7 +71,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     if not any(True for _ in rows.head(1)):
         return rows.select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(0).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256")).limit(0)
     state = spark.read.parquet(out).groupBy("digest").agg(F.max_by(F.struct("kept", "group_size"), "batch").alias("s")).select("digest", "s.kept", "s.group_size")
-    joined = rows.select("doc_id", "digest").join(state, "digest").select("doc_id", "digest", F.col("kept.doc_id").alias("keep_id"), F.col("group_size"))
+    state = staged(state.selectExpr("digest", "kept.doc_id keep_id", "group_size"), "exact-entries")
+    # a group with over 1/100,000 of the rows is hot; there are at most 100,000 of them
+    hot = max(1000, rows.count() // 100_000)
+    many, few = F.broadcast(state.where(F.col("group_size") > hot)), state.where(F.col("group_size") <= hot)
+    own = rows.select("doc_id", "digest")
+    joined = own.join(many, "digest").unionByName(own.join(many, "digest", "left_anti").join(few, "digest")).select("doc_id", "digest", "keep_id", "group_size")
     joined = staged(joined, "exact-groups")
     hits = staged(joined.where("group_size > 1").select("doc_id", "digest", "keep_id"), "exact-hits")
     clashes = _clashes(narrow, hits)
