@@ -150,6 +150,22 @@ def _word_odds(seqs, labels, n_types: int) -> np.ndarray:
     return np.where(counts[1] >= 3, np.maximum(odds, 0), 0)
 
 
+def _type_grams(words: list[bytes]):
+    """Buckets of all words' n-grams and of the words themselves, in order of words,
+    and the number of each word's."""
+    data = np.frombuffer(b" ".join(words), np.uint8)
+    starts, ends, _ = words_of(data, np.array([0, len(data)]))
+    buf, at, sizes = _marked(data, starts, ends)
+    owner = np.repeat(np.arange(len(words)), sizes)
+    ids, of = [word_hashes(buf, at[:-1], at[1:], Powers()) >> np.uint64(48)], [np.arange(len(words))]
+    for gram, valid in _gram_ids(buf, at, sizes):
+        ids.append(gram[valid])
+        of.append(owner[valid])
+    of = np.concatenate(of)
+    order = np.argsort(of, kind="stable")
+    return np.concatenate([x.astype(np.uint16) for x in ids])[order], np.bincount(of, minlength=len(words))
+
+
 def fit(texts: list[bytes], labels: np.ndarray, seed: int = 7, steps: int = 500) -> Model:
     """Train on whole texts. Of each text the passage that looks worst is read
     (and, of clean texts, two others): at first by the odds of its words, then
@@ -161,29 +177,22 @@ def fit(texts: list[bytes], labels: np.ndarray, seed: int = 7, steps: int = 500)
         p = float(np.clip(labels.mean(), 0.01, 0.99)) if len(texts) else 0.01
         zero.shift = float(np.log(p / (1 - p)))
         return zero
-    # words as types, each with its buckets
+    # words as types, each with its buckets (of 16 bits)
     types: dict[bytes, int] = {}
     seqs = [np.array([types.setdefault(w, len(types)) for w in t.lower().split()], np.int32) for t in texts]
+    seen = np.bincount(np.concatenate([*seqs, np.zeros(0, np.int32)]), minlength=len(types))
     vocab = list(types)
-    twin = np.array([types.setdefault(_misspell(w, rng), len(types)) for w in vocab], np.int32)
+    twin = np.arange(len(vocab), dtype=np.int32)
+    for i in np.flatnonzero(seen > 1).tolist():
+        twin[i] = types.setdefault(_misspell(vocab[i], rng), len(types))
     twin = np.concatenate([twin, np.arange(len(vocab), len(types), dtype=np.int32)])
     words = list(types)
-    joined = np.frombuffer(b" ".join(words), np.uint8)
-    starts, ends, _ = words_of(joined, np.array([0, len(joined)]))
-    buf, at, sizes = _marked(joined, starts, ends)
-    pw, owner = Powers(), np.repeat(np.arange(len(words), dtype=np.int32), sizes)
-    ids, of = [], []
-    for gram, valid in _gram_ids(buf, at, sizes):
-        ids.append(gram[valid].astype(np.int32))
-        of.append(owner[valid])
-    ids.append((word_hashes(buf, at[:-1], at[1:], pw) >> np.uint64(48)).astype(np.int32))
-    of.append(np.arange(len(words), dtype=np.int32))
-    ids, of = np.concatenate(ids), np.concatenate(of)
-    order = np.argsort(of, kind="stable")
-    ids, of = ids[order], of[order]
-    first = np.searchsorted(of, np.arange(len(words) + 1))
-    grams = np.diff(first)
-    del of, owner, order, buf
+    del types, vocab, seen
+    parts = [_type_grams(words[k : k + 20_000]) for k in range(0, len(words), 20_000)]
+    ids, grams = (np.concatenate(x) for x in zip(*parts))
+    n_words = len(words)
+    del words, parts
+    first = np.concatenate([[0], np.cumsum(grams)])
 
     emb = rng.normal(0, 0.05, (BUCKETS, DIM)).astype(np.float32)
     soft = rng.normal(0, 0.3, (DIM, 2))
@@ -192,12 +201,15 @@ def fit(texts: list[bytes], labels: np.ndarray, seed: int = 7, steps: int = 500)
     balance = np.where(labels == 1, 0.5 / labels.mean(), 0.5 / (1 - labels.mean()))
     check = rng.random(len(seqs)) < 0.2  # a fifth sets slope and shift only
     use = [i for i, s in enumerate(seqs) if len(s) and not check[i]]
-    odds = _word_odds([seqs[i] for i in use], labels[use], len(words))
+    odds = _word_odds([seqs[i] for i in use], labels[use], n_words)
     epochs = max(9, -(-steps * 256 // len(texts)))
 
     def lean():
-        t = (emb @ (soft[:, 1] - soft[:, 0])).astype(np.float32)
-        return np.add.reduceat(t[ids], first[:-1]) / grams
+        t, out = (emb @ (soft[:, 1] - soft[:, 0])).astype(np.float32), []
+        for k in range(0, n_words, 50_000):
+            f = first[k : k + 50_001]
+            out.append(np.add.reduceat(t[ids[f[0] : f[-1]]], f[:-1] - f[0]) / grams[k : k + 50_000])
+        return np.concatenate(out)
 
     for epoch in range(epochs):
         rng.shuffle(use)
