@@ -75,8 +75,17 @@ def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def bounded_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Hand texts to Python in batches of at most `rows`, so that a worker's
+    memory does not follow the session's larger default."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, rows)
+
+
 def id_and_bytes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The two columns an operator needs, under fixed names; null text is empty."""
+    bounded_batches(docs.sparkSession)
     return docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(text_col).cast("string").cast("binary"), F.lit(b"")).alias("text"),

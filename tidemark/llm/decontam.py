@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import Powers, flat, id_and_bytes, ids_of, mix, word_hashes
+from tidemark.llm.common import Powers, bounded_batches, flat, id_and_bytes, ids_of, mix, word_hashes
 
 WINDOW = 8
 #: A window needs so many tokens that are no placeholders.
@@ -254,6 +254,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """`docs` less the contaminated ones; every other row stays as it is."""
+    bounded_batches(docs.sparkSession)
     column = docs.columns.index(text_col)
     for index in _indexes(benchmark, "item_id", "text"):
         docs = docs.mapInArrow(lambda b, i=index: _keep_batches(b, i, column), docs.schema)

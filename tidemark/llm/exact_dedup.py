@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import flat, scratch, small_or_shuffled, staged
+from tidemark.llm.common import bounded_batches, flat, scratch, small_or_shuffled, staged
 
 _PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _DIGESTS = "doc_id long, digest binary, file string"
@@ -64,6 +64,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     spark = docs.sparkSession
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string").cast("binary"), F.lit(b"")).alias("text"))
+    bounded_batches(docs.sparkSession)
     rows = staged(narrow.withColumn("file", F.input_file_name()).mapInArrow(_digest_batches, _DIGESTS), "digests")
     out = scratch(spark, "exact-state")
     source = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 10_000).parquet(rows.inputFiles()[0].rpartition("/")[0])

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import bounded_batches
+
 # Kinds of HTML elements.
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = set("script style noscript template textarea iframe svg math title select object canvas audio video".split())
@@ -387,6 +389,7 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     give an empty text; null identifiers and urls are kept; repeated rows give
     equal rows; other columns are ignored; an empty table gives none.
     """
+    bounded_batches(pages.sparkSession)
     chain = chain or trained()
     weights, moves = chain.weights, chain.moves
     narrow = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))

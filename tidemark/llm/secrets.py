@@ -15,7 +15,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import flat, id_and_bytes
+from tidemark.llm.anchors import gather
+from tidemark.llm.common import flat, id_and_bytes, words_of
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: How the vocabulary's public definition cuts text before merging.
@@ -33,14 +34,10 @@ _HEXES = re.compile(rb"[0-9a-f]+|[0-9A-F]+")
 _DIGEST_LENGTHS = {32, 40, 56, 64, 96, 128}
 
 
-def _table(chars: bytes) -> np.ndarray:
-    out = np.zeros(256, bool)
-    out[np.frombuffer(chars, np.uint8)] = True
-    return out
-
-
-_HEX = _table(b"0123456789abcdef")
-_RUN = _table(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-")
+_HEX_RUN = re.compile(rb"[0-9a-f]{16,}")
+_KEY_RUN = re.compile(rb"[A-Za-z0-9+/_=-]{%d,}" % MIN_RUN)
+#: Texts looked at together, in bytes; a text stays whole.
+_PIECE = 1 << 20
 _encoders: dict = {}
 
 
@@ -54,21 +51,23 @@ def _encoder(path: str):
     return _encoders[path]
 
 
-def _runs(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, least: int):
-    """Start and end of maximal runs of at least `least` bytes, none across texts."""
-    inside = table[data]
-    if len(data) < least:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    turns = np.flatnonzero(inside[1:] != inside[:-1]) + 1
-    edges = offsets[1:-1]
-    edges = edges[(edges > 0) & (edges < len(data))]
-    cuts = np.unique(np.concatenate([[0], turns, edges, [len(data)]]))
-    starts, ends = cuts[:-1], cuts[1:]
-    use = inside[starts] & (ends - starts >= least)
-    return starts[use], ends[use]
+def _runs(data: np.ndarray, offsets: np.ndarray, *patterns):
+    """(start, end) of each pattern's matches. They hold no white space and have
+    16 bytes at least, so only words of that length are searched."""
+    starts, ends, _ = words_of(data, offsets)
+    long = ends - starts >= 16
+    starts, size = starts[long], (ends - starts)[long]
+    at = np.cumsum(size + 1) - (size + 1)
+    joined = np.full(int((size + 1).sum()), 32, np.uint8)
+    joined[gather(at, size)] = data[gather(starts, size)]
+    raw = joined.tobytes()
+    for pattern in patterns:
+        found = np.array([m.span() for m in pattern.finditer(raw)], np.int64).reshape(-1, 2)
+        word = np.searchsorted(at, found[:, 0], "right") - 1
+        yield found + (starts - at)[word][:, None] if len(found) else found
 
 
-def _is_random(run: bytes, encode, ratio: float) -> bool:
+def _is_random(run: bytes, vocabulary: str, ratio: float) -> bool:
     """Few characters per token, and no digest, UUID or chain of words."""
     if _HEXES.fullmatch(run) and len(run) in _DIGEST_LENGTHS or _UUID.fullmatch(run):
         return False
@@ -78,53 +77,67 @@ def _is_random(run: bytes, encode, ratio: float) -> bool:
     kinds = bool(re.search(rb"[0-9]", core)) + bool(re.search(rb"[a-z]", core)) + bool(re.search(rb"[A-Z]", core))
     if kinds < 2 or len(set(core)) < 8:
         return False
-    return len(core) < ratio * len(encode(core.decode("ascii")))
+    return len(core) < ratio * len(_encoder(vocabulary).encode_ordinary(core.decode("ascii")))
 
 
 def _secret_batches(batches, vocabulary, ratio):
-    encode = None
     for batch in batches:
         data, offsets = flat(batch.column(1))
-        raw = data.tobytes()
-        low = raw.lower()
-        offs = offsets.tolist()
-        found: dict[int, list] = {}
-        for kind, (s, e) in {"hex": _runs(data, offsets, _HEX, 16), "random": _runs(data, offsets, _RUN, MIN_RUN)}.items():
-            owner = np.searchsorted(offsets, s, "right") - 1
-            for i, a, b in zip(owner.tolist(), s.tolist(), e.tolist()):
-                found.setdefault(i, []).append((kind, a, b))
-        for i, (a, b) in enumerate(zip(offs[:-1], offs[1:])):
-            if (low.find(b":", a, b) >= 0 or low.find(b"=", a, b) >= 0) and any(low.find(k, a, b) >= 0 for k in _KEYS):
-                for m in _ASSIGN.finditer(low, a, b):
-                    if m.end(1) - m.start(1) >= 12:
-                        found.setdefault(i, []).append(("assign", *m.span()))
-            if raw.find(b"AKIA", a, b) >= 0:
-                for m in _ACCESS.finditer(raw, a, b):
-                    if m.end() - m.start() >= 18:
-                        found.setdefault(i, []).append(("access", *m.span()))
-        n = {k: np.zeros(len(offs) - 1, np.int64) for k in (*KINDS, "random")}
-        none = hashlib.sha256(b"").hexdigest()
-        digests, spans = [none] * (len(offs) - 1), [""] * (len(offs) - 1)
-        for i, hits in found.items():
-            base = [h for h in hits if h[0] != "random"]
-            taken = sorted((a, b) for _, a, b in base)
-            for kind, a, b in hits:
-                if kind == "random" and not any(x < b and a < y for x, y in taken):
-                    encode = encode or _encoder(vocabulary).encode_ordinary
-                    if _is_random(raw[a:b], encode, ratio):
-                        base.append((kind, a, b))
-            if not base:
-                continue
-            at = offs[i]
-            text = data[at : offs[i + 1]]
-            heads = np.concatenate([[0], np.cumsum((text & 0xC0) != 0x80)])  # code points before each byte
-            rank = {k: j for j, k in enumerate((*KINDS, "random"))}
-            named = [(k, f"{k}:{s}:{e}") for s, _, k, e in sorted((int(heads[a - at]), rank[k], k, int(heads[b - at])) for k, a, b in base)]
-            for k, _ in named:
-                n[k][i] += 1
-            digests[i] = hashlib.sha256(",".join(x for k, x in named if k != "random").encode()).hexdigest()
-            spans[i] = ",".join(x for _, x in named)
-        yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), *(pa.array(n[k]) for k in KINDS), pa.array(digests, pa.string()), pa.array(spans, pa.string()), pa.array(n["random"])], names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_random"])
+        n, at, rows = batch.num_rows, 0, []
+        while at < n:
+            to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + _PIECE, "right")) - 1)
+            rows.append(_secret_rows(data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at], vocabulary, ratio))
+            at = to
+        if n:
+            counts, digests, spans = (np.concatenate([r[0] for r in rows]), sum((r[1] for r in rows), []), sum((r[2] for r in rows), []))
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), *(pa.array(counts[:, k]) for k in range(3)), pa.array(digests, pa.string()), pa.array(spans, pa.string()), pa.array(counts[:, 3])], names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_random"])
+
+
+def _secret_rows(data: np.ndarray, offsets: np.ndarray, vocabulary: str, ratio: float):
+    """(counts by kind, digests, spans) of concatenated texts."""
+    raw = data.tobytes()
+    low, offs = raw.lower(), offsets.tolist()
+    found: dict[int, list] = {}
+    for kind, runs in zip(("hex", "random"), _runs(data, offsets, _HEX_RUN, _KEY_RUN)):
+        owner = np.searchsorted(offsets, runs[:, 0], "right") - 1
+        for i, (a, b) in zip(owner.tolist(), runs.tolist()):
+            found.setdefault(i, []).append((kind, a, b))
+    for i, (a, b) in enumerate(zip(offs[:-1], offs[1:])):
+        if (low.find(b":", a, b) >= 0 or low.find(b"=", a, b) >= 0) and any(low.find(k, a, b) >= 0 for k in _KEYS):
+            for m in _ASSIGN.finditer(low, a, b):
+                if m.end(1) - m.start(1) >= 12:
+                    found.setdefault(i, []).append(("assign", *m.span()))
+        if raw.find(b"AKIA", a, b) >= 0:
+            for m in _ACCESS.finditer(raw, a, b):
+                if m.end() - m.start() >= 18:
+                    found.setdefault(i, []).append(("access", *m.span()))
+    rank = {k: j for j, k in enumerate((*KINDS, "random"))}
+    counts = np.zeros((len(offs) - 1, 4), np.int64)
+    digests, spans = [hashlib.sha256(b"").hexdigest()] * (len(offs) - 1), [""] * (len(offs) - 1)
+    for i, hits in found.items():
+        base = [h for h in hits if h[0] != "random"]
+        last = 0
+        taken = []  # disjoint stretches of base spans, in order
+        for a, b in sorted((a, b) for _, a, b in base):
+            if taken and a < taken[-1][1]:
+                taken[-1][1] = max(taken[-1][1], b)
+            else:
+                taken.append([a, b])
+        for _, a, b in sorted(h for h in hits if h[0] == "random"):
+            while last < len(taken) and taken[last][1] <= a:
+                last += 1
+            if not (last < len(taken) and taken[last][0] < b) and _is_random(raw[a:b], vocabulary, ratio):
+                base.append(("random", a, b))
+        if not base:
+            continue
+        at = offs[i]
+        heads = np.concatenate([[0], np.cumsum((data[at : offs[i + 1]] & 0xC0) != 0x80)])  # code points before each byte
+        named = [(k, f"{k}:{s}:{e}") for s, _, k, e in sorted((int(heads[a - at]), rank[k], k, int(heads[b - at])) for k, a, b in base)]
+        for k, _ in named:
+            counts[i, rank[k]] += 1
+        digests[i] = hashlib.sha256(",".join(x for k, x in named if k != "random").encode()).hexdigest()
+        spans[i] = ",".join(x for _, x in named)
+    return counts, digests, spans
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY, ratio: float = MAX_RATIO) -> DataFrame:
