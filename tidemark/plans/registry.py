@@ -4,3 +4,22 @@ from __future__ import annotations
 
 QUERIES: dict = {}
 ORACLE: dict = {}
+
+
+def query(name: str, sql: str | None = None):
+    """Register a function (spark, sf_dir) -> DataFrame, with its SQL if SQL can express it."""
+
+    def add(f):
+        QUERIES[name] = f
+        if sql is not None:
+            ORACLE[name] = sql
+        return f
+
+    return add
+
+
+def _load() -> None:
+    from tidemark.plans import core, ledgers, lookups, models, rollups, samples, tables  # noqa: F401
+
+
+_load()
