@@ -1 +1,73 @@
-"""To come."""
+"""Ledger transitions over orders in the role of videos."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemark.operators import ledger
+from tidemark.plans.lookups import JOBS, jobs
+from tidemark.plans.registry import query
+from tidemark.plans.roles import table
+from tidemark.sources import sinks
+
+
+def _moved(name, sql, change):
+    @query(name, f"WITH {JOBS} SELECT video_id, stage, {sql} FROM jobs")
+    def run(spark, sf_dir):
+        return change(jobs(spark, sf_dir)).select("video_id", "stage", "status", "retry_count")
+
+    return run
+
+
+_moved("op_250_start", "CASE WHEN video_id % 2 = 0 AND status = 'pending' THEN 'in_progress' ELSE status END AS status, retry_count", lambda j: ledger.start(j, F.col("video_id") % 2 == 0))
+_moved("op_251_complete", "CASE WHEN video_id % 2 = 0 AND status = 'in_progress' THEN 'completed' ELSE status END AS status, retry_count", lambda j: ledger.complete(j, F.col("video_id") % 2 == 0))
+_moved("op_252_fail", "CASE WHEN status = 'in_progress' THEN CASE WHEN video_id % 3 = 0 THEN 'pending' ELSE 'failed' END ELSE status END AS status, retry_count + CAST(status = 'in_progress' AS BIGINT) AS retry_count", lambda j: ledger.fail(j, F.lit(True), F.col("video_id") % 3 == 0))
+_moved("op_253_give_back", "CASE WHEN video_id % 2 = 0 AND status = 'in_progress' THEN 'pending' ELSE status END AS status, retry_count", lambda j: ledger.give_back(j, F.col("video_id") % 2 == 0))
+_moved("op_254_reset", "CASE WHEN status = 'in_progress' AND discovered_at < TIMESTAMP '1998-01-01' OR status = 'failed' AND stage IN (2, 3, 4) THEN 'pending' ELSE status END AS status, retry_count", lambda j: ledger.reset(j, F.col("discovered_at") < F.expr("timestamp_ntz'1998-01-01 00:00:00'"), (2, 3, 4)))
+
+
+@query("op_180_181_job_order", f"WITH {JOBS}, r AS (SELECT j.* FROM jobs j LEFT JOIN jobs p ON p.video_id = j.video_id AND p.stage = j.stage - 1 WHERE j.status = 'pending' AND (j.stage = 1 OR p.status = 'completed')) SELECT video_id, stage, priority_score FROM r ORDER BY priority_score DESC, discovered_at, video_id LIMIT 100")
+def op_180(spark, sf_dir):
+    return ledger.ready(jobs(spark, sf_dir), 100).select("video_id", "stage", "priority_score")
+
+
+@query("op_182_258_priority", "SELECT o_orderkey, round((CASE year(o_orderdate) WHEN 1997 THEN 3 WHEN 1998 THEN 2 ELSE 0 END) * 1000.0 + (CASE WHEN contains(o_orderpriority, 'URGENT') THEN 9 WHEN contains(o_orderpriority, 'HIGH') THEN 5 ELSE 0 END) * 10.0 + greatest(0, 365 - (dayofyear(o_orderdate) - 1)) / 365.0, 6) AS score FROM orders")
+def op_182(spark, sf_dir):
+    p = ledger.priority(F.year("o_orderdate"), F.col("o_orderdate"), F.col("o_orderpriority"), {1997: 3, 1998: 2}, {"urgent": 9, "high": 5})
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.round(p, 6).alias("score"))
+
+
+@query("op_255_update_known", "SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN -1.0 ELSE c_acctbal END AS c_acctbal, c_mktsegment FROM customer")
+def op_255(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    change = c.where("c_custkey % 2 = 0").select("c_custkey", F.when(F.col("c_custkey") % 4 == 0, -1.0).alias("c_acctbal"))
+    return ledger.update_known(c, change, ["c_custkey"])
+
+
+@query("op_256_batch_fetch", f"WITH {JOBS} SELECT video_id, stage FROM jobs WHERE status IN ('pending', 'failed') AND stage = 3 AND station IN ('1-URGENT', '2-HIGH')")
+def op_256(spark, sf_dir):
+    return jobs(spark, sf_dir).where(F.col("status").isin("pending", "failed") & (F.col("stage") == 3) & F.col("station").isin("1-URGENT", "2-HIGH")).select("video_id", "stage")
+
+
+@query("op_257_all_done", f"WITH {JOBS} SELECT count(*) FILTER (stage = 4 AND status NOT IN ('completed', 'skipped')) AS unfinished, unfinished = 0 AS all_done FROM jobs")
+def op_257(spark, sf_dir):
+    return ledger.all_done(jobs(spark, sf_dir))
+
+
+@query("op_259_migrate", "SELECT n_nationkey, CAST(NULL AS VARCHAR) AS note FROM nation")
+def op_259(spark, sf_dir):
+    return ledger.migrate(table(spark, sf_dir, "nation"), {"n_name": "string", "note": "string"}).select("n_nationkey", "note")
+
+
+@query("op_024_025_register", "SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'known' ELSE 'pending' END AS status, CAST(c_custkey % 7 AS BIGINT) AS score FROM customer")
+def op_024(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    old = c.where("c_custkey % 3 = 0").select("c_custkey", F.lit("known").alias("status"), F.lit(0).cast("bigint").alias("score"))
+    new = c.select("c_custkey", F.lit("pending").alias("status"), (F.col("c_custkey") % 7).alias("score"))
+    return sinks.register(old, new, ["c_custkey"], ["status"])
+
+
+@query("op_026_state", """SELECT 'k' || n_nationkey AS key, CASE WHEN n_nationkey = 3 THEN '{"value":9}' ELSE '{"value":1}' END AS value FROM nation""")
+def op_026(spark, sf_dir):
+    old = table(spark, sf_dir, "nation").select(F.concat(F.lit("k"), F.col("n_nationkey").cast("string")).alias("key"), F.lit('{"value":1}').alias("value"), F.lit("2024").alias("updated_at"))
+    return sinks.set_state(old, "k3", 9, "2025").select("key", "value")
