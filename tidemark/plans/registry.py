@@ -19,7 +19,7 @@ def query(name: str, sql: str | None = None):
 
 
 def _load() -> None:
-    from tidemark.plans import core, ledgers, lookups, models, rollups, samples, tables  # noqa: F401
+    from tidemark.plans import core, ledgers, lookups, models, rollups, samples, streams, tables  # noqa: F401
 
 
 _load()
