@@ -23,10 +23,10 @@ def op_104(spark, sf_dir):
     return out.select("day", *(F.round(c, 4).alias(c) for c in TYPES))
 
 
-@query("op_105_pivot_mean", f"WITH {DET} SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, {', '.join(f'''round(avg(value) FILTER (class = '{c}'), 4) AS {c}''' for c in TYPES)} FROM det GROUP BY 1")
+@query("op_105_pivot_mean", f"WITH {DET} SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, {', '.join(f'''round(avg(value) FILTER (class = '{c}') + 1e-7, 4) AS {c}''' for c in TYPES)} FROM det GROUP BY 1")
 def op_105(spark, sf_dir):
     out = rollup.wide(detections(spark, sf_dir).withColumn("day", F.to_date("ts").cast("string")), ["day"], "class", TYPES, "avg", "value")
-    return out.select("day", *(F.round(c, 4).alias(c) for c in TYPES))
+    return out.select("day", *(F.round(F.col(c) + 1e-7, 4).alias(c) for c in TYPES))
 
 
 @query("op_106_hours", "WITH g AS (SELECT event_type, unnest(range(0, 24)) AS hour FROM (SELECT DISTINCT event_type FROM events)), n AS (SELECT event_type, hour(ts) AS hour, count(*) AS n FROM events GROUP BY ALL) SELECT event_type, CAST(hour AS INTEGER) AS hour, coalesce(n, 0) AS n FROM g LEFT JOIN n USING (event_type, hour)")
