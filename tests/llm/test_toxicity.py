@@ -15,7 +15,7 @@ def made():
     rng = np.random.default_rng(0)
     plain = ["".join(rng.choice(list("aeioulnrstdm"), int(rng.integers(2, 9)))) for _ in range(600)]
     rows = []
-    for k in range(900):
+    for k in range(2400):
         w = list(rng.choice(plain, int(rng.integers(5, 200))))
         toxic = k % 6 == 0
         for _ in range(int(rng.integers(1, 4)) if toxic else 0):
@@ -26,7 +26,7 @@ def made():
 
 @pytest.fixture(scope="module")
 def tables(spark, made):
-    docs = spark.createDataFrame([(i, t, "en", "s", 0.5, 1) for i, t, _ in made] + [(2000, "", "en", "s", 0.1, 1), (2001, None, None, None, None, None), (None, "you idiot", "en", "s", 0.1, 1), (5, made[5][1], "en", "s", 0.1, 1)], "doc_id long, text string, lang string, source string, _score double, predicted int")
+    docs = spark.createDataFrame([(i, t, "en", "s", 0.5, 1) for i, t, _ in made] + [(9000, "", "en", "s", 0.1, 1), (9001, None, None, None, None, None), (None, "you idiot", "en", "s", 0.1, 1), (5, made[5][1], "en", "s", 0.1, 1)], "doc_id long, text string, lang string, source string, _score double, predicted int")
     labels = spark.createDataFrame([(i, 1, y) for i, _, y in made] + [(None, 1, 1), (3, 0, None)], "doc_id long, quality int, toxic int")
     return docs, labels
 
@@ -41,16 +41,25 @@ def test_scores(tables, made):
     hit = sum(r.predicted for r in held if truth[r.doc_id])
     assert hit >= 0.9 * sum(truth[r.doc_id] for r in held) and sum(r.predicted for r in held if not truth[r.doc_id]) <= 0.03 * len(held)
     by = {r.doc_id: r for r in rows}
-    assert by[2000].predicted == by[2001].predicted == 0 and by[None].predicted == 1
+    assert by[9000].predicted == by[9001].predicted == 0 and by[None].predicted == 1
 
 
 def test_misspellings(made):
+    """Clean texts with misspelt insults score above almost all clean texts."""
     model = T.fit([t.encode() for _, t, _ in made], np.array([y for *_, y in made]))
-    clean = made[1][1].split()
-    texts = [" ".join([*clean[:10], w, *clean[10:]]).encode() for w in ("idiiot", "worthles", "disgustng", "patheticc", "morron")] + [" ".join(clean).encode()]
+    rng = np.random.default_rng(1)
+    clean = [t.split() for _, t, y in made if not y][:400]
+    bad = ["idiiot", "worthles", "disgustng", "patheticc", "morron"]
+    spoilt = []
+    for w in clean:
+        w = list(w)
+        for x in rng.choice(bad, 3):
+            w.insert(int(rng.integers(0, len(w))), str(x))
+        spoilt.append(w)
+    texts = [" ".join(w).encode() for w in clean + spoilt]
     offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
     scores = T.predict(np.frombuffer(b"".join(texts), np.uint8), offsets, model, T.Powers())
-    assert (scores[:-1] > scores[-1]).all() and (scores[:-1] >= 0.3).sum() >= 4
+    assert np.mean(scores[400:] > np.quantile(scores[:400], 0.95)) > 0.6
 
 
 def test_drop_keeps_columns(tables):

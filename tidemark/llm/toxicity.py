@@ -28,6 +28,9 @@ MAX_POSITIVE, MAX_NEGATIVE, MAX_TEXT = 3000, 6000, 200_000
 THRESHOLD = 0.3
 #: Step of the embeddings.
 RATE = 1.5
+#: Share of words misspelt in training, ways in which a telling one is, and how
+#: many of these are kept for setting slope and shift.
+MISSPELT, TWINS, HELD_TWINS = 0.1, 32, 8
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -130,7 +133,7 @@ def _misspell(word: bytes, rng) -> bytes:
     """One letter swapped with the next, doubled, dropped or replaced."""
     if len(word) < 4:
         return word
-    i, how = int(rng.integers(1, len(word) - 1)), int(rng.integers(4))
+    i, how = int(rng.integers(0, len(word))), int(rng.integers(4))
     if how == 0:
         return word[:i] + word[i + 1 : i + 2] + word[i : i + 1] + word[i + 2 :]
     if how == 1:
@@ -169,7 +172,7 @@ def _type_grams(words: list[bytes]):
 def fit(texts: list[bytes], labels: np.ndarray, seed: int = 7, steps: int = 500) -> Model:
     """Train on whole texts. Of each text the passage that looks worst is read
     (and, of clean texts, two others): at first by the odds of its words, then
-    by the model itself. A tenth of the words is misspelt on the way."""
+    by the model itself. Some words are misspelt on the way."""
     rng = np.random.default_rng(seed)
     labels = np.asarray(labels, np.float64)
     zero = Model(np.zeros(BUCKETS, np.float32), 0.0, 1.0, 0.0)
@@ -182,10 +185,17 @@ def fit(texts: list[bytes], labels: np.ndarray, seed: int = 7, steps: int = 500)
     seqs = [np.array([types.setdefault(w, len(types)) for w in t.lower().split()], np.int32) for t in texts]
     seen = np.bincount(np.concatenate([*seqs, np.zeros(0, np.int32)]), minlength=len(types))
     vocab = list(types)
-    twin = np.arange(len(vocab), dtype=np.int32)
+    check = rng.random(len(seqs)) < 0.2  # a fifth sets slope and shift only
+    use = [i for i, s in enumerate(seqs) if len(s) and not check[i]]
+    odds = _word_odds([seqs[i] for i in use], labels[use], len(vocab))
+    # misspellings: one of words that occur again, several of telling ones
+    twin = np.repeat(np.arange(len(vocab), dtype=np.int32)[:, None], TWINS, axis=1)
     for i in np.flatnonzero(seen > 1).tolist():
         twin[i] = types.setdefault(_misspell(vocab[i], rng), len(types))
-    twin = np.concatenate([twin, np.arange(len(vocab), len(types), dtype=np.int32)])
+    for i in np.argsort(-odds, kind="stable")[:200].tolist():
+        if odds[i] > 1:
+            twin[i] = [types.setdefault(_misspell(vocab[i], rng), len(types)) for _ in range(TWINS)]
+    odds = np.concatenate([odds, np.zeros(len(types) - len(vocab))])
     words = list(types)
     del types, vocab, seen
     parts = [_type_grams(words[k : k + 20_000]) for k in range(0, len(words), 20_000)]
@@ -199,9 +209,6 @@ def fit(texts: list[bytes], labels: np.ndarray, seed: int = 7, steps: int = 500)
     bias = np.zeros(2)
     seen_e, seen_s, seen_b = np.full(BUCKETS, 1e-6), np.full((DIM, 2), 1e-6), np.full(2, 1e-6)
     balance = np.where(labels == 1, 0.5 / labels.mean(), 0.5 / (1 - labels.mean()))
-    check = rng.random(len(seqs)) < 0.2  # a fifth sets slope and shift only
-    use = [i for i, s in enumerate(seqs) if len(s) and not check[i]]
-    odds = _word_odds([seqs[i] for i in use], labels[use], n_words)
     epochs = max(9, -(-steps * 256 // len(texts)))
 
     def lean():
@@ -228,12 +235,13 @@ def fit(texts: list[bytes], labels: np.ndarray, seed: int = 7, steps: int = 500)
             y, weight = np.array(y), np.array(weight)
             length = np.array([len(c) for c in cuts])
             word = np.concatenate(cuts)
-            word = np.where(rng.random(len(word)) < 0.1, twin[word], word)
+            word = np.where(rng.random(len(word)) < MISSPELT, twin[word, rng.integers(0, TWINS - HELD_TWINS, len(word))], word)
             row = np.repeat(np.arange(len(cuts)), length)
             # the bag as (passage, bucket, share)
             n = grams[word]
             gram = ids[np.repeat(first[word] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())]
             share = np.repeat(1.0 / (n * length[row]), n)
+            share[np.cumsum(n) - n] *= rng.random(len(n)) < 0.8  # a fifth of the words goes by n-grams alone
             begin = np.concatenate([[0], np.cumsum(np.add.reduceat(n, np.concatenate([[0], np.cumsum(length)[:-1]])))[:-1]])
             hidden = np.add.reduceat(emb[gram] * share[:, None].astype(np.float32), begin)
             logits = hidden @ soft + bias
@@ -255,7 +263,11 @@ def fit(texts: list[bytes], labels: np.ndarray, seed: int = 7, steps: int = 500)
     # slope and shift of the worst passage's logit, by Newton steps on whole texts
     typed = lean()
     kept = np.flatnonzero(check) if 0 < labels[check].sum() < check.sum() else np.arange(len(seqs))
+    telling = np.zeros(len(twin), bool)
+    telling[twin[:, 0] != twin[:, -1]] = True
     seqs, labels = [seqs[i] for i in kept], labels[kept]
+    spelt = [np.where(rng.random(len(s)) < np.where(telling[s], 0.8, 0.05), twin[s, rng.integers(TWINS - HELD_TWINS, TWINS, len(s))], s) for s in seqs]
+    seqs, labels = seqs + spelt, np.concatenate([labels, labels])
     begin = np.concatenate([[0], np.cumsum([len(s) for s in seqs])])
     x = _worst(typed[np.concatenate(seqs)] if begin[-1] else np.zeros(0), begin, 0.0)
     model.empty = float(np.median(x[labels == 0]))
