@@ -101,11 +101,33 @@ def test_simhash(docs):
     least = {x: min((rows[k][0] for k in range(len(rows)) if label[k] == x and rows[k][0] is not None), default=None) for x in set(label)}
     want = [(i, format(f, "016x"), least[label[k]]) for k, (i, f) in enumerate(rows)]
     assert by_row(map(tuple, simhash_groups(docs).collect())) == by_row(want)
+    assert by_row(map(tuple, simhash_groups(docs, hot_half=1).collect())) == by_row(want)
     left = near_dedup(docs)
     assert left.columns == docs.columns
     assert {r.doc_id for r in left.collect()} == {x for i, _, x in want if i is not None} | {None}
 
 
+@pytest.mark.parametrize("hot_half", [0, 3, 1024])
+def test_hot_segments_lose_no_link(spark, hot_half):
+    """Many fingerprints that share a segment or nearly do; every linked pair meets under some key."""
+    from tidemark.llm.simhash import _dealt, _probe_batches
+
+    rng = np.random.default_rng(8)
+    low = rng.integers(0, 2**32, 4).astype(np.uint64)
+    high = rng.integers(0, 2**32, 6).astype(np.uint64)
+    fp = [int(h) << 32 | int(l) for h in high for l in low]
+    fp += [f ^ sum(1 << int(x) for x in rng.choice(64, k, replace=False)) for f in fp for k in (1, 2, 3, 3, 4)]
+    fp = sorted(set(fp))
+    nodes = spark.createDataFrame([(int(np.uint64(f).view(np.int64)), i) for i, f in enumerate(fp)], "fp long, node long")
+    probes = nodes.mapInArrow(_probe_batches, "key long, fp long, node long, own boolean")
+    met = {}
+    for r in _dealt(probes, nodes, hot_half).collect():
+        met.setdefault(r.deal, []).append((r.node, r.own))
+    together = {(min(a, b), max(a, b)) for g in met.values() for a, own in g if own for b, _ in g if a != b}
+    want = {(i, j) for i in range(len(fp)) for j in range(i + 1, len(fp)) if (fp[i] ^ fp[j]).bit_count() <= 3}
+    assert want and want <= together
+
+
 def test_fingerprints_at_a_distance(spark):
     """All pairs of planted fingerprints at up to 3 bits are linked, others not."""
     from tidemark.llm.simhash import _link_batches, _probe_batches

@@ -6,6 +6,11 @@ into one table per segment under its own value, and looks up the Hamming ball
 of radius 1 around that value: itself and, since of two values that differ in
 one bit exactly one has it set, the values with one set bit cleared. What meets
 under a key is verified on the complete distance.
+
+A value that more than HOT_HALF fingerprints have is hot, and so are the values
+in reach of its balls. Rows under a hot key are dealt out anew by the bytes of
+their other segment: it differs in at most 3 bits, so one of its 4 bytes is
+equal, and no link is lost. Any other key has at most 33 * HOT_HALF rows.
 """
 
 from __future__ import annotations
@@ -18,13 +23,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import flat, id_and_bytes, ids_of, partitions, staged, without
+from tidemark.llm.common import flat, id_and_bytes, ids_of, partitions, small_or_shuffled, staged, without
 from tidemark.llm.components import components
 
 SEED = 42
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Hashes summed at once; 16-bit counters hold this many.
 _RUN = 60_000
+#: Fingerprints that may share one segment before its rows are dealt out anew.
+HOT_HALF = 1024
 
 
 def _shingle_hashes(text: bytes, width: int):
@@ -153,7 +160,26 @@ def _link_batches(batches, most):
         yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
 
 
-def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, most: int = 3) -> DataFrame:
+def _dealt(probes: DataFrame, nodes: DataFrame, hot_half: int) -> DataFrame:
+    """`probes` with `deal`, the key to meet under: a hot key's rows get one per
+    byte of the other segment, all others the key alone."""
+    plain = F.lit(0)
+    halves = nodes.select(F.explode(F.array(F.expr("fp & 4294967295L"), F.expr("shiftrightunsigned(fp, 32) | 4294967296L"))).alias("half"))
+    hot = halves.groupBy("half").count().where(F.col("count") > hot_half).select("half")
+    cleared = F.transform(F.sequence(F.lit(0), F.lit(31)), lambda b: F.col("half").bitwiseAND(F.bitwise_not(F.call_function("shiftleft", F.lit(1).cast("long"), b))))
+    reach = staged(hot.select(F.explode(F.array_union(F.array("half"), cleared)).alias("hot")).distinct(), "simhash-hot")
+    rows = reach.count()
+    if rows:
+        probes = probes.join(small_or_shuffled(reach, rows), F.col("key") == F.col("hot"), "left")
+        other = F.expr("if(key < 4294967296L, shiftrightunsigned(fp, 32), fp & 4294967295L)")
+        subs = F.array(*[F.lit(1 + 256 * j) + F.expr("shiftrightunsigned(_o, %d) & 255L" % (8 * j)).cast("int") for j in range(4)])
+        probes = probes.withColumn("_o", other).withColumn("_s", F.explode(F.when(F.col("hot").isNull(), F.array(plain)).otherwise(subs)))
+    else:
+        probes = probes.withColumn("_s", plain)
+    return probes.select((F.col("key") * 2048 + F.col("_s")).alias("deal"), "fp", "node", "own")
+
+
+def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, most: int = 3, hot_half: int = HOT_HALF) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id.
 
     Words are runs without ASCII white space, A-Z lower-cased; the fingerprint
@@ -168,8 +194,8 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         raise ValueError("two segments with balls of radius 1 find up to 3 differing bits")
     prints = staged(id_and_bytes(docs, id_col, text_col).mapInArrow(lambda b: _fingerprint_batches(b, width), "doc_id long, fp long"), "simhash")
     nodes = prints.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("node"))
-    probes = nodes.mapInArrow(_probe_batches, "key long, fp long, node long, own boolean")
-    edges = probes.repartition(partitions(docs.sparkSession), "key").mapInArrow(lambda b: _link_batches(b, most), "u long, v long")
+    probes = _dealt(nodes.mapInArrow(_probe_batches, "key long, fp long, node long, own boolean"), nodes, hot_half)
+    edges = probes.repartition(partitions(docs.sparkSession), "deal").mapInArrow(lambda b: _link_batches(b, most), "u long, v long")
     whole = components(edges)
     named = nodes.join(whole, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     return prints.join(named, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
