@@ -179,6 +179,16 @@ def test_suffix(docs):
     assert by_row(map(tuple, suffix_dedup(docs).collect())) == by_row(brute_suffix(corpus()))
 
 
+def test_many_blocks_few_buckets(docs, monkeypatch):
+    """More blocks than buckets, as for large inputs."""
+    from tidemark.llm import anchors
+
+    monkeypatch.setattr(anchors, "BLOCK_BYTES", 3000)
+    monkeypatch.setattr(anchors, "MOST_BUCKETS", 3)
+    assert by_row(map(tuple, suffix_dedup(docs).collect())) == by_row(brute_suffix(corpus()))
+    assert by_row(map(tuple, substring_dedup.substring_dedup(docs).collect())) == by_row(brute_substring(corpus()))
+
+
 def test_suffix_random(spark):
     """Few letters, many repeats, ties and overlaps."""
     rng = np.random.default_rng(6)

@@ -25,6 +25,10 @@ from tidemark.llm.common import Powers, id_and_bytes, mix, partitions
 
 #: Symbols whose windows are looked at together; a longer text is cut at multiples of it.
 SEGMENT = 1 << 16
+#: Bytes of text in one block, on average; blocks grow in number with the corpus.
+BLOCK_BYTES = 32 << 20
+#: Buckets are written in 16 bits.
+MOST_BUCKETS = (1 << 16) - 1
 _LOW48 = np.uint64((1 << 48) - 1)
 
 
@@ -225,10 +229,14 @@ def exchange(docs: DataFrame, id_col: str, text_col: str, grams, pieces, compare
     answers, buckets) -> rows (bucket, block, cell); compare(table) -> rows
     (block, bucket, cell); apply(table, found) -> rows of `schema`. The table
     of texts is dealt out once: its exchange is reused by the three readers.
+    There are two blocks per shuffle partition, or more if the texts' counted
+    bytes need them.
     """
-    n = min(2 * partitions(docs.sparkSession), (1 << 16) - 1)
     text = id_and_bytes(docs, id_col, text_col)
-    text = text.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int"))
+    size = text.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    blocks = max(2 * partitions(docs.sparkSession), -(-size // BLOCK_BYTES))
+    n = min(blocks, MOST_BUCKETS)
+    text = text.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
     to_bucket, to_block = "bucket int, block int, cell binary", "block int, bucket int, cell binary"
     sent = text.groupBy("block").applyInArrow(lambda key, t: grams(key[0].as_py(), t, n), to_bucket)
     answers = sent.groupBy("bucket").applyInArrow(shared_grams, to_block)
