@@ -198,6 +198,33 @@ def test_suffix_random(spark):
     assert by_row(map(tuple, got)) == by_row(brute_suffix(rows))
 
 
+@pytest.mark.parametrize("windows, part", [(1 << 18, 1 << 14), (20, 2)])
+def test_window_owners_in_portions(monkeypatch, windows, part):
+    """Each window's least document, whatever number of windows is sorted at once."""
+    from tidemark.llm import anchors, suffix_dedup as module
+
+    monkeypatch.setattr(module, "_WINDOWS", windows)
+    monkeypatch.setattr(module, "_PART", part)
+    rng = np.random.default_rng(12)
+    pool = ["".join(rng.choice(list("abc"), 90)).encode() for _ in range(5)]
+    texts = [b"".join(pool[k] for k in rng.integers(0, 5, 3)) for _ in range(40)]
+    offsets = np.cumsum([0, *map(len, texts)])
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    p1, p2, far, near, _, _ = anchors.fragments(data, offsets, 50, 20, anchors.Powers())
+    low = rng.integers(0, 30, len(p1))
+    buf = data[anchors.gather(p1, p2 - p1 + 50)]
+    want, got = {}, {}
+    for f in range(len(p1)):
+        for w in range(int(p1[f]), int(p2[f]) + 1):
+            text = data[w : w + 50].tobytes()
+            want[text] = min(want.get(text, 99), int(low[f]))
+    for f, a, b, least in (x for group in module.smallest_owner(buf, far, near, low) for x in zip(*(v.tolist() for v in group))):
+        for d in range(a, b + 1):
+            assert (f, d) not in got
+            got[f, d] = least
+    assert got == {(f, int(p1[f] + far[f] - w)): want[data[w : w + 50].tobytes()] for f in range(len(p1)) for w in range(int(p1[f]), int(p2[f]) + 1)}
+
+
 def test_suffix_collision():
     """Claims of equality are verified: with hashes that all agree the order still holds."""
     texts = [b"m" * 50 + b"z", b"a" * 51, b"m" * 50 + b"a", b"a" * 51]

@@ -19,6 +19,10 @@ from tidemark.llm.anchors import _cells, bucket_of, distinct_keys, exchange, fra
 from tidemark.llm.common import Powers, flat, ids_of, long_array
 
 WINDOW, GRAM = 50, 20
+#: Fragments whose hashes are summed at once.
+_PART = 1 << 14
+#: Windows of one bucket that are sorted at once; those of one gram stay together.
+_WINDOWS = 1 << 18
 
 
 class Suffixes:
@@ -27,9 +31,14 @@ class Suffixes:
     def __init__(self, buf: np.ndarray, begin: np.ndarray, lengths: np.ndarray):
         self.buf = buf
         self.up, self.down = Powers().to(2 * WINDOW)
-        inner = np.arange(len(buf)) - np.repeat(begin, lengths)
         self.sums = np.zeros(len(buf) + 1, np.uint64)
-        np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * self.up[inner], out=self.sums[1:])
+        for k in range(0, len(begin), _PART):  # parts keep the temporary arrays small
+            b, n = begin[k : k + _PART], lengths[k : k + _PART]
+            lo, hi = int(b[0]), int(b[-1] + n[-1])
+            inner = np.arange(lo, hi) - np.repeat(b, n)
+            sums = self.sums[lo + 1 : hi + 1]
+            np.cumsum((buf[lo:hi].astype(np.uint64) + np.uint64(1)) * self.up[inner], out=sums)
+            sums += self.sums[lo]
 
     def stretch(self, at, inner, size):
         """Hash of `size` bytes from `at`, which is `inner` bytes into its fragment."""
@@ -154,18 +163,36 @@ def smallest_owner(buf, far, near, low):
     mixed = per_gram[by_gram] > 1
     plain = np.flatnonzero(~mixed[kind_of])
     yield plain, near[plain], far[plain], whole[plain]
+    # by gram, so many windows at a time
     rep = np.flatnonzero(mixed)
-    if not len(rep):
-        return
-    f = kinds[rep]
+    rep = rep[np.argsort(by_gram[rep], kind="stable")]
+    grams, ends = by_gram[rep], np.cumsum((far - near + 1)[kinds[rep]])
+    rank = np.zeros(len(kinds), np.int64)
+    rank[rep] = np.arange(len(rep))
+    members = np.flatnonzero(mixed[kind_of])
+    members = members[np.argsort(rank[kind_of[members]], kind="stable")]
+    ranks = rank[kind_of[members]]
+    k = 0
+    while k < len(rep):
+        to = max(k + 1, int(np.searchsorted(ends, (ends[k - 1] if k else 0) + _WINDOWS)))
+        to = int(np.searchsorted(grams, grams[to - 1], "right"))
+        m = slice(*np.searchsorted(ranks, [k, to]))
+        yield _window_owners(suffixes, begin, far, near, whole, kinds[rep[k:to]], grams[k:to] - grams[k], members[m], ranks[m] - k)
+        k = to
+
+
+def _window_owners(suffixes, begin, far, near, whole, f, group, members, rank):
+    """Ranges as in smallest_owner for contents that may share windows: fragments
+    f, one for each content, with the number of their gram, and all fragments of
+    these contents (`members`) with the number of theirs."""
     count = far[f] - near[f] + 1
-    owner = np.repeat(np.arange(len(rep)), count)
+    owner = np.repeat(np.arange(len(f)), count)
     distance = far[f][owner] - (np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count))
     at = begin[f][owner] + far[f][owner] - distance
-    group = by_gram[rep][owner] * WINDOW + distance
+    group = group[owner] * WINDOW + distance
     order = np.argsort(group, kind="stable")
     place, same = suffixes.sort(at[order], (far[f][owner] - distance)[order], np.full(len(order), WINDOW), group[order])
-    least = np.empty(len(owner), low.dtype)
+    least = np.empty(len(owner), whole.dtype)
     least[order] = _least_of_equals(place, same, whole[f][owner][order])
     # neighbouring windows with the same answer are one range
     cut = np.concatenate([[True], (owner[1:] != owner[:-1]) | (least[1:] != least[:-1])])
@@ -173,13 +200,9 @@ def smallest_owner(buf, far, near, low):
     last = np.append(first[1:], len(owner)) - 1
     # the answer for a content holds for all its fragments
     by_rep = owner[first]
-    members = np.flatnonzero(mixed[kind_of])
-    back = np.full(len(kinds), -1)
-    back[rep] = np.arange(len(rep))
-    rep_of = back[kind_of[members]]
-    start, n = np.searchsorted(by_rep, rep_of, "left"), np.searchsorted(by_rep, rep_of, "right")
+    start, n = np.searchsorted(by_rep, rank, "left"), np.searchsorted(by_rep, rank, "right")
     pick = gather(start, n - start)
-    yield np.repeat(members, n - start), distance[last][pick], distance[first][pick], least[first][pick]
+    return np.repeat(members, n - start), distance[last][pick], distance[first][pick], least[first][pick]
 
 
 # -- the steps of anchors.exchange ------------------------------------------------
@@ -270,17 +293,18 @@ def _apply(table, found):
         turns = np.zeros(len(data) + 1, np.int32)
         np.add.at(turns, first[use], 1)
         np.add.at(turns, last[use] + WINDOW, -1)
-        gone = np.cumsum(turns)[:-1] > 0
+        gone = np.cumsum(turns, out=turns)[:-1] > 0
     opens = gone.copy()
     opens[1:] &= ~gone[:-1]
     heads = offsets[:-1][offsets[:-1] < len(data)]
     opens[heads] = gone[heads]
-    count = lambda mask: np.diff(np.concatenate([[0], np.cumsum(mask)])[offsets])
+    ends = list(zip(offsets[:-1].tolist(), offsets[1:].tolist()))
+    count = lambda mask: np.array([np.count_nonzero(mask[a:b]) for a, b in ends], np.int64)
     removed = count(gone)
     kept = data[~gone].tobytes()
     at = np.concatenate([[0], np.cumsum(np.diff(offsets) - removed)]).tolist()
     digests = [hashlib.sha256(kept[a:b]).hexdigest() for a, b in zip(at[:-1], at[1:])]
-    return pa.table({"doc_id": long_array(ids), "n_bytes": pa.array(np.diff(offsets)), "n_removed": pa.array(removed.astype(np.int64)), "n_spans": pa.array(count(opens).astype(np.int64)), "kept_sha256": pa.array(digests, pa.string())})
+    return pa.table({"doc_id": long_array(ids), "n_bytes": pa.array(np.diff(offsets)), "n_removed": pa.array(removed), "n_spans": pa.array(count(opens)), "kept_sha256": pa.array(digests, pa.string())})
 
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
