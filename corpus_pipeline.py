@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm.common import documents, staged, without
 from tidemark.llm.decontam import drop_leaks
 from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.jaccard import similar_dedup
 from tidemark.llm.packing import pack
-from tidemark.llm.simhash import near_dedup
 from tidemark.llm.toxicity import drop_toxic
 
 
@@ -24,8 +24,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near-duplicates, the one with the smallest doc_id."""
-    return near_dedup(docs)
+    """Of near-duplicates (Jaccard similarity of 5-word shingles >= 0.8), the one with the smallest doc_id."""
+    return similar_dedup(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
