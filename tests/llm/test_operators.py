@@ -367,6 +367,16 @@ def test_leaks_need_consistent_slots():
     assert not decontam._consistent(np.array([1, 2]), np.array([5, 5]))
 
 
+def test_leaks_of_many_numbers_and_one_edited(spark):
+    many = "Sort these numbers from low to high: 4, 8, 15, 16, 23, 42, 7, 9, 11, 13, 5, 6, 31, 27"
+    twice = "the cook puts 3 red apples in the old basket and 3 green pears beside it"
+    bench = spark.createDataFrame([(0, many), (1, twice)], "item_id long, text string")
+    docs = spark.createDataFrame([(0, f"First. {many}. Last."), (1, twice.replace("3 green", "4 green")), (2, "Sort these numbers from low to high by hand")], "doc_id long, text string")
+    rows = {(r.doc_id, r.item_id): r for r in decontam.find_leaks(docs, bench).collect() if r.contaminated}
+    assert set(rows) == {(0, 0), (1, 1)} and rows[0, 0].coverage == 1.0 and rows[0, 0].same_slots
+    assert rows[1, 1].n_covered == 15 and not rows[1, 1].same_slots
+
+
 def test_leaks_in_passes(spark, monkeypatch):
     bench = spark.createDataFrame([(k, prose(20, 200 + k)) for k in range(30)], "item_id long, text string")
     docs = spark.createDataFrame([(k, prose(10, 300 + k) + " " + prose(20, 200 + k) + " " + prose(5, 400)) for k in range(30)], "doc_id long, text string")

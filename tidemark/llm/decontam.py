@@ -117,6 +117,7 @@ class Index:
 
     items: np.ndarray
     first: np.ndarray
+    template: np.ndarray
     literal: np.ndarray
     slots: np.ndarray
     tables: dict
@@ -137,7 +138,7 @@ def build_index(item_ids: np.ndarray, texts: list[bytes]) -> Index:
         at, h, owner = at[use], h[use], owner[use]
         order = np.argsort(h, kind="stable")
         tables[size] = (h[order], owner[order].astype(np.int32), (at - first[owner])[order].astype(np.int32))
-    return Index(item_ids, first, literal, template < 256, tables)
+    return Index(item_ids, first, template, literal, template < 256, tables)
 
 
 def _consistent(a: np.ndarray, b: np.ndarray) -> bool:
@@ -146,8 +147,28 @@ def _consistent(a: np.ndarray, b: np.ndarray) -> bool:
     return len(pairs) == len({x for x, _ in pairs}) == len({y for _, y in pairs})
 
 
-def _judge(hits, index: Index, literal: np.ndarray, base: int):
-    """Rows (item, windows, covered, run, same) of one document from its (item, shift, place, size) hits."""
+def _conforming(theirs: np.ndarray, ours: np.ndarray) -> np.ndarray:
+    """Which paired slot values keep to one correspondence: the commonest pairs
+    first, of equally common ones those of equal values."""
+    if _consistent(theirs, ours):
+        return np.ones(len(theirs), bool)
+    paired = list(zip(theirs.tolist(), ours.tolist()))
+    counts: dict = {}
+    for x in paired:
+        counts[x] = counts.get(x, 0) + 1
+    left, right, kept = set(), set(), set()
+    for x, y in sorted(counts, key=lambda x: (-counts[x], x[0] != x[1])):
+        if x not in left and y not in right:
+            left.add(x)
+            right.add(y)
+            kept.add((x, y))
+    return np.array([x in kept for x in paired])
+
+
+def _judge(hits, index: Index, template: np.ndarray, literal: np.ndarray, base: int, stop: int):
+    """Rows (item, windows, covered, run, same, total) of one document, tokens base
+    to stop, from its (item, shift, place, size) hits. A hit goes on over equal
+    tokens of its alignment; slots that break the correspondence are left out."""
     by_item: dict = {}
     for item, shift, place, size in hits:
         by_item.setdefault(item, {}).setdefault(shift, []).append((place, size))
@@ -155,19 +176,39 @@ def _judge(hits, index: Index, literal: np.ndarray, base: int):
         start, total = int(index.first[item]), int(index.first[item + 1] - index.first[item])
         covered, run, windows, same = np.zeros(total, bool), 0, 0, True
         for shift, places in shifts.items():
-            mark = np.zeros(total + 1, bool)
+            low, high = max(0, -shift), min(total, stop - base - shift)
+            mark = np.zeros(total, bool)
+            ours, theirs = literal[base + shift + low : base + shift + high], index.literal[start + low : start + high]
+            mark[low:high] = (ours == theirs) | (template[base + shift + low : base + shift + high] == index.template[start + low : start + high])
+            hit = np.zeros(total + 1, bool)
             for place, size in places:
-                mark[place : place + size] = True
+                hit[place : place + size] = True
+            sound_hits = set()
+            turns = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]]).astype(np.int8)))
+            for a, b in zip(turns[::2].tolist(), turns[1::2].tolist()):  # runs of hits alone
+                x, y, slot = index.literal[start + a : start + b], literal[base + shift + a : base + shift + b], index.slots[start + a : start + b]
+                if _consistent(x[slot], y[slot]):
+                    covered[a:b] = True
+                    run = max(run, b - a)
+                    same &= bool((x[slot] == y[slot]).all())
+                    sound_hits |= {(p, size) for p, size in places if a <= p < b}
             turns = np.flatnonzero(np.diff(np.concatenate([[False], mark, [False]]).astype(np.int8)))
-            for a, b in zip(turns[::2].tolist(), turns[1::2].tolist()):
-                slot = index.slots[start + a : start + b]
-                ours, theirs = literal[base + shift + a : base + shift + b], index.literal[start + a : start + b]
-                if not _consistent(theirs[slot], ours[slot]):
+            for a, b in zip(turns[::2].tolist(), turns[1::2].tolist()):  # and what they reach
+                own = [(p, size) for p, size in places if a <= p < b]
+                if not own:
                     continue
-                covered[a:b] = True
-                run = max(run, b - a)
-                windows += sum(a <= p < b for p, _ in places)
-                same &= bool((theirs[slot] == ours[slot]).all())
+                x, y = index.literal[start + a : start + b], literal[base + shift + a : base + shift + b]
+                slot, good = index.slots[start + a : start + b], np.ones(b - a, bool)
+                good[slot] = _conforming(x[slot], y[slot])
+                sound = {(p, size) for p, size in own if good[p - a : p - a + size].all()}
+                if not sound and int((x == y).sum()) < WINDOW:
+                    continue
+                covered[a:b] |= good
+                ends = np.flatnonzero(np.diff(np.concatenate([[False], good, [False]]).astype(np.int8)))
+                run = max(run, int((ends[1::2] - ends[::2]).max()))
+                sound_hits |= sound
+                same &= bool((x[slot] == y[slot]).all())
+            windows += len(sound_hits)
         if run:
             yield item, windows, int(covered.sum()), run, same, total
 
@@ -192,7 +233,7 @@ def _leak_rows(batch, index: Index, canon: Canon):
                     w = int(place[k])
                     hits.setdefault(d, []).append((int(owner[k]), p - int(first[d]) - w, w, size))
         for d, found in hits.items():
-            for item, windows, covered, run, same, total in _judge(found, index, literal, int(first[d])):
+            for item, windows, covered, run, same, total in _judge(found, index, template, literal, int(first[d]), int(first[d + 1])):
                 share = covered / total
                 yield ids[at + d], index.items[item], windows, covered, run, share, same, share >= COVERAGE or run >= RUN
         at = to
