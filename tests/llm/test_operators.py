@@ -315,6 +315,12 @@ def test_pii_added(spark):
     assert [r.spans for r in rows] == ["iban:11:38", "", "short_card:12:27", "", "local_phone:11:25", ""]
 
 
+def test_pii_iban_before_capitals_and_digits(spark):
+    texts = ["DE89370400440532013000 Please", "DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX", "DE89 3704 0044 0532 0130 00 2024", "DE89 3704 0044 0532 0130 00", "DE893704004405320130007", "DE88 3704 0044 0532 0130 00 Please"]
+    rows = find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [[x for x in r.spans.split(",") if x.startswith("iban")] for r in rows] == [["iban:0:22"], ["iban:0:27"], ["iban:0:27"], ["iban:0:27"], [], []]
+
+
 def brute_secrets(t):
     out = [(m.start(), 0, "assign", m.end()) for m in re.finditer(r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", t) if len(m[1]) >= 12]
     out += [(m.start(), 1, "access", m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", t) if len(m[0]) >= 18]

@@ -21,7 +21,16 @@ IP = r"[0-9](?<![0-9][0-9])[0-9]*+(?:\.[0-9]++){3}"
 _RUN_START = r"[0-9](?<![0-9][0-9])(?<![0-9][\x20-][0-9])"
 CARD = _RUN_START + r"(?:[\x20-]?[0-9]){15,18}+(?![\x20-]?[0-9])"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-IBAN = r"[A-Z](?<![A-Za-z0-9][A-Z])[A-Z][0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])"
+# Length of an account number by country code (ISO 13616 registry).
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_CODES = "|".join(codes.replace(" ", "|") for codes in _IBAN_LENGTHS.values())
+_FIXED = "|".join(rf"(?:{codes.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, codes in _IBAN_LENGTHS.items())
+# a known country's number has its length, whatever follows; others are maximal runs
+IBAN = rf"(?<![A-Za-z0-9])(?:{_FIXED}|(?!{_CODES})[A-Z][A-Z][0-9]{{2}}(?:\x20?[A-Z0-9]){{11,30}}+)(?![A-Za-z0-9])"
 SHORT_CARD = _RUN_START + r"(?:[\x20-]?[0-9]){12,14}+(?![\x20-]?[0-9])"
 LOCAL_PHONE = r"(?<![0-9+().-])(?<![0-9)]\x20)\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![\x20.-]?[0-9])"
 
