@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Powers, id_and_bytes, mix, partitions
+from tidemark.llm.common import Powers, gather, id_and_bytes, mix, partitions
 
 #: Symbols whose windows are looked at together; a longer text is cut at multiples of it.
 SEGMENT = 1 << 16
@@ -209,6 +209,37 @@ def wanted(h: np.ndarray, answers: pa.Table, buckets: int) -> np.ndarray:
     return out
 
 
+def read_block(table: pa.Table) -> pa.Table:
+    """A block's rows in one order, whatever order the exchange delivers them in,
+    so that a fragment has the same number each time the block is read."""
+    return table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+
+
+def marked(found: pa.Table, key, far, p1, equal):
+    """Pairs of a block's fragments and the ranges said of an equal one: (fragment,
+    first and last window start, further arrays). Answers name a fragment by its
+    number; those of the same key are compared with it in full."""
+    cells = [unpacked(c) for c in found.column("cell").to_pylist()]
+    if not cells or not len(key):
+        return None
+    said, a, b, *more = (np.concatenate(x) for x in zip(*cells))
+    said = said.astype(np.int64)
+    order = np.argsort(key[said], kind="stable")
+    said, a, b, *more = (x[order] for x in (said, a, b, *more))
+    keys = key[said]
+    lo = np.searchsorted(keys, key)
+    hit = np.flatnonzero(keys[np.minimum(lo, len(keys) - 1)] == key)
+    lo = lo[hit]
+    n = np.searchsorted(keys, key[hit], "right") - lo
+    frag, pick = np.repeat(hit, n), gather(lo, n)
+    same = frag == said[pick]
+    check = np.flatnonzero(~same)
+    same[check] = equal(frag[check], said[pick[check]])
+    frag, pick = frag[same], pick[same]
+    anchor = p1[frag] + far[frag]
+    return frag, anchor - b[pick], anchor - a[pick], [x[pick] for x in more]
+
+
 def distinct_keys(key: np.ndarray):
     """(order, begin): fragments in order of key, and where each key begins."""
     order = np.argsort(key, kind="stable")
@@ -216,12 +247,6 @@ def distinct_keys(key: np.ndarray):
     return order, np.flatnonzero(np.concatenate([[True], ks[1:] != ks[:-1]])) if len(ks) else np.zeros(0, np.int64)
 
 
-def gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Indices of all symbols of the stretches, end to end."""
-    begin = np.cumsum(lengths) - lengths
-    return np.repeat(starts - begin, lengths) + np.arange(int(lengths.sum()))
-
-
 def exchange(docs: DataFrame, id_col: str, text_col: str, grams, pieces, compare, apply, schema: str) -> DataFrame:
     """Run the exchanges over a table of texts.
 

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Stands for a null identifier inside Python code; sorts after every identifier.
+#: Stands for a null identifier where numbers are compared; no identifier is larger.
 NO_ID = np.iinfo(np.int64).max
 
 _SPACE = np.zeros(256, bool)
@@ -26,12 +28,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a
-    temporary one where that is unset (local mode)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or,
+    in local mode alone, a temporary one where that is unset."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named
     if spark.sparkContext.getCheckpointDir() is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
     return spark.sparkContext.getCheckpointDir()
 
@@ -71,21 +75,39 @@ def without(docs: DataFrame, dropped: DataFrame, key: str = "doc_id") -> DataFra
     return docs.join(small_or_shuffled(ids, rows), F.col(key) == F.col(gone), "left_anti")
 
 
+def sole(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Of identifiers `ids`, those that `docs` has once."""
+    again = docs.groupBy(key).count().where("count > 1").select(key)
+    return staged(ids.join(again, key, "left_anti"), "sole")
+
+
 def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def bounded_batches(spark: SparkSession, rows: int = 2000) -> None:
-    """Hand texts to Python in batches of at most `rows`, so that a worker's
-    memory does not follow the session's larger default."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= rows:
-        spark.conf.set(key, rows)
+def slices(batches, rows: int = 2000):
+    """Batches of at most `rows`, so that a worker's arrays do not follow the
+    session's larger default (Spark bounds a batch in bytes besides)."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
+@contextmanager
+def configured(spark: SparkSession, settings: dict[str, str]):
+    """Session settings for the length of a block; what was there comes back."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def id_and_bytes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The two columns an operator needs, under fixed names; null text is empty."""
-    bounded_batches(docs.sparkSession)
     return docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(text_col).cast("string").cast("binary"), F.lit(b"")).alias("text"),
@@ -119,11 +141,6 @@ def ids_of(column) -> np.ndarray:
     return column.cast(pa.int64()).fill_null(NO_ID).to_numpy(zero_copy_only=False)
 
 
-def long_array(values: np.ndarray) -> pa.Array:
-    """int64 with NO_ID as null."""
-    return pa.array(values, pa.int64(), mask=values == NO_ID)
-
-
 def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words `[^\\x20\\x09-\\x0D]+` of concatenated texts: start and end of each,
     and for each text the index of its first word (one more at the end)."""
@@ -180,15 +197,85 @@ def prefix_hashes(values: np.ndarray, up: np.ndarray) -> np.ndarray:
     return out
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, pw: Powers) -> np.ndarray:
-    """A 64-bit hash of each word's bytes."""
+_HEADS = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word's bytes: eight at a time, of words over 64 bytes
+    by BLAKE2b. Whoever draws conclusions from equal hashes compares the bytes."""
+    size = ends - starts
+    out = size.astype(np.uint64)
     if not len(starts):
-        return np.zeros(0, np.uint64)
-    out, step = np.empty(len(starts), np.uint64), 1 << 16
-    for k in range(0, len(starts), step):
-        s, e = starts[k : k + step], ends[k : k + step]
-        low = int(s[0])
-        up, down = pw.to(int(e[-1]) - low + 1)
-        sums = prefix_hashes(data[low : int(e[-1])], up)
-        out[k : k + step] = mix((sums[e - low] - sums[s - low]) * down[s - low] + (e - s).astype(np.uint64))
+        return out
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, 0, (1,))  # the eight bytes from each place on
+    at, left, live = starts, size, np.arange(len(starts))
+    for _ in range(8):
+        out[live] = mix(out[live] ^ (eight[at] & _HEADS[np.minimum(left, 8)])) * np.uint64(_BASE)
+        more = left > 8
+        at, left, live = at[more] + 8, left[more] - 8, live[more]
+        if not len(live):
+            break
+    for i in live.tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
+    return out
+
+
+# -- equal stretches -----------------------------------------------------------
+
+
+def gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Indices of all symbols of the stretches, end to end."""
+    begin = np.cumsum(lengths) - lengths
+    return np.repeat(starts - begin, lengths) + np.arange(int(lengths.sum()))
+
+
+def _portions(sizes: np.ndarray, most: int):
+    """Slices of neighbours of some `most` symbols in all."""
+    ends, k = np.cumsum(sizes), 0
+    while k < len(sizes):
+        to = max(k + 1, int(np.searchsorted(ends, (int(ends[k - 1]) if k else 0) + most, "right")))
+        yield slice(k, to)
+        k = to
+
+
+def same_stretches(symbols: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """For each i, whether symbols[a[i] : a[i] + size[i]] equals the stretch at b[i]; sizes are positive."""
+    out = np.ones(len(a), bool)
+    for s in _portions(size, 1 << 19):
+        n = size[s]
+        differ = symbols[gather(a[s], n)] != symbols[gather(b[s], n)]
+        out[s] = ~np.logical_or.reduceat(differ, np.cumsum(n) - n)
     return out
+
+
+def same_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """For each i, whether the size[i] words from word a[i] on equal those from word b[i] on, as bytes."""
+    out = np.ones(len(a), bool)
+    for s in _portions(size, 1 << 16):
+        n = size[s]
+        x, y = gather(a[s], n), gather(b[s], n)
+        same = ends[x] - starts[x] == ends[y] - starts[y]
+        alike = np.flatnonzero(same)
+        x, y = x[alike], y[alike]
+        same[alike] = same_stretches(data, starts[x], starts[y], ends[x] - starts[x])
+        out[s] = np.logical_and.reduceat(same, np.cumsum(n) - n)
+    return out
+
+
+def classes(key: np.ndarray, equal) -> np.ndarray:
+    """For each item the number of the first one that it is equal to. Items meet
+    by key; equal(some, others) compares them in full, so chance equals of a key
+    stay apart."""
+    first = np.arange(len(key))
+    rest = first.copy()
+    while len(rest):
+        order = rest[np.argsort(key[rest], kind="stable")]
+        new = np.concatenate([[True], key[order[1:]] != key[order[:-1]]])
+        head = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))][~new]
+        member = order[~new]
+        ok = equal(member, head)
+        first[member[ok]] = head[ok]
+        rest = np.sort(member[~ok])
+    return first

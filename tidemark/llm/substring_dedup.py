@@ -17,9 +17,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.anchors import _cells, bucket_of, distinct_keys, exchange, fragments, gather, packed, send_grams, unpacked, wanted
-from tidemark.llm.common import Powers, flat, ids_of, long_array, word_hashes, words_of
-from tidemark.llm.suffix_dedup import marked
+from tidemark.llm.anchors import _cells, bucket_of, distinct_keys, exchange, fragments, marked, packed, read_block, send_grams, unpacked, wanted
+from tidemark.llm.common import Powers, classes, flat, gather, mix, same_stretches, same_words, word_hashes, words_of
 
 WINDOW, GRAM = 35, 8
 #: Words of the fragments that one automaton holds; fragments with one anchor stay together.
@@ -127,26 +126,36 @@ def repeated_ranges(sequences, times, anchor):
 
 
 def _read(table):
+    table = read_block(table)
     data, offsets = flat(table.column("text"))
-    starts, ends, first = words_of(data, offsets)
-    return data, offsets, starts, ends, first, ids_of(table.column("doc_id"))
+    return data, *words_of(data, offsets), table.column("doc_id")
+
+
+def _equal(data, starts, ends, p1, far, near):
+    """Whether fragments, by number, reach equally far and hold equal words."""
+
+    def equal(x, y):
+        ok = (far[x] == far[y]) & (near[x] == near[y])
+        i = np.flatnonzero(ok)
+        ok[i] = same_words(data, starts, ends, p1[x[i]], p1[y[i]], far[x[i]] - near[x[i]] + WINDOW)
+        return ok
+
+    return equal
 
 
 def _grams(block, table, buckets):
-    data, _, starts, ends, first, _ = _read(table)
-    pw = Powers()
-    p1, _, _, _, h, _ = fragments(word_hashes(data, starts, ends, pw), first, WINDOW, GRAM, pw)
+    data, starts, ends, first, _ = _read(table)
+    p1, _, _, _, h, _ = fragments(word_hashes(data, starts, ends), first, WINDOW, GRAM, Powers())
     return send_grams(block, h, p1, buckets)  # a window's place is its owner: repeats within a text count
 
 
 def _pieces(block, table, answers, buckets):
     """Distinct fragments with a shared gram, the times each occurs, and their words."""
-    data, _, starts, ends, first, _ = _read(table)
-    pw = Powers()
-    p1, p2, far, near, h, key = fragments(word_hashes(data, starts, ends, pw), first, WINDOW, GRAM, pw)
-    use = wanted(h, answers, buckets)
-    p1, p2, far, near, h, key = (x[use] for x in (p1, p2, far, near, h, key))
-    order, begin = distinct_keys(key)
+    data, starts, ends, first, _ = _read(table)
+    p1, p2, far, near, h, key = fragments(word_hashes(data, starts, ends), first, WINDOW, GRAM, Powers())
+    number = np.flatnonzero(wanted(h, answers, buckets))
+    p1, p2, far, near, h, key = (x[number] for x in (p1, p2, far, near, h, key))
+    order, begin = distinct_keys(classes(key, _equal(data, starts, ends, p1, far, near)))
     rows = []
     if len(begin):
         times = np.diff(np.append(begin, len(order)))
@@ -158,7 +167,7 @@ def _pieces(block, table, answers, buckets):
             s = by[edges[b] : edges[b + 1]]
             r = rep[s]
             low, high = starts[p1[r]], ends[p2[r] + WINDOW - 1]
-            rows.append((b, block, packed(far[r].astype(np.uint8), near[r].astype(np.uint8), key[r], times[s].astype(np.uint32), (high - low).astype(np.uint32), data[gather(low, high - low)])))
+            rows.append((b, block, packed(far[r].astype(np.uint8), near[r].astype(np.uint8), number[r].astype(np.uint32), times[s].astype(np.uint32), (high - low).astype(np.uint32), data[gather(low, high - low)])))
     return _cells(rows, ("bucket", "block"))
 
 
@@ -166,19 +175,22 @@ def _compare(table):
     bucket = table.column("bucket")[0].as_py()
     blocks = table.column("block").to_pylist()
     cells = [unpacked(c) for c in table.column("cell").to_pylist()]
-    far, near, key, times, sizes, data = (np.concatenate(x) for x in zip(*cells))
+    far, near, number, times, sizes, data = (np.concatenate(x) for x in zip(*cells))
     which = np.repeat(np.arange(len(cells)), [len(c[0]) for c in cells])
     far, near = far.astype(np.int64), near.astype(np.int64)
     offsets = np.concatenate([[0], np.cumsum(sizes.astype(np.int64))])
     starts, ends, first = words_of(data, offsets)
     # words as numbers by their bytes: equal numbers, equal words
-    hashes = word_hashes(data, starts, ends, Powers())
-    _, word = np.unique(hashes, return_inverse=True)
+    hashes = word_hashes(data, starts, ends)
+    word = classes(hashes, lambda x, y: (ends[x] - starts[x] == ends[y] - starts[y]) & same_stretches(data, starts[x], starts[y], np.minimum(ends[x] - starts[x], ends[y] - starts[y])))
     gram = hashes[first[:-1] + far]
     for k in range(1, GRAM):
-        gram = gram * np.uint64(0x5851F42D4C957F2D) + hashes[first[:-1] + far + k]
+        gram = mix(gram * np.uint64(3) + hashes[first[:-1] + far + k])
     # equal fragments of different blocks are one sequence
-    order, begin = distinct_keys(key)
+    n = np.diff(first)
+    place = np.arange(len(word)) - np.repeat(first[:-1], n)
+    key = np.add.reduceat(mix(hashes + place.astype(np.uint64)), first[:-1]) + gram
+    order, begin = distinct_keys(classes(key, lambda x, y: (n[x] == n[y]) & same_stretches(word, first[x], first[y], np.minimum(n[x], n[y]))))
     total = np.add.reduceat(times[order].astype(np.int64), begin)
     reps = order[begin]
     sequences = [word[first[r] : first[r + 1]].tolist() for r in reps.tolist()]
@@ -195,15 +207,14 @@ def _compare(table):
         for k in np.flatnonzero(np.diff(edges)).tolist():
             s = by[edges[k] : edges[k + 1]]
             f = frag[s]
-            rows.append((blocks[k], bucket, packed(key[f], (far[f] - b[s]).astype(np.uint8), (far[f] - a[s]).astype(np.uint8))))
+            rows.append((blocks[k], bucket, packed(number[f], (far[f] - b[s]).astype(np.uint8), (far[f] - a[s]).astype(np.uint8))))
     return _cells(rows, ("block", "bucket"))
 
 
 def _apply(table, found):
-    data, offsets, starts, ends, first, ids = _read(table)
-    pw = Powers()
-    p1, _, far, _, _, key = fragments(word_hashes(data, starts, ends, pw), first, WINDOW, GRAM, pw)
-    hit = marked(found, key, far, p1)
+    data, starts, ends, first, named = _read(table)
+    p1, _, far, near, _, key = fragments(word_hashes(data, starts, ends), first, WINDOW, GRAM, Powers())
+    hit = marked(found, key, far, p1, _equal(data, starts, ends, p1, far, near))
     gone = np.zeros(len(starts), bool)
     if hit is not None:
         _, a, b, _ = hit
@@ -222,7 +233,7 @@ def _apply(table, found):
     n = np.concatenate([[0], np.cumsum(np.diff(first) - removed)])
     edges = np.append(at, len(out))[n].tolist()
     digests = [hashlib.sha256(raw[a : max(a, b - 1)]).hexdigest() for a, b in zip(edges[:-1], edges[1:])]
-    return pa.table({"doc_id": long_array(ids), "n_words": pa.array(np.diff(first)), "n_removed": pa.array(removed.astype(np.int64)), "kept_sha256": pa.array(digests, pa.string())})
+    return pa.table({"doc_id": named, "n_words": pa.array(np.diff(first)), "n_removed": pa.array(removed.astype(np.int64)), "kept_sha256": pa.array(digests, pa.string())})
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -230,7 +241,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Removed is each word covered by 35 consecutive words whose sequence also
     starts anywhere else, in the same document too; windows are judged on the
-    input. Words are compared as bytes (by 64-bit hashes). Null text has no
+    input. Words are compared as bytes. Null text has no
     words; texts under 35 words lose nothing; a null identifier is kept; rows
     that repeat an identifier count as separate texts. Other columns are
     ignored; an empty table gives none.

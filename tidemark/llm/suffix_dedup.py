@@ -4,7 +4,8 @@ Suffixes are sorted where equal ones meet (see anchors). Prefix sums of a
 polynomial hash make any two stretches comparable in constant time; binary
 search over lengths finds the common extension of two suffixes, and one byte
 beyond it decides their order, so a mergesort needs a logarithm of the length
-per comparison. Neighbours that the hashes call equal are verified byte by byte.
+per comparison. Neighbours that the hashes call equal are verified byte by byte,
+and so is every fragment before it counts as a copy of another.
 """
 
 from __future__ import annotations
@@ -15,8 +16,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.anchors import _cells, bucket_of, distinct_keys, exchange, fragments, gather, packed, send_grams, unpacked, wanted
-from tidemark.llm.common import Powers, flat, ids_of, long_array
+from tidemark.llm.anchors import _cells, bucket_of, distinct_keys, exchange, fragments, marked, packed, read_block, send_grams, unpacked, wanted
+from tidemark.llm.common import Powers, classes, flat, gather, ids_of, same_stretches
 
 WINDOW, GRAM = 50, 20
 #: Fragments whose hashes are summed at once.
@@ -209,24 +210,37 @@ def _window_owners(suffixes, begin, far, near, whole, f, group, members, rank):
 
 
 def _read(table):
+    table = read_block(table)
     data, offsets = flat(table.column("text"))
-    return data, offsets, ids_of(table.column("doc_id"))
+    return data, offsets, ids_of(table.column("doc_id")), table.column("doc_id")
+
+
+def _equal(data, p1, far, near):
+    """Whether fragments, by number, reach equally far and hold equal bytes."""
+
+    def equal(x, y):
+        ok = (far[x] == far[y]) & (near[x] == near[y])
+        i = np.flatnonzero(ok)
+        ok[i] = same_stretches(data, p1[x[i]], p1[y[i]], far[x[i]] - near[x[i]] + WINDOW)
+        return ok
+
+    return equal
 
 
 def _grams(block, table, buckets):
-    data, offsets, ids = _read(table)
+    data, offsets, ids, _ = _read(table)
     p1, _, _, _, h, _ = fragments(data, offsets, WINDOW, GRAM, Powers())
     return send_grams(block, h, ids[np.searchsorted(offsets, p1, "right") - 1], buckets)
 
 
 def _pieces(block, table, answers, buckets):
     """Distinct fragments with a shared gram, with the least and largest document of each."""
-    data, offsets, ids = _read(table)
+    data, offsets, ids, _ = _read(table)
     p1, p2, far, near, h, key = fragments(data, offsets, WINDOW, GRAM, Powers())
-    use = wanted(h, answers, buckets)
-    p1, p2, far, near, h, key = (x[use] for x in (p1, p2, far, near, h, key))
+    number = np.flatnonzero(wanted(h, answers, buckets))
+    p1, p2, far, near, h, key = (x[number] for x in (p1, p2, far, near, h, key))
     own = ids[np.searchsorted(offsets, p1, "right") - 1]
-    order, begin = distinct_keys(key)
+    order, begin = distinct_keys(classes(key, _equal(data, p1, far, near)))
     rows = []
     if len(begin):
         low, high = np.minimum.reduceat(own[order], begin), np.maximum.reduceat(own[order], begin)
@@ -238,7 +252,7 @@ def _pieces(block, table, answers, buckets):
             s = by[edges[b] : edges[b + 1]]
             r = rep[s]
             bytes_ = data[gather(p1[r], p2[r] - p1[r] + WINDOW)]
-            rows.append((b, block, packed(far[r].astype(np.uint8), near[r].astype(np.uint8), key[r], low[s], high[s] - low[s], bytes_)))
+            rows.append((b, block, packed(far[r].astype(np.uint8), near[r].astype(np.uint8), number[r].astype(np.uint32), low[s], high[s] - low[s], bytes_)))
     return _cells(rows, ("bucket", "block"))
 
 
@@ -246,7 +260,7 @@ def _compare(table):
     bucket = table.column("bucket")[0].as_py()
     blocks = table.column("block").to_pylist()
     cells = [unpacked(c) for c in table.column("cell").to_pylist()]
-    far, near, key, low, more, buf = (np.concatenate(x) for x in zip(*cells))
+    far, near, number, low, more, buf = (np.concatenate(x) for x in zip(*cells))
     which = np.repeat(np.arange(len(cells)), [len(c[0]) for c in cells])
     far, near = far.astype(np.int64), near.astype(np.int64)
     parts = list(zip(*smallest_owner(buf, far, near, low)))
@@ -259,32 +273,14 @@ def _compare(table):
     rows = []
     for k in np.flatnonzero(np.diff(edges)).tolist():
         s = slice(edges[k], edges[k + 1])
-        rows.append((blocks[k], bucket, packed(key[f[s]], a[s].astype(np.uint8), b[s].astype(np.uint8), least[s])))
+        rows.append((blocks[k], bucket, packed(number[f[s]], a[s].astype(np.uint8), b[s].astype(np.uint8), least[s])))
     return _cells(rows, ("block", "bucket"))
 
 
-def marked(found: pa.Table, key, far, p1):
-    """Pairs of a block's fragments and the ranges said of their key: (fragment,
-    first and last window start, further arrays)."""
-    cells = [unpacked(c) for c in found.column("cell").to_pylist()]
-    if not cells or not len(key):
-        return None
-    said, a, b, *more = (np.concatenate(x) for x in zip(*cells))
-    order = np.argsort(said, kind="stable")
-    said, a, b, *more = (x[order] for x in (said, a, b, *more))
-    lo = np.searchsorted(said, key)
-    hit = np.flatnonzero(said[np.minimum(lo, len(said) - 1)] == key)
-    lo = lo[hit]
-    n = np.searchsorted(said, key[hit], "right") - lo
-    frag, pick = np.repeat(hit, n), gather(lo, n)
-    anchor = p1[frag] + far[frag]
-    return frag, anchor - b[pick], anchor - a[pick], [x[pick] for x in more]
-
-
 def _apply(table, found):
-    data, offsets, ids = _read(table)
-    p1, _, far, _, _, key = fragments(data, offsets, WINDOW, GRAM, Powers())
-    hit = marked(found, key, far, p1)
+    data, offsets, ids, named = _read(table)
+    p1, _, far, near, _, key = fragments(data, offsets, WINDOW, GRAM, Powers())
+    hit = marked(found, key, far, p1, _equal(data, p1, far, near))
     gone = np.zeros(len(data), bool)
     if hit is not None:
         frag, first, last, (least,) = hit
@@ -304,7 +300,7 @@ def _apply(table, found):
     kept = data[~gone].tobytes()
     at = np.concatenate([[0], np.cumsum(np.diff(offsets) - removed)]).tolist()
     digests = [hashlib.sha256(kept[a:b]).hexdigest() for a, b in zip(at[:-1], at[1:])]
-    return pa.table({"doc_id": long_array(ids), "n_bytes": pa.array(np.diff(offsets)), "n_removed": pa.array(removed), "n_spans": pa.array(count(opens)), "kept_sha256": pa.array(digests, pa.string())})
+    return pa.table({"doc_id": named, "n_bytes": pa.array(np.diff(offsets)), "n_removed": pa.array(removed), "n_spans": pa.array(count(opens)), "kept_sha256": pa.array(digests, pa.string())})
 
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -313,7 +309,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Removed is each byte covered by a 50-byte string that also starts in a
     document with a smaller doc_id; strings are judged on the input. Null text
     is empty; texts under 50 bytes lose nothing. A null identifier counts as
-    larger than any other and comes back null; rows that repeat an identifier
+    2**63 - 1 and comes back null; rows that repeat an identifier
     are one document to each other and so take nothing from each other. Other
     columns are ignored; an empty table gives none.
     """

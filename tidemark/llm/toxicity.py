@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tidemark.llm.common import Powers, bounded_batches, flat, id_and_bytes, unused, word_hashes, words_of
+from tidemark.llm.common import flat, id_and_bytes, slices, unused, word_hashes, words_of
 
 BUCKETS, DIM = 1 << 16, 12
 #: Words in a passage, and from one passage's start to the next.
@@ -80,7 +80,7 @@ def _gram_ids(buf: np.ndarray, at: np.ndarray, sizes: np.ndarray):
         yield ((packed * np.uint64(0x9E3779B97F4A7C15 + 2 * n)) >> np.uint64(48)).astype(np.int64), left >= n
 
 
-def _word_sums(data, starts, ends, scores: np.ndarray, pw: Powers) -> np.ndarray:
+def _word_sums(data, starts, ends, scores: np.ndarray) -> np.ndarray:
     """Average lean of each word's n-grams and itself."""
     if not len(starts):
         return np.zeros(0, np.float64)
@@ -89,7 +89,7 @@ def _word_sums(data, starts, ends, scores: np.ndarray, pw: Powers) -> np.ndarray
     for ids, valid in _gram_ids(buf, at, sizes):
         value += np.where(valid, scores[ids], np.float32(0))
     total = np.add.reduceat(value, at[:-1], dtype=np.float64)
-    low = word_hashes(buf, at[:-1], at[1:], pw)
+    low = word_hashes(buf, at[:-1], at[1:])
     total += scores[(low >> np.uint64(48)).astype(np.int64)]
     grams = np.maximum(sizes - 2, 0) + np.maximum(sizes - 3, 0) + np.maximum(sizes - 4, 0) + 1
     return total / grams
@@ -112,7 +112,7 @@ def _worst(word_scores: np.ndarray, begin: np.ndarray, empty: float) -> np.ndarr
     return out
 
 
-def predict(data: np.ndarray, offsets: np.ndarray, model: Model, pw: Powers) -> np.ndarray:
+def predict(data: np.ndarray, offsets: np.ndarray, model: Model) -> np.ndarray:
     """Score of each text, in pieces of bounded size (a text's words stay whole)."""
     starts, ends, begin = words_of(data, offsets)
     scores = np.empty(len(starts))
@@ -120,7 +120,7 @@ def predict(data: np.ndarray, offsets: np.ndarray, model: Model, pw: Powers) ->
     while at < len(starts):
         to = max(at + 1, int(np.searchsorted(ends, starts[at] + (1 << 18))))
         low = int(starts[at])
-        scores[at:to] = _word_sums(data[low : int(ends[to - 1])], starts[at:to] - low, ends[at:to] - low, model.scores, pw)
+        scores[at:to] = _word_sums(data[low : int(ends[to - 1])], starts[at:to] - low, ends[at:to] - low, model.scores)
         at = to
     logit = model.slope * (_worst(scores, begin, model.empty) + model.bias) + model.shift
     return 1 / (1 + np.exp(-np.clip(logit, -60, 60)))
@@ -160,7 +160,7 @@ def _type_grams(words: list[bytes]):
     starts, ends, _ = words_of(data, np.array([0, len(data)]))
     buf, at, sizes = _marked(data, starts, ends)
     owner = np.repeat(np.arange(len(words)), sizes)
-    ids, of = [word_hashes(buf, at[:-1], at[1:], Powers()) >> np.uint64(48)], [np.arange(len(words))]
+    ids, of = [word_hashes(buf, at[:-1], at[1:]) >> np.uint64(48)], [np.arange(len(words))]
     for gram, valid in _gram_ids(buf, at, sizes):
         ids.append(gram[valid])
         of.append(owner[valid])
@@ -302,15 +302,13 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
 
 
 def _score_batches(batches, column, model, name):
-    pw = Powers()
-    for batch in batches:
+    for batch in slices(batches):
         data, offsets = flat(batch.column(column).cast(pa.binary()))
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(predict(data, offsets, model, pw))], names=[*batch.schema.names, name])
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(predict(data, offsets, model))], names=[*batch.schema.names, name])
 
 
 def with_score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "_score") -> DataFrame:
     """`docs` with a column of scores, row by row; null text scores as empty."""
-    bounded_batches(docs.sparkSession)
     slim = Model(model.scores, model.bias, model.slope, model.shift, model.empty)
     column = docs.columns.index(text_col)
     schema = StructType([*docs.schema.fields, StructField(name, DoubleType())])
