@@ -11,6 +11,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import defaultdict
 from functools import lru_cache
 
 import numpy as np
@@ -18,11 +19,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches
+from tidemark.llm.common import slices
 
 # Kinds of HTML elements.
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = set("script style noscript template textarea iframe svg math title select object canvas audio video".split())
+#: What lies between these tags is no text of the page: code and styles, form
+#: controls, the title in the head, drawings, inert or embedded documents,
+#: formula sources, and what only browsers without the element would show.
+_RAW = set("script style textarea select title svg template iframe annotation annotation-xml canvas audio video".split())
+#: Of these, the ones whose text goes on to the page's end if nothing ends it.
+_CODE = set("script style textarea title iframe".split())
 _BLOCK = set("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html label legend li main menu nav ol option p pre search section summary table tbody td tfoot th thead tr ul".split())
 #: A start tag of the key ends open elements of the value.
 _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "body": {"head"}}
@@ -30,7 +36,8 @@ _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td"
 _SCOPE = {"ul", "ol", "table", "div", "section", "article", "aside", "nav", "main", "body", "html", "dl", "td", "th"}
 
 _TAG = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
-_ATTR = re.compile(r"""(?:^|[\s"'])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_STOP = re.compile(r"""[>"']""")
+_ATTR = re.compile(r"""([^\s=>"'/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _TOKEN = re.compile(r"[A-Za-z]+")
 _PHRASES = [(name, re.compile(rx, re.I)) for name, rx in (
     ("rights", r"©|\(c\)|copyright|all rights reserved"),
@@ -40,77 +47,102 @@ _PHRASES = [(name, re.compile(rx, re.I)) for name, rx in (
     ("share", r"\b(?:share|tweet|facebook|pinterest|whatsapp|follow us)\b"),
     ("more", r"\b(?:read more|related|you may also like|recommended|trending|advertisement|sponsored)\b"),
 )]
-
-
-def _tag_end(text: str, at: int) -> int:
-    """Where the tag that begins at `at` ends: the first > outside quotes, or the first > at all."""
-    first = text.find(">", at)
-    if first < 0:
-        return len(text)
-    end = first
-    inside = text[at:end]
-    if '"' not in inside and "'" not in inside:
-        return end
-    quote = ""
-    for k in range(at, min(len(text), at + 4096)):
-        c = text[k]
-        if quote:
-            if c == quote:
-                quote = ""
-        elif c in "\"'" and text[k - 1] in "= \t\n":
-            quote = c
-        elif c == ">":
+#: Scores are whole multiples of 1 / UNIT, so that sums don't depend on their order.
+UNIT = 1 << 24
+
+
+def _tag_end(page: str, at: int, last: dict) -> int:
+    """Where the tag whose name ends at `at` ends: the first > that is not inside
+    a quoted value. A quote without its like behind it opens no value; `last`
+    remembers where on the page each kind of quote stands last."""
+    k = at
+    while m := _STOP.search(page, k):
+        k = m.start()
+        c = page[k]
+        if c == ">":
             return k
-    return first
-
-
-@lru_cache(maxsize=20_000)
-def _marks(tag: str, attributes: str) -> tuple[str, ...]:
+        if c not in last:
+            last[c] = page.rfind(c)
+        before = k - 1
+        while before > at and page[before].isspace():
+            before -= 1
+        if page[before] == "=" and last[c] > k:
+            k = page.find(c, k + 1)
+        k += 1
+    return len(page)
+
+
+def _marks_of(tag: str, attributes: str) -> tuple[str, ...]:
     """Features that an element gives to all blocks below it."""
     out = [f"in:{tag}"]
     for name, *values in _ATTR.findall(attributes):
-        for token in _TOKEN.findall("".join(values)):
-            out.append(f"{'role' if name.lower() == 'role' else 'name'}:{token.lower()}")
+        name = name.lower()
+        if name in ("class", "id", "role"):
+            for token in _TOKEN.findall("".join(values)):
+                out.append(f"{'role' if name == 'role' else 'name'}:{token.lower()}")
     return tuple(dict.fromkeys(out))
 
 
-def leaf_blocks(page: str) -> list[tuple[str, int, tuple[str, ...]]]:
-    """(text, characters inside links, features of ancestors) per leaf block, in
-    page order; time in proportion to the page."""
+@lru_cache(maxsize=20_000)
+def _marks_kept(tag: str, attributes: str) -> tuple[str, ...]:
+    return _marks_of(tag, attributes)
+
+
+def leaf_blocks(page: str, lean: dict | None = None) -> list[tuple]:
+    """Leaf blocks in page order: (text, characters inside links, block element
+    around it, features of ancestors). With `lean`, scores of features in
+    multiples of 1 / UNIT, the last is their sum, kept up to date as elements
+    open and close; time is then in proportion to the page however deep it nests."""
     blocks: list = []
     stack: list = []  # (tag, marks)
+    places: dict = defaultdict(list)  # tag -> its places on the stack
+    around: list = [""]  # open block elements
     held: dict = {}  # mark -> open elements that give it
-    open_tags: dict = {}
+    score = 0
     parts: list = []
+    last: dict = {}
     linked, at, n = 0, 0, len(page)
     lower = page.lower()
+    if len(lower) != n:  # a letter whose lower case is longer
+        lower = "".join(c.lower() if c < "\x80" else c for c in page)
 
     def flush():
         nonlocal linked
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
-            if text and not open_tags.get("head"):
-                parent = next((t for t, _ in reversed(stack) if t in _BLOCK), "")
-                blocks.append((text, linked, (f"at:{parent}", *held)))
+            if text and not places["head"]:
+                blocks.append((text, linked, around[-1], tuple(held) if lean is None else score))
             parts.clear()
         linked = 0
 
-    def pop():
-        tag, marks = stack.pop()
-        open_tags[tag] -= 1
+    def push(tag, marks):
+        nonlocal score
+        places[tag].append(len(stack))
+        stack.append((tag, marks))
+        if tag in _BLOCK:
+            around.append(tag)
         for m in marks:
-            held[m] -= 1
-            if not held[m]:
-                del held[m]
+            held[m] = held.get(m, 0) + 1
+            if lean is not None and held[m] == 1:
+                score += lean.get(m, 0)
 
     def close(names, scope):
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] in names:
-                while len(stack) > k:
-                    pop()
-                return
-            if stack[k][0] in scope:
-                return
+        """End the innermost element of `names`, and all in it, unless one of `scope` stands between."""
+        nonlocal score
+        to = max((places[t][-1] for t in names if places[t]), default=-1)
+        if to < 0 or any(places[t] and places[t][-1] > to for t in scope):
+            return
+        while len(stack) > to:
+            tag, marks = stack.pop()
+            places[tag].pop()
+            if tag in _BLOCK:
+                around.pop()
+            for m in marks:
+                held[m] -= 1
+                if not held[m]:
+                    del held[m]
+                    if lean is not None:
+                        score -= lean.get(m, 0)
 
     while at < n:
         lt = page.find("<", at)
@@ -118,7 +150,7 @@ def leaf_blocks(page: str) -> list[tuple[str, int, tuple[str, ...]]]:
             lt = n
         if lt > at:
             parts.append(page[at:lt])
-            if open_tags.get("a"):
+            if places["a"]:
                 linked += lt - at
         if lt >= n:
             break
@@ -136,48 +168,51 @@ def leaf_blocks(page: str) -> list[tuple[str, int, tuple[str, ...]]]:
             at = lt + 1
             continue
         tag = m[2].lower()
-        end = _tag_end(page, m.end())
+        end = _tag_end(page, m.end(), last)
         at = min(end + 1, n)
         if tag in _BLOCK:
             flush()
         elif tag == "br":
             parts.append(" ")
         if m[1]:
-            if open_tags.get(tag):
-                close({tag}, ())
+            close({tag}, ())
             continue
         if tag in _RAW:
-            stop = lower.find(f"</{tag}", at) if not page[lt:end].endswith("/") else at
-            at = n if stop < 0 else stop
+            if page[end - 1 : end] == "/" and tag not in _CODE:
+                continue
+            stop = lower.find(f"</{tag}", at)
+            if stop >= 0 or tag in _CODE:
+                at = n if stop < 0 else stop
             continue
         if tag in _VOID or page[end - 1 : end] == "/":
             continue
-        if tag in _BLOCK and open_tags.get("p"):
+        if tag in _BLOCK:
             close({"p"}, _SCOPE)
         if tag in _ENDS:
             close(_ENDS[tag], _SCOPE - _ENDS[tag])
-        marks = _marks(tag, page[m.end() : end])
-        stack.append((tag, marks))
-        open_tags[tag] = open_tags.get(tag, 0) + 1
-        for mark in marks:
-            held[mark] = held.get(mark, 0) + 1
+        attributes = page[m.end() : end]
+        push(tag, (_marks_kept if len(attributes) < 500 else _marks_of)(tag, attributes))
     flush()
     return blocks
 
 
-def features(blocks) -> list[list[str]]:
-    out = []
-    for k, (text, linked, marks) in enumerate(blocks):
+def _own(blocks):
+    """Features of each block beside those of its ancestors."""
+    for k, (text, linked, parent, _) in enumerate(blocks):
         size = len(text)
-        own = ["1", *marks, f"size:{min(int(math.log2(size + 1)), 10)}", f"link:{min(int(4 * linked / size), 4)}", "ends" if text[-1] in ".!?…»\"'”" else "open"]
+        own = ["1", f"at:{parent}", f"size:{min(int(math.log2(size + 1)), 10)}", f"link:{min(int(4 * linked / size), 4)}", "ends" if text[-1] in ".!?…»\"'”" else "open"]
         if size < 400:
             own += [f"says:{name}" for name, rx in _PHRASES if rx.search(text)]
         if k == 0:
             own.append("first")
         if k == len(blocks) - 1:
             own.append("last")
-        out.append(own)
-    return out
+        yield own
+
+
+def features(blocks) -> list[list[str]]:
+    """All features of the blocks of leaf_blocks(page)."""
+    return [[*own, *block[3]] for own, block in zip(_own(blocks), blocks)]
 
 
 class Chain:
@@ -191,12 +226,15 @@ class Chain:
         w = self.weights
         return [sum(w.get(f, 0.0) for f in row) for row in rows]
 
-    def decode(self, rows) -> list[int]:
-        """Viterbi."""
-        if not rows:
+    def whole(self) -> tuple[dict, list]:
+        """Weights and moves in multiples of 1 / UNIT."""
+        return {f: round(w * UNIT) for f, w in self.weights.items()}, [[round(m * UNIT) for m in row] for row in self.moves]
+
+    def decode(self, lean) -> list[int]:
+        """Viterbi over the scores of blocks."""
+        if not lean:
             return []
         (m00, m01), (m10, m11) = self.moves
-        lean = self.lean(rows)
         zero, one, back = 0.0, lean[0], []
         for x in lean[1:]:
             to0, to1 = one + m10 > zero + m00, one + m11 >= zero + m01
@@ -370,13 +408,15 @@ def trained() -> Chain:
 
 
 def main_text(page: str, chain: Chain) -> str:
-    blocks = leaf_blocks(page)
-    return "\n".join(b[0] for b, label in zip(blocks, chain.decode(features(blocks))) if label)
+    """`chain` holds whole multiples of 1 / UNIT, see Chain.whole."""
+    blocks, weights = leaf_blocks(page, chain.weights), chain.weights
+    lean = [block[3] + sum(weights.get(f, 0) for f in own) for own, block in zip(_own(blocks), blocks)]
+    return "\n".join(b[0] for b, label in zip(blocks, chain.decode(lean)) if label)
 
 
 def _extract_batches(batches, weights, moves):
     chain = Chain(weights, moves)
-    for batch in batches:
+    for batch in slices(batches, 500):
         texts = [main_text(h, chain) if h else "" for h in batch.column(2).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
@@ -389,8 +429,6 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     give an empty text; null identifiers and urls are kept; repeated rows give
     equal rows; other columns are ignored; an empty table gives none.
     """
-    bounded_batches(pages.sparkSession)
-    chain = chain or trained()
-    weights, moves = chain.weights, chain.moves
+    weights, moves = (chain or trained()).whole()
     narrow = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
     return narrow.mapInArrow(lambda b: _extract_batches(b, weights, moves), "page_id long, url string, text string, n_chars long")
