@@ -1,9 +1,9 @@
 """Personal data with DataFrame functions only (operator 6).
 
 Regular expressions propose spans; Luhn and modulo 97 confirm them; words
-nearby raise or lower the score of the proposals beyond the base kinds. A
-column of positions is built from the pieces between matches, since Spark
-returns matches without offsets.
+nearby raise or lower the score of the proposals beyond the base kinds. Spark
+returns matches without offsets, so positions are running sums over the matches
+and the pieces between them.
 """
 
 from __future__ import annotations
@@ -49,21 +49,45 @@ _WORD_FOR, _WORD_AGAINST, ACCEPT = 0.3, 0.3, 0.6
 KINDS = ("email", "ip", "card", "phone")
 
 
-def _matches(text: Column, pattern: str, needs: Column) -> Column:
-    """array<struct<s,e,m>> of a pattern's matches: start, end (exclusive, code
-    points) and text. `needs` is a cheap test that every text with a match passes."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    empty = F.array().cast("array<struct<s:int,e:int,m:string>>")
-    start = F.struct(F.lit(0).alias("at"), empty.alias("out"))
+def _let(value: Column, use) -> Column:
+    """use(value), with `value` worked out once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
-    def step(acc, pair):
-        s = acc["at"] + F.char_length(pair["gap"])
-        e = s + F.char_length(pair["m"])
-        return F.struct(e.alias("at"), F.concat(acc["out"], F.array(F.struct(s.alias("s"), e.alias("e"), pair["m"].alias("m")))).alias("out"))
 
-    pairs = F.transform(found, lambda m, i: F.struct(m.alias("m"), F.get(gaps, i).alias("gap")))
-    return F.when(needs, F.aggregate(pairs, start, step, lambda acc: acc["out"])).otherwise(empty)
+def _running(lengths: Column) -> Column:
+    """Running sums: in round k each place takes in the sum of the 2**k before it.
+    This takes n log n steps; an aggregate that appends to an array copies it n times."""
+
+    def round_(sums, k):
+        step = F.call_function("shiftleft", F.lit(1), k)
+        return F.when(step < F.size(sums), F.transform(sums, lambda x, i: x + F.when(i >= step, F.get(sums, i - step)).otherwise(0))).otherwise(sums)
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(30)), lengths, round_)
+
+
+def _matches(text: Column, pattern: str, needs: Column, around: bool = False) -> Column:
+    """array<struct<m,s,e>> of a pattern's matches: text, start and end (exclusive)
+    in code points; with `around` also `near`, up to REACH code points on either
+    side. `needs` is a cheap test that every text with a match passes."""
+    pieces = F.arrays_zip(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"), F.split(text, pattern, -1).alias("gap"))
+    size = lambda x: F.coalesce(F.char_length(x), F.lit(0))
+
+    def placed(all_):
+        ends = _running(F.transform(all_, lambda x: size(x["gap"]) + size(x["m"])))
+        return F.zip_with(all_, ends, lambda x, e: F.struct(x["m"].alias("m"), (e - size(x["m"])).alias("s"), e.alias("e"), *((F.left(x["gap"], F.lit(REACH)).alias("head"), F.right(x["gap"], F.lit(REACH)).alias("tail")) if around else ())))
+
+    def nearby(all_, x, i):
+        # a match has 12 code points or more, so REACH goes over 3 others at most
+        part = lambda j, name: F.coalesce(F.get(all_, i + j)[name], F.lit(""))
+        before = F.concat(*(part(j, name) for j in range(-4, 0) for name in ("tail", "m")), x["tail"])
+        after = F.concat(*(part(j, name) for j in range(1, 5) for name in ("head", "m")))
+        return F.struct(x["m"].alias("m"), x["s"].alias("s"), x["e"].alias("e"), F.concat(F.right(before, F.lit(REACH)), F.lit(" | "), F.left(after, F.lit(REACH))).alias("near"))
+
+    spans = _let(pieces, placed)
+    if around:
+        spans = _let(spans, lambda all_: F.transform(all_, lambda x, i: nearby(all_, x, i)))
+    empty = F.array().cast(f"array<struct<m: string, s: int, e: int{', near: string' if around else ''}>>")
+    return F.when(needs, F.filter(spans, lambda x: x["m"].isNotNull())).otherwise(empty)
 
 
 def _digits(m: Column) -> Column:
@@ -90,12 +114,12 @@ def _mod97(m: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(turned)), F.lit(0), add) == 1
 
 
-def _scored(text: Column, spans: Column, kind: str, checksum) -> Column:
+def _scored(spans: Column, kind: str, checksum) -> Column:
     """Proposals of a kind whose score reaches ACCEPT."""
     base, passed = _SCORES[kind]
 
     def score(x):
-        around = F.lower(F.concat(F.substring(text, F.greatest(x["s"] - REACH, F.lit(0)) + 1, F.least(x["s"], F.lit(REACH))), F.lit(" | "), F.substring(text, x["e"] + 1, F.lit(REACH))))
+        around = F.lower(x["near"])
         near = F.when(around.rlike(rf"\b(?:{_NEAR[kind]})\b"), _WORD_FOR).otherwise(0.0) - F.when(around.rlike(rf"\b(?:{_AGAINST})\b"), _WORD_AGAINST).otherwise(0.0)
         return F.lit(base) + (F.when(checksum(x["m"]), passed).otherwise(-passed) if checksum else F.lit(0.0)) + near
 
@@ -132,9 +156,9 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         _matches(t, IP, F.col("dotted")).alias("ip"),
         _matches(t, CARD, F.col("long_run")).alias("card"),
         _matches(t, PHONE, has("+")).alias("phone"),
-        _matches(t, IBAN, F.col("coded")).alias("iban"),
-        _matches(t, SHORT_CARD, F.col("long_run")).alias("short_card"),
-        _matches(t, LOCAL_PHONE, t.rlike(r"[0-9]{3}[\x20.-][0-9]{4}")).alias("local_phone"),
+        _matches(t, IBAN, F.col("coded"), True).alias("iban"),
+        _matches(t, SHORT_CARD, F.col("long_run"), True).alias("short_card"),
+        _matches(t, LOCAL_PHONE, t.rlike(r"[0-9]{3}[\x20.-][0-9]{4}"), True).alias("local_phone"),
     )
     rows = rows.select(
         "doc_id",
@@ -143,9 +167,9 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.filter("ip", lambda x: x["m"].rlike(octet)).alias("ip"),
         F.filter("card", lambda x: _luhn(_digits(x["m"]))).alias("card"),
         F.filter("phone", lambda x: (count(x["m"]) >= 8) & (count(x["m"]) <= 15)).alias("phone"),
-        _scored(t, F.col("iban"), "iban", _mod97).alias("iban"),
-        _scored(t, F.col("short_card"), "short_card", lambda m: _luhn(_digits(m))).alias("short_card"),
-        _scored(t, F.col("local_phone"), "local_phone", None).alias("local_phone"),
+        _scored(F.col("iban"), "iban", _mod97).alias("iban"),
+        _scored(F.col("short_card"), "short_card", lambda m: _luhn(_digits(m))).alias("short_card"),
+        _scored(F.col("local_phone"), "local_phone", None).alias("local_phone"),
     )
     base = F.concat(*(_named(k, F.col(k)) for k in KINDS))
     added = F.concat(*(_named(k, F.col(k)) for k in _NEAR))
