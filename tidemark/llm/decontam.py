@@ -3,27 +3,34 @@
 Texts become template tokens: lower-cased words, with numbers, units and names
 replaced by typed placeholders. Windows of template tokens of a document are
 looked up in a hash table of the benchmark's; hits on one alignment are joined,
-and the values in the placeholders must correspond one to one, so that a
-question with other numbers or names is found and a chance hit is not.
+compared byte by byte, and the values in the placeholders must correspond one
+to one, so that a question with other numbers or names is found and a chance
+hit is not. A capital at the start of a sentence may or may not be a name, so
+windows with one are looked up both ways.
+
+Items that are one question with other values are one class: they share their
+windows, and a document meets the class, not each of its items.
 """
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tidemark.llm.common import Powers, bounded_batches, flat, id_and_bytes, ids_of, mix, word_hashes
+from tidemark.llm.common import Powers, flat, gather, id_and_bytes, mix, slices, staged, word_hashes
 
 WINDOW = 8
 #: A window needs so many tokens that are no placeholders.
 LITERALS = 3
 #: Share of an item's tokens, or tokens in one run, that make a document contaminated.
 COVERAGE, RUN = 0.6, 13
-#: Benchmark items that one pass over the documents holds in each worker.
-ITEMS_PER_PASS = 50_000
+#: Bytes of benchmark text that one pass over the documents holds in each worker, on average.
+PASS_BYTES = 8 << 20
 
 # Words that are units, numbers and given names wherever they stand.
 _UNITS = "km m cm mm mile miles meter meters metre metres foot feet inch inches yard yards kg g mg gram grams kilogram kilograms pound pounds ounce ounces ton tons l ml liter liters litre litres gallon gallons second seconds minute minutes hour hours day days week weeks month months year years dollar dollars cent cents euro euros mph kmh degree degrees celsius fahrenheit percent watt watts volt volts"
@@ -42,11 +49,11 @@ _STOP[[10, 33, 46, 63]] = True
 NUM, UNIT, NAME = np.uint64(11), np.uint64(13), np.uint64(17)
 
 
-def _listed(words: str, pw: Powers) -> np.ndarray:
+def _listed(words: str) -> np.ndarray:
     data = np.frombuffer(words.encode(), np.uint8)
     ends = np.append(np.flatnonzero(data == 32), len(data))
     starts = np.concatenate([[0], ends[:-1] + 1])
-    return np.sort(word_hashes(data, starts, ends, pw))
+    return np.sort(word_hashes(data, starts, ends))
 
 
 def _among(values: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -54,18 +61,35 @@ def _among(values: np.ndarray, table: np.ndarray) -> np.ndarray:
     return table[at] == values
 
 
+@dataclass
+class Tokens:
+    """Tokens of concatenated texts. `template` has hashes of words and numbers
+    below 256 for placeholders; in `loose` capitals that start a sentence are
+    names too. first[i] is the index of text i's first token."""
+
+    template: np.ndarray
+    loose: np.ndarray
+    literal: np.ndarray
+    first: np.ndarray
+    data: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+
+    def word(self, k: int) -> bytes:
+        return self.data[self.starts[k] : self.ends[k]].tobytes()
+
+
 class Canon:
-    """Turns concatenated texts into template and literal hashes per token."""
+    """Turns concatenated texts into template tokens."""
 
     def __init__(self):
         self.pw = Powers()
-        self.units, self.numbers, self.names = (_listed(x, self.pw) for x in (_UNITS, _NUMBERS, _NAMES))
+        self.units, self.numbers, self.names = (_listed(x) for x in (_UNITS, _NUMBERS, _NAMES))
 
-    def __call__(self, data: np.ndarray, offsets: np.ndarray):
-        """(template, literal, first): first[i] is the index of text i's first token."""
+    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> Tokens:
         if not len(data):
-            zero = np.zeros(0, np.uint64)
-            return zero, zero, np.zeros(len(offsets), np.int64)
+            none, zero = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+            return Tokens(none, none, none, np.zeros(len(offsets), np.int64), data, zero, zero)
         inside = _LETTER[data]
         point = (data[1:-1] == 46) | (data[1:-1] == 44)
         inside[1:-1] |= point & _DIGIT[data[:-2]] & _DIGIT[data[2:]]  # 3.14 and 1,000
@@ -79,10 +103,10 @@ class Canon:
         stop[e] = inside[e]
         starts, ends = np.flatnonzero(begin), np.flatnonzero(stop) + 1
         first = np.searchsorted(starts, offsets)
-        literal = word_hashes(_LOWER[data], starts, ends, self.pw)
+        lower = _LOWER[data]
+        literal = word_hashes(lower, starts, ends) | np.uint64(256)
         if not len(starts):
-            return literal, literal, first
-        template = literal.copy()
+            return Tokens(literal, literal, literal, first, lower, starts, ends)
         # a sentence begins a text or follows a stop
         stops = np.concatenate([[0], np.cumsum(_STOP[data])])
         opens = np.ones(len(starts), bool)
@@ -91,10 +115,14 @@ class Canon:
         head = data[starts]
         second = data[np.minimum(starts + 1, len(data) - 1)]
         capital = (head >= 65) & (head <= 90) & (ends - starts > 1) & (second >= 97)
-        template[capital & ~opens | _among(literal, self.names)] = NAME
-        template[_DIGIT[head] | _among(literal, self.numbers)] = NUM
-        template[_among(literal, self.units)] = UNIT
-        return template, literal, first
+        both = []
+        for name in (capital & ~opens, capital):
+            template = literal.copy()
+            template[name | _among(literal, self.names)] = NAME
+            template[_DIGIT[head] | _among(literal, self.numbers)] = NUM
+            template[_among(literal, self.units)] = UNIT
+            both.append(template)
+        return Tokens(*both, literal, first, lower, starts, ends)
 
 
 def _window_hashes(template: np.ndarray, first: np.ndarray, size: int, pw: Powers):
@@ -111,48 +139,74 @@ def _window_hashes(template: np.ndarray, first: np.ndarray, size: int, pw: Power
     return at, mix((sums[at + size] - sums[at]) * down[at] + np.uint64(size))
 
 
+def _both_windows(tokens: Tokens, size: int, pw: Powers):
+    """Windows of the template, and those of the loose one that differ."""
+    at, h = _window_hashes(tokens.template, tokens.first, size, pw)
+    differ = np.concatenate([[0], np.cumsum(tokens.template != tokens.loose)])
+    if not differ[-1]:
+        return at, h
+    at2, h2 = _window_hashes(tokens.loose, tokens.first, size, pw)
+    use = differ[at2 + size] > differ[at2]
+    return np.concatenate([at, at2[use]]), np.concatenate([h, h2[use]])
+
+
 @dataclass
 class Index:
-    """Benchmark windows by size: sorted hashes, and for each its item and place."""
+    """Classes of benchmark items, each by the tokens of one item, and their
+    windows by size: sorted hashes, and for each its class and place."""
 
-    items: np.ndarray
-    first: np.ndarray
-    template: np.ndarray
-    literal: np.ndarray
-    slots: np.ndarray
+    items: list  # smallest item of each class
+    members: list  # per class: values of the placeholders -> smallest item that has them
+    tokens: Tokens
     tables: dict
 
+    def slots(self, a: int, b: int) -> np.ndarray:
+        return self.tokens.loose[a:b] < 256
 
-def build_index(item_ids: np.ndarray, texts: list[bytes]) -> Index:
+
+def _pattern(values: list) -> tuple:
+    """Which values are equal to which: the number of each by first occurrence."""
+    seen: dict = {}
+    return tuple(seen.setdefault(v, len(seen)) for v in values)
+
+
+def build_index(item_ids: list, texts: list[bytes]) -> Index:
     """Items shorter than WINDOW tokens are looked up whole; those of fewer than
     LITERALS words that are no placeholders can't be recognised and are left out."""
     canon = Canon()
-    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-    template, literal, first = canon(np.frombuffer(b"".join(texts), np.uint8), offsets)
+    one: dict = {}  # template and pattern -> item that stands for the class, values of its items
+    lined = [canon(np.frombuffer(t, np.uint8), np.array([0, len(t)])) for t in texts]
+    for k, t in sorted(enumerate(lined), key=lambda x: (item_ids[x[0]] is None, item_ids[x[0]])):
+        values = tuple(t.word(i) for i in np.flatnonzero(t.loose < 256).tolist())
+        rep, members = one.setdefault((t.template.tobytes(), t.loose.tobytes(), _pattern(values)), (k, {}))
+        members.setdefault(values, item_ids[k])
+    chosen = [texts[k] for k, _ in one.values()]
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in chosen])]).astype(np.int64)
+    tokens = canon(np.frombuffer(b"".join(chosen), np.uint8), offsets)
     tables: dict = {}
-    sizes = np.minimum(np.diff(first), WINDOW)
+    sizes = np.minimum(np.diff(tokens.first), WINDOW)
     for size in np.unique(sizes[sizes >= LITERALS]).tolist():
-        at, h = _window_hashes(template, first, size, canon.pw)
-        owner = np.searchsorted(first, at, "right") - 1
+        at, h = _both_windows(tokens, size, canon.pw)
+        owner = np.searchsorted(tokens.first, at, "right") - 1
         use = sizes[owner] == size
         at, h, owner = at[use], h[use], owner[use]
         order = np.argsort(h, kind="stable")
-        tables[size] = (h[order], owner[order].astype(np.int32), (at - first[owner])[order].astype(np.int32))
-    return Index(item_ids, first, template, literal, template < 256, tables)
+        tables[size] = (h[order], owner[order].astype(np.int32), (at - tokens.first[owner])[order].astype(np.int32))
+    return Index([item_ids[k] for k, _ in one.values()], [m for _, m in one.values()], tokens, tables)
 
 
-def _consistent(a: np.ndarray, b: np.ndarray) -> bool:
+def _consistent(a, b) -> bool:
     """Whether the values in paired slots correspond one to one."""
-    pairs = set(zip(a.tolist(), b.tolist()))
+    pairs = set(zip(a, b))
     return len(pairs) == len({x for x, _ in pairs}) == len({y for _, y in pairs})
 
 
-def _conforming(theirs: np.ndarray, ours: np.ndarray) -> np.ndarray:
+def _conforming(theirs: list, ours: list) -> np.ndarray:
     """Which paired slot values keep to one correspondence: the commonest pairs
     first, of equally common ones those of equal values."""
     if _consistent(theirs, ours):
         return np.ones(len(theirs), bool)
-    paired = list(zip(theirs.tolist(), ours.tolist()))
+    paired = list(zip(theirs, ours))
     counts: dict = {}
     for x in paired:
         counts[x] = counts.get(x, 0) + 1
@@ -165,138 +219,169 @@ def _conforming(theirs: np.ndarray, ours: np.ndarray) -> np.ndarray:
     return np.array([x in kept for x in paired])
 
 
-def _judge(hits, index: Index, template: np.ndarray, literal: np.ndarray, base: int, stop: int):
-    """Rows (item, windows, covered, run, same, total) of one document, tokens base
-    to stop, from its (item, shift, place, size) hits. A hit goes on over equal
-    tokens of its alignment; slots that break the correspondence are left out."""
-    by_item: dict = {}
-    for item, shift, place, size in hits:
-        by_item.setdefault(item, {}).setdefault(shift, []).append((place, size))
-    for item, shifts in by_item.items():
-        start, total = int(index.first[item]), int(index.first[item + 1] - index.first[item])
-        covered, run, windows, same = np.zeros(total, bool), 0, 0, True
-        for shift, places in shifts.items():
-            low, high = max(0, -shift), min(total, stop - base - shift)
-            mark = np.zeros(total, bool)
-            ours, theirs = literal[base + shift + low : base + shift + high], index.literal[start + low : start + high]
-            mark[low:high] = (ours == theirs) | (template[base + shift + low : base + shift + high] == index.template[start + low : start + high])
-            hit = np.zeros(total + 1, bool)
-            for place, size in places:
-                hit[place : place + size] = True
-            sound_hits = set()
-            turns = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]]).astype(np.int8)))
-            for a, b in zip(turns[::2].tolist(), turns[1::2].tolist()):  # runs of hits alone
-                x, y, slot = index.literal[start + a : start + b], literal[base + shift + a : base + shift + b], index.slots[start + a : start + b]
-                if _consistent(x[slot], y[slot]):
-                    covered[a:b] = True
-                    run = max(run, b - a)
-                    same &= bool((x[slot] == y[slot]).all())
-                    sound_hits |= {(p, size) for p, size in places if a <= p < b}
-            turns = np.flatnonzero(np.diff(np.concatenate([[False], mark, [False]]).astype(np.int8)))
-            for a, b in zip(turns[::2].tolist(), turns[1::2].tolist()):  # and what they reach
-                own = [(p, size) for p, size in places if a <= p < b]
-                if not own:
-                    continue
-                x, y = index.literal[start + a : start + b], literal[base + shift + a : base + shift + b]
-                slot, good = index.slots[start + a : start + b], np.ones(b - a, bool)
-                good[slot] = _conforming(x[slot], y[slot])
-                sound = {(p, size) for p, size in own if good[p - a : p - a + size].all()}
-                if not sound and int((x == y).sum()) < WINDOW:
-                    continue
-                covered[a:b] |= good
-                ends = np.flatnonzero(np.diff(np.concatenate([[False], good, [False]]).astype(np.int8)))
-                run = max(run, int((ends[1::2] - ends[::2]).max()))
-                sound_hits |= sound
-                same &= bool((x[slot] == y[slot]).all())
-            windows += len(sound_hits)
-        if run:
-            yield item, windows, int(covered.sum()), run, same, total
-
-
-def _leak_rows(batch, index: Index, canon: Canon):
-    data, offsets = flat(batch.column(1))
-    ids = ids_of(batch.column(0))
-    n, at = len(ids), 0
+def _runs(flags: np.ndarray) -> list:
+    turns = np.flatnonzero(np.diff(np.concatenate([[False], flags, [False]]).astype(np.int8)))
+    return list(zip(turns[::2].tolist(), turns[1::2].tolist()))
+
+
+def _judge(index: Index, item: int, alignments: dict, doc: Tokens, base: int, stop: int):
+    """(item id, windows, covered, run, same, total) of one class in a document,
+    tokens base to stop, or None. `alignments` has per shift the (place, size) of
+    its hits. A hit goes on over equal tokens of its alignment; slots that break
+    the correspondence are left out."""
+    own = index.tokens
+    start, total = int(own.first[item]), int(own.first[item + 1] - own.first[item])
+    covered, run, windows, same, who = np.zeros(total, bool), 0, 0, True, index.items[item]
+    for shift, places in alignments.items():
+        low, high = max(0, -shift), min(total, stop - base - shift)
+        here, there = base + shift, start  # place 0 of the item in the document and in the index
+        theirs, ours = [own.word(there + i) for i in range(low, high)], [doc.word(here + i) for i in range(low, high)]
+        equal, slot = np.zeros(total, bool), index.slots(start, start + total)
+        equal[low:high] = [x == y for x, y in zip(theirs, ours)]
+        mark = equal.copy()  # equal words, or placeholders of one type
+        for a, b in ((own.template, doc.template), (own.loose, doc.loose)):
+            a, b = a[there + low : there + high], b[here + low : here + high]
+            mark[low:high] |= (a == b) & (a < 256)
+        value = lambda a, b: ([theirs[i - low] for i in range(a, b) if slot[i]], [ours[i - low] for i in range(a, b) if slot[i]])
+        hit = np.zeros(total, bool)
+        for place, size in places:
+            hit[place : place + size] = mark[place : place + size].all()  # a chance hit of a hash covers nothing
+        sound = set()
+        for a, b in _runs(hit):  # hits alone
+            if _consistent(*value(a, b)):
+                covered[a:b] = True
+                run = max(run, b - a)
+                same &= bool(equal[a:b].all())
+                sound |= {(p, size) for p, size in places if a <= p and p + size <= b}
+        for a, b in _runs(mark):  # and what they reach
+            inner = [(p, size) for p, size in places if a <= p and p + size <= b]
+            if not inner:
+                continue
+            good = np.ones(b - a, bool)
+            good[slot[a:b]] = _conforming(*value(a, b))
+            whole = {(p, size) for p, size in inner if good[p - a : p - a + size].all()}
+            if not whole and int(equal[a:b].sum()) < WINDOW:
+                continue
+            covered[a:b] |= good
+            run = max(run, *(y - x for x, y in _runs(good)))
+            sound |= whole
+            same &= bool(equal[a:b].all())
+        windows += len(sound)
+        if (low, high) == (0, total) and mark.all():
+            known = index.members[item].get(tuple(value(0, total)[1]))
+            if known is not None or tuple(value(0, total)[1]) in index.members[item]:
+                who, same = known, True
+    return (who, windows, int(covered.sum()), run, same, total) if run else None
+
+
+def _found(texts, index: Index, canon: Canon):
+    """(place, item, classes, windows, covered, run, share, same, contaminated) of
+    each text, by its place, that shares windows with the benchmark: of all
+    classes the one that it has most of."""
+    data, offsets = flat(texts)
+    n, at = len(offsets) - 1, 0
     while at < n:  # pieces of bounded size; a text stays whole
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + (1 << 20), "right")) - 1)
-        own = offsets[at : to + 1] - offsets[at]
-        template, literal, first = canon(data[offsets[at] : offsets[to]], own)
-        hits: dict = {}
+        doc = canon(data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at])
+        parts = []
         for size, (hashes, owner, place) in index.tables.items():
-            pos, h = _window_hashes(template, first, size, canon.pw)
+            pos, h = _both_windows(doc, size, canon.pw)
             lo = np.searchsorted(hashes, h, "left")
-            found = np.flatnonzero((lo < len(hashes)) & (hashes[np.minimum(lo, len(hashes) - 1)] == h))
-            hi = np.searchsorted(hashes, h[found], "right")
-            doc = np.searchsorted(first, pos[found], "right") - 1
-            for d, p, a, b in zip(doc.tolist(), pos[found].tolist(), lo[found].tolist(), hi.tolist()):
-                for k in range(a, b):
-                    w = int(place[k])
-                    hits.setdefault(d, []).append((int(owner[k]), p - int(first[d]) - w, w, size))
-        for d, found in hits.items():
-            for item, windows, covered, run, same, total in _judge(found, index, template, literal, int(first[d]), int(first[d + 1])):
+            hit = np.flatnonzero((lo < len(hashes)) & (hashes[np.minimum(lo, len(hashes) - 1)] == h))
+            times = np.searchsorted(hashes, h[hit], "right") - lo[hit]
+            k, pos = gather(lo[hit], times), np.repeat(pos[hit], times)
+            text = np.searchsorted(doc.first, pos, "right") - 1
+            parts.append(np.stack([text, owner[k], pos - doc.first[text] - place[k], place[k], np.full(len(k), size)]))
+        hits = np.concatenate(parts, axis=1) if parts else np.zeros((5, 0), np.int64)
+        hits = hits[:, np.lexsort(hits[::-1])]
+        edges = np.flatnonzero(np.concatenate([[True], (hits[:2, 1:] != hits[:2, :-1]).any(axis=0), [True]])) if hits.shape[1] else np.zeros(1, np.int64)
+        best: dict = {}
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            alignments: dict = {}
+            for shift, place, size in hits[2:, a:b].T.tolist():
+                alignments.setdefault(shift, []).append((place, size))
+            text, item = hits[:2, a].tolist()
+            seen = _judge(index, item, alignments, doc, int(doc.first[text]), int(doc.first[text + 1]))
+            if seen:
+                who, windows, covered, run, same, total = seen
                 share = covered / total
-                yield ids[at + d], index.items[item], windows, covered, run, share, same, share >= COVERAGE or run >= RUN
+                now = (share >= COVERAGE or run >= RUN, share, run, same, -item)
+                before, count = best.get(text, (None, 0))
+                best[text] = ((now, who, windows, covered) if before is None or now > before[0] else before, count + 1)
+        for text, ((now, who, windows, covered), count) in best.items():
+            yield at + text, who, count, windows, covered, now[2], now[1], now[3], now[0]
         at = to
 
 
-_LEAKS = "doc_id long, item_id long, n_windows long, n_covered long, run long, coverage double, same_slots boolean, contaminated boolean"
-_NAMES_OF = [c.split()[0] for c in _LEAKS.split(", ")]
+_ROW = "item_id long, n_classes long, n_windows long, n_covered long, run long, coverage double, same_slots boolean, contaminated boolean"
+_TYPES = [pa.int64()] * 5 + [pa.float64(), pa.bool_(), pa.bool_()]
 
 
 def _leak_batches(batches, index):
     canon = Canon()
-    for batch in batches:
-        rows = list(zip(*_leak_rows(batch, index.value, canon)))
+    for batch in slices(batches):
+        rows = list(_found(batch.column(1), index.value, canon))
         if rows:
-            types = [pa.int64()] * 5 + [pa.float64(), pa.bool_(), pa.bool_()]
-            yield pa.RecordBatch.from_arrays([pa.array([x.item() if hasattr(x, "item") else x for x in c], t) for c, t in zip(rows, types)], names=_NAMES_OF)
+            place, *columns = zip(*rows)
+            of = [hashlib.blake2b(batch.column(1)[k].as_py() or b"", digest_size=16).digest() for k in place]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(place)), pa.array(of, pa.binary()), *(pa.array(c, t) for c, t in zip(columns, _TYPES))], names=["doc_id", "_of", *(c.split()[0] for c in _ROW.split(", "))])
 
 
 def _keep_batches(batches, index, column):
     """A batch's rows that hold no contaminated passage."""
     canon = Canon()
-    for batch in batches:
-        numbered = pa.RecordBatch.from_arrays([pa.array(np.arange(batch.num_rows)), batch.column(column).cast(pa.binary())], names=["doc_id", "text"])
-        bad = [int(r[0]) for r in _leak_rows(numbered, index.value, canon) if r[-1]]
+    for batch in slices(batches):
         keep = np.ones(batch.num_rows, bool)
-        keep[bad] = False
+        keep[[r[0] for r in _found(batch.column(column).cast(pa.binary()), index.value, canon) if r[-1]]] = False
         yield batch.filter(pa.array(keep))
 
 
-def _indexes(benchmark: DataFrame, item_col: str, text_col: str):
-    """Broadcast indexes over at most ITEMS_PER_PASS items each: all items are
-    used, in as many passes as that takes."""
+def _passes(benchmark: DataFrame, item_col: str, text_col: str):
+    """(broadcast index, whether it is the only one), one at a time: all items are
+    used, in as many passes as their bytes take."""
     spark = benchmark.sparkSession
-    items = benchmark.where(f"{text_col} is not null").selectExpr(f"cast({item_col} as long) item_id", f"cast(cast({text_col} as string) as binary) text").dropDuplicates()
-    rows = items.count()
-    passes = max(1, -(-rows // ITEMS_PER_PASS))
-    for k in range(passes):
-        part = items if passes == 1 else items.where(f"pmod(xxhash64(item_id, text), {passes}) = {k}")
-        table = part.toArrow().sort_by([("item_id", "ascending"), ("text", "ascending")])
-        yield spark.sparkContext.broadcast(build_index(table.column("item_id").fill_null(-1).to_numpy(), table.column("text").to_pylist()))
+    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(text_col).cast("string").cast("binary").alias("text")).where("text is not null").dropDuplicates()
+    size = items.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    n = max(1, -(-size // PASS_BYTES))
+    for k in range(n):
+        table = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).toArrow().sort_by([("item_id", "ascending"), ("text", "ascending")])
+        index = spark.sparkContext.broadcast(build_index(table.column("item_id").to_pylist(), table.column("text").to_pylist()))
+        yield index, n == 1
+        if n > 1:
+            index.destroy()
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """A row for each document and benchmark item that share consistent template
-    windows: doc_id, item_id, n_windows, n_covered, run, coverage, same_slots
-    (all placeholder values equal), contaminated.
-
-    Null and empty texts have no windows; a null document id stays null, a null
-    item id reads -1; repeated rows give equal rows; repeated items count once;
-    other columns are ignored; either table empty gives none.
+    """A row for each document that shares consistent template windows with the
+    benchmark: doc_id, item_id, n_classes, n_windows, n_covered, run, coverage,
+    same_slots, contaminated.
+
+    item_id is the item that the document has most of, of items that differ in
+    placeholder values alone the one with the document's values, else the
+    smallest; n_classes counts the classes of items with a shared window;
+    same_slots tells whether all placeholder values of the passage are the item's.
+    contaminated documents have COVERAGE of an item's tokens or RUN in a row.
+
+    Null and empty texts have no windows; null identifiers on either side stay
+    null; rows that repeat a document, identifier and text, count once, and so
+    do repeated items; other columns are ignored; either table empty gives none.
     """
-    narrow = id_and_bytes(docs, id_col, text_col)
-    out = None
-    for index in _indexes(benchmark, item_col, item_text_col):
-        part = narrow.mapInArrow(lambda b, i=index: _leak_batches(b, i), _LEAKS)
-        out = part if out is None else out.union(part)
-    return out.selectExpr("nullif(doc_id, 9223372036854775807) doc_id", *_NAMES_OF[1:])
+    narrow, out = id_and_bytes(docs, id_col, text_col), None
+    for k, (index, only) in enumerate(_passes(benchmark, item_col, item_text_col)):
+        part = narrow.mapInArrow(lambda b, i=index: _leak_batches(b, i), f"doc_id long, _of binary, {_ROW}").dropDuplicates(["doc_id", "_of"])
+        part = part if only else staged(part, f"leaks-{k}")
+        out = part if out is None else out.unionByName(part)
+    if only:
+        return out.drop("_of")
+    best = F.max(F.struct("contaminated", "coverage", "run", "same_slots", (-F.col("item_id")).alias("_least"), "item_id", "n_windows", "n_covered"))
+    found = out.groupBy("doc_id", "_of").agg(best.alias("b"), F.sum("n_classes").alias("n_classes"))
+    return found.select("doc_id", "b.item_id", "n_classes", *(f"b.{c}" for c in ("n_windows", "n_covered", "run", "coverage", "same_slots", "contaminated")))
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """`docs` less the contaminated ones; every other row stays as it is."""
-    bounded_batches(docs.sparkSession)
     column = docs.columns.index(text_col)
-    for index in _indexes(benchmark, "item_id", "text"):
+    for k, (index, only) in enumerate(_passes(benchmark, "item_id", "text")):
         docs = docs.mapInArrow(lambda b, i=index: _keep_batches(b, i, column), docs.schema)
+        docs = docs if only else staged(docs, f"clean-{k}")
     return docs
