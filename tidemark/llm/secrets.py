@@ -15,15 +15,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.anchors import gather
-from tidemark.llm.common import flat, id_and_bytes, words_of
+from tidemark.llm.common import flat, gather, id_and_bytes, slices, words_of
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: How the vocabulary's public definition cuts text before merging.
 PRETOKENS = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
 KINDS = ("assign", "access", "hex")
-#: Shortest run that is tested, and the characters per token under which it counts as random.
-MIN_RUN, MAX_RATIO = 20, 2.0
+#: Shortest run that is tested, and the characters per token under which it counts
+#: as random; one of letters of one case alone has fewer ways to look like words.
+MIN_RUN, MAX_RATIO, ONE_CASE_RATIO = 20, 2.0, 1.9
 
 _ASSIGN = re.compile(rb"(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([a-z0-9+/_.=-]+)")
 _KEYS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
@@ -74,14 +74,13 @@ def _is_random(run: bytes, vocabulary: str, ratio: float) -> bool:
     core = run.strip(b"-_=/+")
     if len(core) < MIN_RUN:
         return False
-    kinds = bool(re.search(rb"[0-9]", core)) + bool(re.search(rb"[a-z]", core)) + bool(re.search(rb"[A-Z]", core))
-    if kinds < 2 or len(set(core)) < 8:
-        return False
+    if core.isalpha() and (core.islower() or core.isupper()):
+        ratio = min(ratio, ONE_CASE_RATIO)
     return len(core) < ratio * len(_encoder(vocabulary).encode_ordinary(core.decode("ascii")))
 
 
 def _secret_batches(batches, vocabulary, ratio):
-    for batch in batches:
+    for batch in slices(batches):
         data, offsets = flat(batch.column(1))
         n, at, rows = batch.num_rows, 0, []
         while at < n:
@@ -126,7 +125,7 @@ def _secret_rows(data: np.ndarray, offsets: np.ndarray, vocabulary: str, ratio:
         for _, a, b in sorted(h for h in hits if h[0] == "random"):
             while last < len(taken) and taken[last][1] <= a:
                 last += 1
-            if not (last < len(taken) and taken[last][0] < b) and _is_random(raw[a:b], vocabulary, ratio):
+            if not (last < len(taken) and taken[last][0] <= a and b <= taken[last][1]) and _is_random(raw[a:b], vocabulary, ratio):
                 base.append(("random", a, b))
         if not base:
             continue
@@ -145,7 +144,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spans, n_random.
 
     Base spans are matches of the three patterns that are long enough; `random`
-    spans are runs that fail the token-efficiency test and touch no base span.
+    spans are runs that fail the token-efficiency test and lie in no base span.
     Positions are code points, end exclusive; spans are ordered by start, then
     kind. `vocabulary` names a rank file that every executor can read. Null text
     is empty; a null identifier is kept; repeated rows give equal rows; other
