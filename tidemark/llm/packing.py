@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, flat, words_of
+from tidemark.llm.common import flat, slices, words_of
 
 CAPACITY = 2048
 #: Texts that one shard holds at most, on average; a shard is packed in one task.
@@ -26,7 +26,7 @@ _OUT = "doc_id long, piece int, bin_id string, start long, n_tokens long, source
 
 def _measure_batches(batches):
     """(doc_id, source, length in words, digest of the lower-cased words)."""
-    for batch in batches:
+    for batch in slices(batches):
         data, offsets = flat(batch.column(2))
         raw = data.tobytes()
         _, _, begin = words_of(data, offsets)
@@ -96,6 +96,7 @@ def _numbered(values: np.ndarray, single: bool) -> np.ndarray:
 def _pack_shard(key, table: pa.Table, capacity: int) -> pa.Table:
     table = table.sort_by([("doc_id", "ascending"), ("cluster", "ascending"), ("n_tokens", "ascending"), ("source", "ascending")])
     shard = key[0].as_py()
+    table = table.take(pa.array(np.repeat(np.arange(table.num_rows), table.column("copies").to_numpy())))
     n = table.column("n_tokens").to_numpy()
     source = np.array([s if s is not None else "" for s in table.column("source").to_pylist()], object)
     known = np.array([s is not None for s in table.column("source").to_pylist()], bool)
@@ -126,15 +127,18 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     `capacity` is cut into pieces of that length and a rest, an empty or null one is
     one piece of length 0. A bin holds at most `capacity` words, at most one
     piece of a source and at most one of a duplicate cluster (equal lower-cased
-    words). Rows are dealt to shards by a hash of all they have, so a hot
-    source or cluster is spread. Null sources are in conflict with none; a null
+    words). Rows are dealt to shards by a hash of identifier, words and, where
+    equal rows are many, portions of SHARD of them, so a hot source, cluster or
+    row is spread. Null sources are in conflict with none; a null
     identifier is kept; repeated rows are one cluster; other columns are
     ignored; an empty table gives none.
     """
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.coalesce(F.col(text_col).cast("string").cast("binary"), F.lit(b"")).alias("text"))
-    bounded_batches(docs.sparkSession)
     rows = docs.count()
     shards = max(1, -(-rows // SHARD))
     sized = narrow.mapInArrow(_measure_batches, "doc_id long, source string, n_tokens long, cluster long")
-    dealt = sized.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster"), F.lit(shards)))
+    counted = sized.groupBy("doc_id", "source", "n_tokens", "cluster").agg(F.count("*").alias("n"))
+    portions = counted.withColumn("portion", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / SHARD))))
+    portions = portions.withColumn("copies", F.least(F.lit(SHARD).cast("long"), F.col("n") - F.col("portion") * SHARD))
+    dealt = portions.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster", "portion"), F.lit(shards))).drop("n", "portion")
     return dealt.groupBy("shard").applyInArrow(lambda key, table: _pack_shard(key, table, capacity), _OUT)
