@@ -3,16 +3,20 @@
 import hashlib
 import re
 import string
+import time
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontam, packing, substring_dedup
+from tidemark.llm.common import gather, word_hashes
 from tidemark.llm.components import components
-from tidemark.llm.exact_dedup import exact_dedup
-from tidemark.llm.html_extract import extract_main_text, features, labelled_pages, leaf_blocks, trained
+from tidemark.llm.exact_dedup import drop_copies, exact_dedup
+from tidemark.llm.html_extract import Chain, extract_main_text, features, labelled_pages, leaf_blocks, main_text, trained
 from tidemark.llm.pii import find_pii
 from tidemark.llm.secrets import find_secrets
 from tidemark.llm.simhash import near_dedup, simhash_groups
@@ -212,7 +216,7 @@ def test_window_owners_in_portions(monkeypatch, windows, part):
     data = np.frombuffer(b"".join(texts), np.uint8)
     p1, p2, far, near, _, _ = anchors.fragments(data, offsets, 50, 20, anchors.Powers())
     low = rng.integers(0, 30, len(p1))
-    buf = data[anchors.gather(p1, p2 - p1 + 50)]
+    buf = data[gather(p1, p2 - p1 + 50)]
     want, got = {}, {}
     for f in range(len(p1)):
         for w in range(int(p1[f]), int(p2[f]) + 1):
@@ -386,14 +390,14 @@ def test_leaks_of_many_numbers_and_one_edited(spark):
 def test_leaks_in_passes(spark, monkeypatch):
     bench = spark.createDataFrame([(k, prose(20, 200 + k)) for k in range(30)], "item_id long, text string")
     docs = spark.createDataFrame([(k, prose(10, 300 + k) + " " + prose(20, 200 + k) + " " + prose(5, 400)) for k in range(30)], "doc_id long, text string")
-    monkeypatch.setattr(decontam, "ITEMS_PER_PASS", 7)
+    monkeypatch.setattr(decontam, "PASS_BYTES", 700)
     assert {(r.doc_id, r.item_id) for r in decontam.find_leaks(docs, bench).collect() if r.contaminated} == {(k, k) for k in range(30)}
 
 
 def test_html_accuracy():
     chain, wrong, total = trained(), 0, 0
     for page, labels in labelled_pages(150, seed=77):
-        got = chain.decode(features(leaf_blocks(page)))
+        got = chain.decode(chain.lean(features(leaf_blocks(page))))
         total += len(labels)
         wrong += sum(a != b for a, b in zip(got, labels))
     assert total > 1000 and wrong < 0.01 * total
@@ -468,3 +472,189 @@ def test_all_null(spark):
     for operator in (exact_dedup, simhash_groups, suffix_dedup, substring_dedup.substring_dedup, find_pii, find_secrets):
         assert [r.doc_id for r in operator(df).collect()] == [None, None]
     assert [r.keep_id for r in exact_dedup(df.select(F.lit(3).cast("long").alias("doc_id"), "text")).collect()] == [3, 3]
+
+
+def thue_morse(n):
+    """Two different words whose polynomial hashes modulo 2**64 agree for every base."""
+    a = "a"
+    for _ in range(n):
+        a += a.translate(str.maketrans("ab", "ba"))
+    return a, a.translate(str.maketrans("ab", "ba"))
+
+
+def test_substring_keeps_colliding_words(spark):
+    a, b = thue_morse(11)
+    rows = [(1, prose(34, 60) + " " + a), (2, prose(34, 60) + " " + b), (3, prose(40, 61) + " " + a), (4, prose(40, 61) + " " + a)]
+    got = substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert by_row(map(tuple, got)) == by_row(brute_substring(rows))
+
+
+def test_hashes_without_use(docs, spark, monkeypatch):
+    """Every hash that fragments or words meet by says the same; bytes decide."""
+    from tidemark.llm import anchors, suffix_dedup as module
+
+    def blunt(*args):
+        *rest, key = anchors.fragments(*args)
+        return *rest, np.zeros_like(key)
+
+    rng = np.random.default_rng(3)
+    pool = [" ".join(rng.choice(["x", "yy", "z"], 60)) for _ in range(3)]
+    rows = [(k, " ".join(pool[j] for j in rng.integers(0, 3, 2))) for k in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    monkeypatch.setattr(module, "fragments", blunt)
+    monkeypatch.setattr(substring_dedup, "fragments", blunt)
+    table = df.select("doc_id", F.col("text").cast("binary")).toArrow()
+    # the steps in one process, so that the stand-ins hold
+    for operator, brute in ((module, brute_suffix), (substring_dedup, brute_substring)):
+        sent = operator._grams(0, table, 2)
+        answers = [anchors.shared_grams(sent.filter(pc.equal(sent["bucket"], b))) for b in sorted(set(sent["bucket"].to_pylist()))]
+        parts = operator._pieces(0, table, pa.concat_tables(answers), 2)
+        found = [operator._compare(parts.filter(pc.equal(parts["bucket"], b))) for b in sorted(set(parts["bucket"].to_pylist()))]
+        got = operator._apply(table, pa.concat_tables(found)).to_pylist()
+        assert by_row(tuple(r.values()) for r in got) == by_row(brute(rows))
+
+
+def test_word_hashes():
+    texts = [b"", b"a", b"ab", b"abcdefgh", b"abcdefghi", b"x" * 64, b"x" * 65, b"x" * 66, *(x.encode() for x in thue_morse(10))]
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    h = word_hashes(data, offsets[:-1], offsets[1:])
+    assert len(set(h.tolist())) == len(texts)
+    again = word_hashes(np.concatenate([data, data]), offsets[:-1] + len(data), offsets[1:] + len(data))
+    assert again.tolist() == h.tolist()
+
+
+def test_largest_identifier(spark):
+    top = 2**63 - 1
+    rows = [(top, prose(60, 62)), (None, "x"), (5, prose(60, 62))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for operator in (suffix_dedup, substring_dedup.substring_dedup, exact_dedup, find_pii, find_secrets, simhash_groups):
+        assert by_row((r.doc_id,) for r in operator(df).collect()) == by_row((i,) for i, _ in rows)
+    bench = spark.createDataFrame([(None, prose(40, 62))], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontam.find_leaks(df, bench).collect()} == {(top, None), (5, None)}
+
+
+def test_exact_repeated_identifiers(spark, docs):
+    rows = [(5, "a"), (5, "z"), (9, "a"), (9, "A"), (None, "z"), (None, "q"), (None, "Q"), (9, "b"), (9, "b"), (2, "")]
+    df = spark.createDataFrame([(i, t, f"s{k}") for k, (i, t) in enumerate(rows)], "doc_id long, text string, kept string")
+    groups = {}
+    for i, t in rows:
+        groups.setdefault(t.lower(), []).append(i)
+    keep = {t: max((i for i in v if i is not None), default=None) for t, v in groups.items()}
+    want = [(i, keep[t.lower()], len(groups[t.lower()]), i == keep[t.lower()], sha(t.lower().encode())) for i, t in rows]
+    assert by_row(map(tuple, exact_dedup(df).collect())) == by_row(want)
+    left = drop_copies(df)
+    assert left.columns == df.columns
+    assert by_row((r.doc_id, r.text.lower()) for r in left.collect()) == by_row((i, t) for t, i in keep.items())
+    assert drop_copies(docs.limit(0)).count() == 0 and drop_copies(docs).columns == docs.columns
+
+
+@pytest.mark.parametrize("key_bytes", [0, 1])
+def test_exact_with_clashing_keys(docs, key_bytes):
+    assert by_row(map(tuple, exact_dedup(docs, key_bytes=key_bytes).collect())) == by_row(map(tuple, exact_dedup(docs).collect()))
+
+
+def test_settings_stay(spark, docs):
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.streaming.stateStore.providerClass", "spark.sql.streaming.stateStore.rocksdb.allowFAllocate")}
+    for operator in (exact_dedup, simhash_groups, find_secrets):
+        operator(docs).count()
+    assert before == {k: spark.conf.get(k, None) for k in before}
+
+
+def test_pii_many_matches(spark):
+    """Time grows with the matches, not with their square."""
+    took = []
+    for n in (5_000, 100_000):
+        df = spark.createDataFrame([(1, " ".join(f"user{k}@host{k}.example.org (606) 555-{k % 10000:04d}" for k in range(n)))], "doc_id long, text string")
+        began = time.time()
+        row = find_pii(df).first()
+        took.append(time.time() - began)
+        assert row.n_email == n
+    assert took[1] < 60
+
+
+def test_pii_nearby_words(spark):
+    texts = ["call " + "(606) 555-7814 " * 3 + "x" * 50 + " (606) 555-7815", "é" * 38 + " tel (606) 555-7814", "tel " + "é" * 37 + "(606) 555-7814", "(606) 555-7814" + "é" * 35 + " fax", "(606) 555-7814" + "é" * 37 + " fax"]
+    rows = find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r.n_added for r in rows] == [1, 1, 0, 1, 0]
+
+
+def test_html_long_attributes_and_deep_pages(spark):
+    chain = Chain(*trained().whole())
+    for n in (100, 5_000, 200_000):
+        page = f'<html><body><article><h1>The title of it</h1><p data-state="a > {"x" * n} <p>">The first line of a story that goes on.</p><p>And this is the second line of that story.</p></article></body></html>'
+        assert main_text(page, chain) == "The title of it\nThe first line of a story that goes on.\nAnd this is the second line of that story."
+    assert [b[0] for b in leaf_blocks("<p title='it>one</p><p>two</p>")] == ["one", "two"]
+    assert [b[0] for b in leaf_blocks("<p>Energy is <math><mi>E</mi><annotation>E=</annotation></math> always.</p><noscript><p>Kept too.</p></noscript>")] == ["Energy is E always.", "Kept too."]
+    took = []
+    for n in (5_000, 50_000):
+        page = "".join(f'<div class="n{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676 % 26)}x">text {k} ' for k in range(n))
+        began = time.time()
+        main_text(page, chain)
+        took.append(time.time() - began)
+    assert took[1] < 40 * took[0] + 1
+    for page in ("<b>" * 50_000 + "x<div>y</div>" * 20_000, "<ul><li><ul>" + "<b>" * 30_000 + "<li>x</li>" * 30_000, "<p '" * 50_000, '<p a="' * 50_000):
+        began = time.time()
+        main_text(page, chain)
+        assert time.time() - began < 20
+    df = spark.createDataFrame([(1, "u", "<p>a</p>"), (1, "u", "<p>a</p>")], "page_id long, url string, html string")
+    a, b = extract_main_text(df).collect()
+    assert a == b and extract_main_text(df.limit(0)).count() == 0
+
+
+def test_running_scores_are_the_features(spark):
+    chain = Chain(*trained().whole())
+    for page, _ in labelled_pages(20, seed=5):
+        rows = features(leaf_blocks(page))
+        want = "\n".join(b[0] for b, label in zip(leaf_blocks(page), chain.decode(chain.lean(rows))) if label)
+        assert main_text(page, chain) == want
+
+
+def test_secrets_of_one_case_and_beyond_base_spans(spark):
+    texts = ["key qzxwvkjhgfdplmnbtrcy end", "password=Xk9vQ2mPz7LrT4wYbN8sHd3J", "Xk9vQ2mPz7_0123456789abcdef_T4wYbN8sHd3J", "internationalisation nationalisations"]
+    rows = find_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r.n_random for r in rows] == [1, 0, 1, 0]
+
+
+def test_leaks_of_other_names_and_numbers(spark):
+    """Questions with other values, names at the start of a sentence too, and classes of them."""
+    names, other = ["Natalia", "Weng", "Betty", "Julia", "Alice", "Ken"], ["Priya", "Omar", "Chen", "Lucia", "Bjorn", "Zola"]
+    forms = [
+        "{0} sold {2} clips in April, and then sold half as many clips in May. How many clips did {0} sell altogether?",
+        "{0} earns {2} dollars an hour for babysitting. Yesterday {0} and {1} did {3} minutes of babysitting. How much did they earn?",
+        "A farmer has {2} cows in the old barn and {3} sheep on the hill. {0} buys {3} more. How many animals are there now?",
+        "If {0} walks {2} km to the lake and {1} drives {3} km to the same place, who needs more time at an equal pace?",
+    ]
+    rng = np.random.default_rng(2)
+    bench, docs = [], []
+    for k in range(200):
+        pick = lambda xs: [xs[j] for j in rng.choice(len(xs), 2, replace=False)]
+        bench.append((k, forms[k % 4].format(*pick(names), *rng.choice(90, 2, replace=False) + 3)))
+        docs.append((k, prose(30, 500 + k) + ". " + forms[k % 4].format(*pick(other), *rng.choice(900, 2, replace=False) + 100) + " " + prose(30, 800 + k)))
+    docs += [(1000 + k, prose(200, 900 + k)) for k in range(50)]
+    got = {r.doc_id for r in decontam.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")).collect() if r.contaminated}
+    assert len(got & set(range(200))) >= 190 and not got - set(range(200))
+
+
+def test_leak_windows_are_compared_in_full(monkeypatch):
+    """A chance hit of the window's hash covers nothing."""
+    monkeypatch.setattr(decontam, "mix", lambda x: np.zeros_like(x))
+    index = decontam.build_index([7], [b"why does the moon of a small planet seem to follow every car"])
+    texts = pa.array([prose(40, 70).encode(), b"so why does the moon of a small planet seem to follow every car", b"", None], pa.binary())
+    assert [(r[0], r[1], r[-1]) for r in decontam._found(texts, index, decontam.Canon())] == [(1, 7, True)]
+
+
+def test_leak_classes(spark):
+    bench = spark.createDataFrame([(k, f"the cook puts {k + 3} red apples in the old basket and {k + 90} green pears beside it") for k in range(50)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "the cook puts 13 red apples in the old basket and 100 green pears beside it"), (1, "the cook puts 13 red apples in the old basket and 100 green pears beside it"), (2, "the cook puts 5 red apples in the old basket and 1 green pears beside it")], "doc_id long, text string")
+    rows = {r.doc_id: r for r in decontam.find_leaks(docs, bench).collect()}
+    assert (rows[1].item_id, rows[1].same_slots, rows[1].n_classes) == (10, True, 1) and (rows[2].item_id, rows[2].same_slots) == (0, False)
+
+
+def test_pack_spreads_equal_rows(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD", 50)
+    rows = packing.pack(spark.createDataFrame([(1, "a b c", "s")] * 400 + [(2, "d", None)], "doc_id long, text string, source string")).collect()
+    shards = {}
+    for r in rows:
+        shards.setdefault(r.bin_id.split("-")[0], []).append(r)
+    assert len(rows) == 401 and max(len(v) for v in shards.values()) <= 250 and len(shards) > 2

@@ -58,7 +58,7 @@ def test_misspellings(made):
         spoilt.append(w)
     texts = [" ".join(w).encode() for w in clean + spoilt]
     offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-    scores = T.predict(np.frombuffer(b"".join(texts), np.uint8), offsets, model, T.Powers())
+    scores = T.predict(np.frombuffer(b"".join(texts), np.uint8), offsets, model)
     assert np.mean(scores[400:] > np.quantile(scores[:400], 0.95)) > 0.6
 
 

@@ -1,14 +1,18 @@
-"""Near-duplicates by exact Jaccard similarity of word shingles (the pipeline's near stage).
-
-Prefix filter: with the shingles of every text in one common order, two texts of
-similarity 4/5 or more share one among the first n - ceil(4n/5) + 1 of each. So
-only these prefixes meet, and no pair is lost. Frequent shingles come last in
-the order; a bounded sample tells which they are, and since any common order is
-exact, the sample bears on time alone.
-
-What meets is verified on the texts. A first round links along a star and a
-chain per shingle, so that a large group of copies becomes one component
-without its pairs; a second one tries all pairs still in different components.
+"""Near-duplicates by SimHash, with links confirmed by exact Jaccard similarity and
+completed by a prefix filter (the pipeline's near stage).
+
+Multi-index hashing over fingerprints of five-word shingles proposes pairs; what
+a pair's similarity really is, is told by its texts. Texts of similarity 4/5 may
+differ in a dozen bits of 64, more than balls in segments can reach, so a second
+search makes the result whole. Prefix filter: with the shingles of every text in
+one common order, two texts of similarity 4/5 or more share one among the first
+n - ceil(4n/5) + 1 of each. So only these prefixes meet, and no pair is lost.
+Frequent shingles come last in the order; a bounded sample tells which they are,
+and since any common order is exact, the sample bears on time alone.
+
+In a first round each text of a prefix shingle meets the shingle's first and last
+one only, so that a large group of copies becomes one component without its
+pairs; in a second one, the texts of shingles whose components still differ meet.
 """
 
 from __future__ import annotations
@@ -20,34 +24,43 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Powers, flat, id_and_bytes, ids_of, mix, partitions, small_or_shuffled, staged, without, word_hashes, words_of
+from tidemark.llm.common import flat, id_and_bytes, ids_of, mix, partitions, slices, small_or_shuffled, sole, staged, without, word_hashes, words_of
 from tidemark.llm.components import components
+from tidemark.llm.simhash import linked
 
 WIDTH = 5
 #: Similarity that links, as a fraction.
 NUM, DEN = 4, 5
+#: Bits in which the fingerprints of a pair that multi-index hashing proposes may differ.
+BITS = 3
 #: Texts whose shingles are counted for the order, and the count from which a shingle is frequent.
 SAMPLE, FREQUENT = 20_000, 8
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def _chained(words: np.ndarray, width: int) -> np.ndarray:
-    n = len(words) - width + 1
-    out = np.full(max(n, 0), width, np.uint64)
-    for j in range(width):
-        out = mix(out + words[j : n + j])
-    return out
-
-
-def shingle_sets(column, pw: Powers):
-    """Sorted distinct hashes of each text's shingles; of a text of fewer words, one of all."""
+def shingle_sets(column) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of each text's distinct shingles, sorted, all end to end, and the
+    text of each; of a text of fewer words, one hash of all."""
     data, offsets = flat(column)
     data = _LOWER[data]
     starts, ends, first = words_of(data, offsets)
-    words = word_hashes(data, starts, ends, pw)
-    for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
-        yield np.unique(_chained(words[a:b], WIDTH)) if b - a >= WIDTH else _chained(words[a:b], b - a) if b > a else np.zeros(1, np.uint64)
+    words, count = word_hashes(data, starts, ends), np.diff(first)
+    text = np.repeat(np.arange(len(count)), count)
+    whole = np.flatnonzero(first[text + 1] - np.arange(len(words)) >= WIDTH)  # where a whole shingle starts
+    h = np.full(len(whole), WIDTH, np.uint64)
+    for j in range(WIDTH):
+        h = mix(h + words[whole + j])
+    short = np.flatnonzero(count < WIDTH)
+    few = np.zeros(len(short), np.uint64)
+    for j in range(WIDTH - 1):
+        more = count[short] > j
+        few[more] = mix(few[more] + words[first[short[more]] + j] + np.uint64(1))
+    h, text = np.concatenate([h, few]), np.concatenate([text[whole], short])
+    order = np.lexsort((h, text))
+    h, text = h[order], text[order]
+    new = np.concatenate([[True], (h[1:] != h[:-1]) | (text[1:] != text[:-1])]) if len(h) else np.zeros(0, bool)
+    return h[new], text[new]
 
 
 @lru_cache(maxsize=256)
@@ -56,39 +69,32 @@ def exact_set(text: bytes) -> frozenset:
     return frozenset(tuple(words[k : k + WIDTH]) for k in range(max(len(words) - WIDTH, 0) + 1))
 
 
-def _similar(common: int, a: int, b: int) -> bool:
-    return common * (NUM + DEN) >= NUM * (a + b)
-
-
 def _shingle_batches(batches):
-    pw = Powers()
-    for batch in batches:
-        for k in range(0, batch.num_rows, 200):
-            h = np.concatenate(list(shingle_sets(batch.column(1).slice(k, 200), pw)))
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], names=["shingle"])
+    for part in slices(batches, 200):
+        yield pa.RecordBatch.from_arrays([pa.array(shingle_sets(part.column(1))[0].view(np.int64))], names=["shingle"])
 
 
 def _prefix_batches(batches, frequent):
     """(shingle, node, n, at): each text's prefix, with its number of shingles and the place among them."""
-    pw, (known, counts) = Powers(), frequent.value
-    for batch in batches:
-        ids = ids_of(batch.column(0))
-        for k in range(0, len(ids), 200):
-            rows = []
-            for node, h in zip(ids[k : k + 200], shingle_sets(batch.column(1).slice(k, 200), pw)):
-                n, rank = len(h), np.zeros(len(h), np.int64)
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-                    rank = np.where(known[at] == h, counts[at], 0)
-                m = n - -(-NUM * n // DEN) + 1
-                rows.append((h[np.lexsort((h, rank))[:m]], np.full(m, node), np.full(m, n), np.arange(m)))
-            h, node, n, at = (np.concatenate(x) for x in zip(*rows))
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(node), pa.array(n.astype(np.int32)), pa.array(at.astype(np.int32))], names=["shingle", "node", "n", "at"])
-
-
-def _candidate_batches(batches, every: bool):
-    """Pairs that meet under a shingle and can be similar by number and place. Unless
-    `every`, each row with the group's first and the row before it only."""
+    known, counts = frequent.value
+    for part in slices(batches, 200):
+        h, text = shingle_sets(part.column(1))
+        rank = np.zeros(len(h), np.int64)
+        if len(known):
+            at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+            rank = np.where(known[at] == h, counts[at], 0)
+        order = np.lexsort((h, rank, text))
+        h, text = h[order], text[order]
+        n = np.bincount(text, minlength=part.num_rows)
+        at = np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n)
+        n = n[text]
+        use = at < n - -(-NUM * n // DEN) + 1
+        yield pa.RecordBatch.from_arrays([pa.array(h[use].view(np.int64)), pa.array(ids_of(part.column(0))[text[use]]), pa.array(n[use].astype(np.int32)), pa.array(at[use].astype(np.int32))], names=["shingle", "node", "n", "at"])
+
+
+def _candidate_batches(batches):
+    """Pairs that meet under a shingle, are of different components and can be
+    similar by number and place."""
     parts = [[b.column(i).to_numpy(zero_copy_only=False) for i in range(5)] for b in batches]
     if not parts:
         return
@@ -99,55 +105,47 @@ def _candidate_batches(batches, every: bool):
     begin = np.flatnonzero(np.concatenate([[True], shingle[1:] != shingle[:-1]]))
     size = np.diff(np.append(begin, len(shingle)))
     group_end = np.repeat(begin + size, size)
-
-    def possible(i, j):
-        return (whole[i] != whole[j]) & (DEN * n[i] >= NUM * n[j]) & ((1 + np.minimum(n[i] - at[i], n[j] - at[j]) - 1) * (NUM + DEN) >= NUM * (n[i] + n[j]))
-
-    def emit(i, j):
-        use = possible(i, j)
-        return np.minimum(node[i], node[j])[use], np.maximum(node[i], node[j])[use]
-
     found, held = [], 0
 
     def pairs():
-        both = np.unique(np.concatenate([np.stack(x, 1) for x in found]), axis=0)
+        both = np.unique(np.concatenate(found), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["u", "v"])
 
     rows = np.arange(len(shingle))
-    first = np.repeat(begin, size)
-    if not every:
-        later = rows[rows > first]
-        found += [emit(first[later], later), emit(later - 1, later)]
-    else:
-        step, left = 1, rows[rows + 1 < group_end]
-        while len(left):  # each row with the one `step` behind it; n grows, so what is too long ends a row's turn
-            u, v = emit(left, left + step)
-            found.append((u, v))
-            held += len(u)
-            if held > 500_000:
-                yield pairs()
-                found, held = [], 0
-            step += 1
-            left = left[left + step < group_end[left]]
-            left = left[DEN * n[left] >= NUM * n[left + step]]
+    step, left = 1, rows[rows + 1 < group_end]
+    while len(left):  # each row with the one `step` behind it; n grows, so what is too long ends a row's turn
+        i, j = left, left + step
+        use = (whole[i] != whole[j]) & (DEN * n[i] >= NUM * n[j]) & (np.minimum(n[i] - at[i], n[j] - at[j]) * (NUM + DEN) >= NUM * (n[i] + n[j]))
+        u, v = node[i[use]], node[j[use]]
+        found.append(np.stack([np.minimum(u, v), np.maximum(u, v)], 1))
+        held += len(u)
+        if held > 500_000:
+            yield pairs()
+            found, held = [], 0
+        step += 1
+        left = left[left + step < group_end[left]]
+        left = left[DEN * n[left] >= NUM * n[left + step]]
     if found:
         yield pairs()
 
 
 def _verified_batches(batches):
     """Pairs (u, v, a, b) whose texts a and b are similar: by hashes, then by the shingles themselves."""
-    pw = Powers()
-    for batch in batches:
-        for k in range(0, batch.num_rows, 200):
-            part = batch.slice(k, 200)
-            us, vs = [], []
-            for row, (x, y) in enumerate(zip(shingle_sets(part.column(2), pw), shingle_sets(part.column(3), pw))):
-                if _similar(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)):
-                    a, b = exact_set(part.column(2)[row].as_py()), exact_set(part.column(3)[row].as_py())
-                    if _similar(len(a & b), len(a), len(b)):
-                        us.append(part.column(0)[row].as_py())
-                        vs.append(part.column(1)[row].as_py())
-            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
+    for part in slices(batches, 200):
+        both = pa.concat_arrays([part.column(2).cast(pa.binary()), part.column(3).cast(pa.binary())])
+        h, text = shingle_sets(both)
+        n, pair = np.bincount(text, minlength=len(both)), text % part.num_rows
+        order = np.lexsort((h, pair))
+        h, pair = h[order], pair[order]
+        common = np.bincount(pair[1:][(h[1:] == h[:-1]) & (pair[1:] == pair[:-1])], minlength=part.num_rows)
+        near = np.flatnonzero(common * (NUM + DEN) >= NUM * (n[: part.num_rows] + n[part.num_rows :]))
+        sure = []
+        for k in near.tolist():
+            a, b = exact_set(part.column(2)[k].as_py()), exact_set(part.column(3)[k].as_py())
+            if len(a & b) * (NUM + DEN) >= NUM * (len(a) + len(b)):
+                sure.append(k)
+        at = pa.array(sure, pa.int64())
+        yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at)], names=["u", "v"])
 
 
 def _frequent(texts: DataFrame, rows: int):
@@ -162,7 +160,7 @@ def _frequent(texts: DataFrame, rows: int):
 
 def _verified(pairs: DataFrame, texts: DataFrame, tag: str) -> DataFrame:
     """The similar ones among candidate pairs (u, v)."""
-    pairs = staged(pairs.distinct(), f"{tag}-pairs")
+    pairs = staged(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), f"{tag}-pairs")
     ids = staged(pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct(), f"{tag}-ids")
     some = staged(texts.join(small_or_shuffled(ids, ids.count()), "doc_id", "left_semi"), f"{tag}-texts")
     a, b = some.select(F.col("doc_id").alias("u"), F.col("text").alias("a")), some.select(F.col("doc_id").alias("v"), F.col("text").alias("b"))
@@ -176,26 +174,32 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Words are runs without ASCII white space, A-Z lower-cased; documents link at
     a Jaccard similarity of NUM / DEN or more of their sets of WIDTH-word shingles
     (shorter texts: all words; empty or null ones are equal). component is the
-    smallest reachable identifier. Null identifiers are left out; an empty
-    table gives none.
+    smallest reachable identifier. Null identifiers are left out; rows that
+    repeat an identifier are one document, similar to whatever one of its texts
+    is; an empty table gives none.
     """
     spark = docs.sparkSession
     texts = id_and_bytes(docs, id_col, text_col).where("doc_id is not null")
+    prints, nodes, links = linked(docs, id_col, text_col, WIDTH, BITS)
+    named = prints.join(nodes, "fp").select(F.col("node").alias("u"), F.col("doc_id").alias("v"))
+    proposed = links.union(named.where("u <> v"))
     frequent = _frequent(texts, texts.count())
     prefixes = staged(texts.mapInArrow(lambda b: _prefix_batches(b, frequent), "shingle long, node long, n int, at int"), "near-prefixes")
-
-    def candidates(rows, every):
-        rows = rows.select("shingle", "node", "n", "at", "whole").repartition(partitions(spark), "shingle")
-        return rows.mapInArrow(lambda b: _candidate_batches(b, every), "u long, v long")
-
-    edges = _verified(candidates(prefixes.withColumn("whole", F.col("node")), False), texts, "near-first")
+    ends = prefixes.groupBy("shingle").agg(F.min(F.struct("node", "n")).alias("low"), F.max(F.struct("node", "n")).alias("high")).where("low.node <> high.node")
+    met = prefixes.join(ends, "shingle").select("node", "n", F.explode(F.array("low", "high")).alias("end"))
+    met = met.where(f"node <> end.node and {DEN} * least(n, end.n) >= {NUM} * greatest(n, end.n)").select(F.col("node").alias("u"), F.col("end.node").alias("v"))
+    edges = _verified(proposed.union(met), texts, "near-first")
     known = staged(components(edges), "near-known")
-    named = prefixes.join(small_or_shuffled(known, known.count()), "node", "left").withColumn("whole", F.coalesce("component", "node"))
-    rest = _verified(candidates(named, True), texts, "near-rest")
+    placed = prefixes.join(small_or_shuffled(known, known.count()), "node", "left").withColumn("whole", F.coalesce("component", "node"))
+    mixed = placed.groupBy("shingle").agg(F.min("whole").alias("low"), F.max("whole").alias("high")).where("low <> high").select("shingle")
+    rows = placed.join(mixed, "shingle").select("shingle", "node", "n", "at", "whole").repartition(partitions(spark), "shingle")
+    rest = _verified(rows.mapInArrow(_candidate_batches, "u long, v long"), texts, "near-rest")
     return components(edges.union(rest))
 
 
 def similar_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` with one document of each group: the one with the smallest id."""
+    """`docs` with one document of each group: the one with the smallest id. Rows
+    with a null identifier stay, and so do rows of an identifier that repeats:
+    which of its texts is meant could not be told."""
     gone = staged(similar_groups(docs, id_col, text_col).where("node <> component").select(F.col("node").alias(id_col)), "near-gone")
-    return without(docs, gone, id_col)
+    return without(docs, sole(docs, gone, id_col), id_col)

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import flat, id_and_bytes, ids_of, partitions, small_or_shuffled, staged, without
+from tidemark.llm.common import flat, id_and_bytes, ids_of, partitions, slices, small_or_shuffled, sole, staged, without
 from tidemark.llm.components import components
 
 SEED = 42
@@ -88,7 +88,7 @@ def fingerprints(texts, width: int = 3) -> np.ndarray:
 
 
 def _fingerprint_batches(batches, width):
-    for batch in batches:
+    for batch in slices(batches):
         data, offsets = flat(batch.column(1))
         raw = data.tobytes()
         found = fingerprints([raw[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())], width)
@@ -179,6 +179,19 @@ def _dealt(probes: DataFrame, nodes: DataFrame, hot_half: int) -> DataFrame:
     return probes.select((F.col("key") * 2048 + F.col("_s")).alias("deal"), "fp", "node", "own")
 
 
+def linked(docs: DataFrame, id_col: str, text_col: str, width: int, most: int, hot_half: int = HOT_HALF) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Fingerprints (doc_id, fp) of all documents; of each fingerprint the smallest
+    identifier, its node (fp, node); links (u, v) between nodes that connect what
+    `most` or fewer differing bits connect."""
+    if most > 3:
+        raise ValueError("two segments with balls of radius 1 find up to 3 differing bits")
+    prints = staged(id_and_bytes(docs, id_col, text_col).mapInArrow(lambda b: _fingerprint_batches(b, width), "doc_id long, fp long"), "simhash")
+    nodes = prints.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("node"))
+    probes = _dealt(nodes.mapInArrow(_probe_batches, "key long, fp long, node long, own boolean"), nodes, hot_half)
+    links = probes.repartition(partitions(docs.sparkSession), "deal").mapInArrow(lambda b: _link_batches(b, most), "u long, v long")
+    return prints, nodes, links
+
+
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, most: int = 3, hot_half: int = HOT_HALF) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id.
 
@@ -190,19 +203,15 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     null identifier takes the component of its fingerprint, null if no other
     document is in it. Other columns are ignored; an empty table gives none.
     """
-    if most > 3:
-        raise ValueError("two segments with balls of radius 1 find up to 3 differing bits")
-    prints = staged(id_and_bytes(docs, id_col, text_col).mapInArrow(lambda b: _fingerprint_batches(b, width), "doc_id long, fp long"), "simhash")
-    nodes = prints.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("node"))
-    probes = _dealt(nodes.mapInArrow(_probe_batches, "key long, fp long, node long, own boolean"), nodes, hot_half)
-    edges = probes.repartition(partitions(docs.sparkSession), "deal").mapInArrow(lambda b: _link_batches(b, most), "u long, v long")
-    whole = components(edges)
+    prints, nodes, links = linked(docs, id_col, text_col, width, most, hot_half)
+    whole = components(links)
     named = nodes.join(whole, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     return prints.join(named, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` with one document of each group: the one with the smallest id."""
+    """`docs` with one document of each group: the one with the smallest id. Rows
+    with a null identifier stay, and so do rows of an identifier that repeats."""
     found = simhash_groups(docs, id_col, text_col)
-    gone = staged(found.where("doc_id <> component_id").select(F.col("doc_id").alias(id_col)), "simhash-gone")
-    return without(docs, gone, id_col)
+    gone = staged(found.where("doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct(), "simhash-gone")
+    return without(docs, sole(docs, gone, id_col), id_col)
