@@ -3,7 +3,7 @@
 import re
 
 import corpus_pipeline as P
-from tidemark.llm.simhash import simhash_groups
+from test_jaccard import brute
 from tidemark.llm.toxicity import score_toxicity
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -34,7 +34,7 @@ def test_stages(spark, sf_dir, tmp_path):
                 best[key] = max(best.get(key, i), i)
             assert ids == set(best.values())
         elif name == "SimHash near-dedup":
-            assert ids == {r.component_id for r in simhash_groups(docs).collect()}
+            assert ids == brute([(r.doc_id, r.text) for r in before.values()])
         elif name == "decontamination":
             plain = lambda t: re.sub(r"[^0-9a-z\x80-\U0010ffff]+", " ", t.lower())
             items = [plain(r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
@@ -54,3 +54,39 @@ def test_run(spark, sf_dir):
     for r in rows:
         bins.setdefault(r.bin_id, []).append(r)
     assert rows and all(sum(r.n_tokens for r in b) <= 2048 and len({r.source for r in b}) == len(b) for b in bins.values())
+
+
+def test_odd_rows(spark, sf_dir, tmp_path):
+    """Nulls in any column, empty and repeated rows, repeated identifiers, clashing columns, an empty table."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, _gone int, _digest binary, key string, cluster long, u long"
+    text = "the quick brown fox jumps over the lazy dog and runs into the dark wood behind the house"
+    rows = [(1, text), (1, text), (2, text.upper()), (1, "another text of the first one"), (None, text), (None, None), (3, None), (4, ""), (5, text + " again"), (6, None), (None, "q")]
+    folder = tmp_path / "sf"
+    folder.mkdir()
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").write.parquet(str(folder / f"{name}.parquet"))
+    docs = spark.createDataFrame([(i, t, None, f"s{k}" if k % 2 else None, None, k, b"x", None, k, None) for k, (i, t) in enumerate(rows)], schema)
+    docs.write.parquet(str(folder / "documents.parquet"))
+    kept = sorted((r.doc_id or 0, (r.text or "").lower()) for r in P.exact(spark, docs, str(folder)).collect())
+    assert kept == sorted([(2, text), (1, "another text of the first one"), (6, ""), (5, text + " again"), (0, "q")])
+    left = P.near(spark, P.exact(spark, docs, str(folder)), str(folder))
+    assert left.columns == docs.columns
+    assert sorted(r.doc_id or 0 for r in left.collect()) == [0, 1, 2, 6]
+    for stage in (P.toxicity, P.exact, P.near, P.decontaminate):
+        out = stage(spark, docs, str(folder))
+        assert out.columns == docs.columns and out.count() <= len(rows)
+        assert stage(spark, docs.limit(0), str(folder)).count() == 0
+    assert {r.doc_id for r in P.run(spark, str(folder)).collect()} >= {2, 6}
+    docs.limit(0).write.mode("overwrite").parquet(str(folder / "documents.parquet"))
+    assert P.run(spark, str(folder)).count() == 0
+
+
+def test_run_leaves_one_copy(spark, sf_dir):
+    from pathlib import Path
+
+    from tidemark.llm.common import shared_dir
+
+    home = Path(shared_dir(spark).removeprefix("file:")) / "tidemark"
+    before = set(home.iterdir()) if home.exists() else set()
+    P.run(spark, sf_dir).count()
+    assert [p.name.rsplit("-", 1)[0] for p in set(home.iterdir()) - before if p.name.startswith("stage")] == ["stage-decontamination"]

@@ -40,15 +40,37 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+#: Paths given out inside each open `cleared` block.
+_given: list[list[str]] = []
+
+
 def scratch(spark: SparkSession, tag: str) -> str:
     """A fresh path in the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/tidemark/{tag}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/tidemark/{tag}-{uuid.uuid4().hex}"
+    for paths in _given:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def cleared(spark: SparkSession, *more: str):
+    """Delete, at the end of a block, the scratch tables that it made, and `more`.
+    What the block returns must have been written elsewhere by then."""
+    paths = list(more)
+    _given.append(paths)
+    try:
+        yield
+    finally:
+        _given.remove(paths)
+        for path in paths:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def staged(df: DataFrame, tag: str) -> DataFrame:
+def staged(df: DataFrame, tag: str, path: str | None = None) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts lineage and
     outlives lost executors."""
-    path = scratch(df.sparkSession, tag)
+    path = path or scratch(df.sparkSession, tag)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
