@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm.common import documents, staged, without
+from tidemark.llm.common import cleared, documents, scratch, staged
 from tidemark.llm.decontam import drop_leaks
-from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.exact_dedup import drop_copies
 from tidemark.llm.jaccard import similar_dedup
 from tidemark.llm.packing import pack
 from tidemark.llm.toxicity import drop_toxic
@@ -19,12 +19,12 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal documents, the one with the largest doc_id."""
-    dropped = staged(exact_dedup(docs).where("not kept").select("doc_id"), "exact-gone")
-    return without(docs, dropped)
+    return drop_copies(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near-duplicates (Jaccard similarity of 5-word shingles >= 0.8), the one with the smallest doc_id."""
+    """Of near-duplicates, the one with the smallest doc_id: SimHash with multi-index hashing proposes links,
+    exact Jaccard similarity of 5-word shingles >= 0.8 confirms them, a prefix filter finds the rest."""
     return similar_dedup(docs)
 
 
@@ -45,8 +45,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`; each result is written before the next reads it."""
-    docs = documents(spark, sf_dir)
+    """All stages over `documents`; each result is written before the next reads it,
+    and then what the stage needed on the way, its input too, is deleted."""
+    docs, before = documents(spark, sf_dir), ()
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+        path = scratch(spark, f"stage-{name.replace(' ', '-')}")
+        with cleared(spark, *before):
+            docs = staged(stage(spark, docs, sf_dir), name, path)
+        before = (path,)
     return STAGES[-1][1](spark, docs, sf_dir)
