@@ -209,7 +209,7 @@ def fit(texts: list[bytes], labels: np.ndarray, seed: int = 7, steps: int = 500)
     bias = np.zeros(2)
     seen_e, seen_s, seen_b = np.full(BUCKETS, 1e-6), np.full((DIM, 2), 1e-6), np.full(2, 1e-6)
     balance = np.where(labels == 1, 0.5 / labels.mean(), 0.5 / (1 - labels.mean()))
-    epochs = max(9, -(-steps * 256 // len(texts)))
+    epochs = max(9, -(-steps // -(-len(use) // 256)))
 
     def lean():
         t, out = (emb @ (soft[:, 1] - soft[:, 0])).astype(np.float32), []
@@ -253,10 +253,11 @@ def fit(texts: list[bytes], labels: np.ndarray, seed: int = 7, steps: int = 500)
             way = soft[:, 1] - soft[:, 0]
             pull = np.bincount(gram, share * np.repeat(err[:, 1], np.diff(np.append(begin, len(gram)))), BUCKETS)
             grad_s, grad_b = hidden.T @ err + 1e-4 * soft, err.sum(axis=0)
-            seen_e += (pull**2) * (way @ way)
+            hot = np.flatnonzero(pull)
+            seen_e[hot] += (pull[hot] ** 2) * (way @ way)
             seen_s += grad_s**2
             seen_b += grad_b**2
-            emb -= np.outer(RATE * pull / np.sqrt(seen_e), way).astype(np.float32)
+            emb[hot] -= np.outer(RATE * pull[hot] / np.sqrt(seen_e[hot]), way).astype(np.float32)
             soft -= 0.05 * grad_s / np.sqrt(seen_s)
             bias -= 0.05 * grad_b / np.sqrt(seen_b)
     model = Model((emb @ (soft[:, 1] - soft[:, 0])).astype(np.float32), float(bias[1] - bias[0]), 1.0, 0.0, vectors=emb, softmax=soft)
