@@ -16,18 +16,19 @@ def above(df: DataFrame, threshold: float) -> DataFrame:
     return df.where(F.col("confidence") > threshold)
 
 
-def _inside(width: float, height: float, margin: float) -> Column:
+def inside(width: float = 2688, height: float = 1520, margin: float = 50) -> Column:
+    """Whether a box keeps `margin` pixels from every border."""
     return (F.col("xmin") >= margin) & (F.col("xmax") <= width - margin) & (F.col("ymin") >= margin) & (F.col("ymax") <= height - margin)
 
 
 def drop_edge(df: DataFrame, width: float = 2688, height: float = 1520, margin: float = 50) -> DataFrame:
     """Boxes that keep `margin` pixels from every border."""
-    return df.where(_inside(width, height, margin))
+    return df.where(inside(width, height, margin))
 
 
 def only_edge(df: DataFrame, width: float = 2688, height: float = 1520, margin: float = 50) -> DataFrame:
     """The other boxes; rows with a missing side are in neither."""
-    return df.where(~_inside(width, height, margin))
+    return df.where(~inside(width, height, margin))
 
 
 def area() -> Column:

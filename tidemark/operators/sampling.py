@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.operators import boxes, series
+
 
 def dealt(seed: int, *keys: str) -> Column:
     """A reproducible order that looks random."""
@@ -89,24 +91,23 @@ def batches(df: DataFrame, size: int, key: str, group: list[str]) -> DataFrame:
     return df.withColumn("batch", F.floor((F.row_number().over(W.partitionBy(*group).orderBy(key)) - 1) / size).cast("bigint"))
 
 
-def problem_frames(series: DataFrame, boxes_at_edge: DataFrame, fish: DataFrame, spikes: DataFrame, dips: DataFrame, high: int = 10) -> DataFrame:
-    """video_id, second, problem: edge boxes, repaired spikes and dips, high counts,
-    changes of the count, fish. series: video_id, second, c."""
-    w = W.partitionBy("video_id").orderBy("second")
-    changed = lambda fixed, name: series.join(fixed.withColumnRenamed("c", "fixed"), ["video_id", "second"]).where("c <> fixed").select("video_id", "second", F.lit(name).alias("problem"))
-    step = series.withColumn("_d", F.col("c") - F.lag("c").over(w))
-    parts = [
-        boxes_at_edge.select("video_id", "second").distinct().withColumn("problem", F.lit("edge")),
-        changed(spikes, "spike"),
-        changed(dips, "dip"),
-        series.where(F.col("c") >= high).select("video_id", "second", F.lit("high_count").alias("problem")),
-        step.where("_d <> 0").select("video_id", "second", F.lit("transition").alias("problem")),
-        fish.select("video_id", "second").distinct().withColumn("problem", F.lit("fish")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def problem_frames(df: DataFrame, classes, fish: str, margin: float = 50, spike: int = 1, dip: int = 2, high: int = 10) -> DataFrame:
+    """video_id, second, problem: boxes at the edge, repaired spikes and dips, high
+    counts, changes of the count, fish. One pass over the boxes; a second's
+    problems are flags of its row."""
+    edge, some = F.max(~boxes.inside(margin=margin)).alias("_edge"), F.max(F.col("class") == fish).alias("_fish")
+    s = series.counts(df, classes, edge, some).withColumns({"_spike": F.col("c"), "_dip": F.col("c")})
+    s = series.remove_dips(series.remove_spikes(s, "_spike", spike), "_dip", dip)
+    found = {
+        "edge": F.col("_edge"),
+        "spike": F.col("c") != F.col("_spike"),
+        "dip": F.col("c") != F.col("_dip"),
+        "high_count": F.col("c") >= high,
+        "transition": F.col("c") != F.lag("c").over(series.by_video()),
+        "fish": F.col("_fish"),
+    }
+    problems = F.array_compact(F.array(*(F.when(test, F.lit(name)) for name, test in found.items())))
+    return s.withColumn("_problems", problems).select("video_id", "second", F.explode("_problems").alias("problem"))
 
 
 def low_quality(brightness: Column, blur: Column) -> Column:

@@ -1,8 +1,9 @@
 """Dense per-second series and window expressions over them.
 
 A series has the keys video_id and second; every video has all seconds from 0
-to its last, so frames of rows are frames of seconds. All functions share one
-hash partitioning on video_id.
+to its last, so frames of rows are frames of seconds. Boxes are first counted by
+video and second, which leaves no more of a hot video than its seconds; what
+remains is partitioned by video_id once, for gaps and all windows after them.
 """
 
 from __future__ import annotations
@@ -27,29 +28,38 @@ def seconds_of(frame: str, fps: int, original_fps: int = 25) -> Column:
     return F.floor(F.col(frame) / (original_fps if fps == 1 else fps)).cast("bigint")
 
 
-def dense(df: DataFrame) -> DataFrame:
-    """(video_id, second) for all seconds from 0 to the last one of each video."""
-    return df.groupBy("video_id").agg(F.max("second").alias("_m")).select("video_id", F.explode(F.sequence(F.lit(0).cast("bigint"), "_m")).alias("second"))
+def by_second(df: DataFrame, *aggs: Column) -> DataFrame:
+    """One row per video and second that occurs (seconds below zero are left out)."""
+    return df.where("second >= 0").groupBy("video_id", "second").agg(*aggs)
 
 
-def per_second(df: DataFrame, classes) -> DataFrame:
-    """Dense counts, mean centres, areas and confidences per class. Other classes
-    extend the series but are not counted."""
+def filled(found: DataFrame, *zero: str) -> DataFrame:
+    """All seconds from 0 to each video's last: a second that `found` lacks gets 0
+    in the columns `zero` and null in the others. A row brings the gap before it."""
+    rows = found.withColumn("_from", F.coalesce(F.lag("second").over(by_video()) + 1, F.lit(0).cast("bigint")))
+    rows = rows.withColumn("_at", F.explode(F.sequence("_from", "second")))
+    own = lambda c: F.when(F.col("_at") == F.col("second"), F.col(c))
+    values = [(F.coalesce(own(c), F.lit(0).cast("bigint")) if c in zero else own(c)).alias(c) for c in found.columns if c not in ("video_id", "second")]
+    return rows.select("video_id", F.col("_at").alias("second"), *values)
+
+
+def per_second(df: DataFrame, classes, *more: Column) -> DataFrame:
+    """Dense counts, mean centres, areas and confidences per class, and aggregates
+    `more` (null where a second is empty). Other classes extend the series but
+    are not counted."""
     aggs = []
     for c in classes:
         mine = F.col("class") == c
         pick = lambda x: F.when(mine, x)  # noqa: B023, E731
         aggs += [F.count_if(mine).alias(f"count_{c}"), F.avg(pick(boxes.center_x())).alias(f"{c}_mean_x"), F.avg(pick(boxes.center_y())).alias(f"{c}_mean_y"), F.avg(pick(boxes.area())).alias(f"{c}_mean_area"), F.max(pick(boxes.area())).alias(f"{c}_max_area"), F.avg(pick(F.col("confidence"))).alias(f"{c}_mean_conf")]
-    found = df.groupBy("video_id", "second").agg(*aggs)
-    out = dense(df).join(found, ["video_id", "second"], "left")
-    counts = {f"count_{c}": F.coalesce(F.col(f"count_{c}"), F.lit(0).cast("bigint")) for c in classes}
-    return out.withColumns(counts).withColumn("count_total", sum((F.col(f"count_{c}") for c in classes), F.lit(0).cast("bigint")))
+    out = filled(by_second(df, *aggs, *more), *(f"count_{c}" for c in classes))
+    return out.withColumn("count_total", sum((F.col(f"count_{c}") for c in classes), F.lit(0).cast("bigint")))
 
 
-def counts(df: DataFrame, classes) -> DataFrame:
-    """(video_id, second, c): dense total count of some classes."""
-    found = df.where(F.col("class").isin(*classes)).groupBy("video_id", "second").agg(F.count("*").alias("c"))
-    return dense(df).join(found, ["video_id", "second"], "left").select("video_id", "second", F.coalesce("c", F.lit(0).cast("bigint")).alias("c"))
+def counts(df: DataFrame, classes, *more: Column) -> DataFrame:
+    """(video_id, second, c): dense total count of some classes; aggregates `more`
+    come with it, null where a second is empty."""
+    return filled(by_second(df, F.count_if(F.col("class").isin(*classes)).alias("c"), *more), "c")
 
 
 def moving_average(column: str, size: int) -> Column:

@@ -142,8 +142,9 @@ def op_158(spark, sf_dir):
 @query("op_079_events_with_fish", f"""WITH {_STATE_EVENTS} SELECT s.video_id, s.second, s.type, count(d.event_id) AS fish_count, round(avg((d.xmax - d.xmin) * (d.ymax - d.ymin)), 6) AS fish_mean_area, max((d.xmax - d.xmin) * (d.ymax - d.ymin)) AS fish_max_area, CAST(count(d.event_id) > 0 AS INTEGER) AS arrival_with_fish
     FROM sev s LEFT JOIN det d ON d.video_id = s.video_id AND d.class = 'signup' AND abs(d.second - s.second) <= 5 AND s.type = 'arrival' GROUP BY ALL""")
 def op_079(spark, sf_dir):
-    events = states.detect(ser(spark, sf_dir), spike=2, dip=3, shortest=3)
-    return enrich.with_fish(events, detections(spark, sf_dir), "signup").withColumn("fish_mean_area", F.round("fish_mean_area", 6))
+    s = series.counts(detections(spark, sf_dir), CLASSES, *enrich.fish_boxes("signup"))
+    out = enrich.with_fish(states.marked(series.repaired(s, spike=2, dip=3), shortest=3))
+    return out.withColumn("fish_mean_area", F.round("fish_mean_area", 6))
 
 
 _MOVE = f"""{GRID}, pc AS (SELECT video_id, second, avg((xmin + xmax) / 2) AS x_mean, avg((ymin + ymax) / 2) AS y_mean FROM det WHERE class IN ('view', 'click') GROUP BY ALL),
@@ -177,9 +178,8 @@ def op_149(spark, sf_dir):
     FROM a FULL JOIN b USING (video_id, minute) FULL JOIN c USING (video_id, minute) LEFT JOIN d USING (video_id, minute) WHERE coalesce(t, 0) > 0 OR ar > 0 OR de > 0 OR fl > 0""")
 def op_102(spark, sf_dir):
     d = detections(spark, sf_dir)
-    ps = series.per_second(d, CLASSES)
-    events = enrich.with_fish(states.detect(ser(spark, sf_dir), spike=2, dip=3, shortest=3), d, "signup")
-    out = enrich.per_minute(ps, events, enrich.movement(ps, ("view", "click")), enrich.flaps(d, "view", 2.0), "view", "purchase", 10)
+    seconds = enrich.minute_rows(d, CLASSES, ("view", "click"), "view", "purchase", "signup", spike=2, dip=3, shortest=3)
+    out = enrich.per_minute(seconds, enrich.flaps(d, "view", 2.0), 10)
     return out.withColumns({"mean_adult_count_per_s": F.round("mean_adult_count_per_s", 6), "avg_movement_delta_px": F.round("avg_movement_delta_px", 4), "avg_fish_area_px": F.round("avg_fish_area_px", 4)})
 
 
@@ -193,8 +193,8 @@ def op_121(spark, sf_dir):
     SELECT video_id, CAST(sum(c) AS BIGINT) AS raw, CAST(sum(k) AS BIGINT) AS filtered, count(*) FILTER (fr) AS raw_flicker, count(*) FILTER (ff) AS filtered_flicker, round(100.0 * (sum(c) - sum(k)) / nullif(sum(c), 0), 6) AS reduction FROM x GROUP BY video_id""")
 def op_122(spark, sf_dir):
     d = detections(spark, sf_dir)
-    kept = boxes.drop_edge(d, margin=300).where(F.col("class").isin(*CLASSES)).groupBy("video_id", "second").agg(F.count("*").alias("k"))
-    j = series.counts(d, CLASSES).join(kept, ["video_id", "second"], "left").withColumn("k", F.coalesce("k", F.lit(0).cast("bigint")))
+    own = F.col("class").isin(*CLASSES)
+    j = series.counts(d, CLASSES, F.count_if(own & boxes.inside(margin=300)).alias("k")).fillna(0, ["k"])
     w = series.by_video()
     x = j.withColumns({"fr": F.abs(F.col("c") - F.lag("c").over(w)) > 1, "ff": F.abs(F.col("k") - F.lag("k").over(w)) > 1})
     return x.groupBy("video_id").agg(F.sum("c").alias("raw"), F.sum("k").alias("filtered"), F.count_if("fr").alias("raw_flicker"), F.count_if("ff").alias("filtered_flicker"), F.round(F.try_divide(F.lit(100.0) * (F.sum("c") - F.sum("k")), F.sum("c")), 6).alias("reduction"))

@@ -15,11 +15,11 @@ _MODEL = {"feature_names": ["bird_displacement", "fish_frames"], "means": [300.0
 def _clips(spark, sf_dir):
     """A user's events of one type are an event's clip: views are birds, clicks fish."""
     d = detections(spark, sf_dir).drop("event_id").withColumnRenamed("video_id", "event_id").withColumnRenamed("second", "frame")
-    events = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("event_id"), (F.col("c_custkey") % 2).alias("arrival_with_fish_stage2")).where("event_id < 200")
+    events = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("event_id"), (F.col("c_custkey") % 2).alias("arrival_with_fish_stage2"))
     return events, d
 
 
-_FEATURES = f"""{DET}, ev AS (SELECT c_custkey AS event_id, CAST(c_custkey % 2 AS INTEGER) AS arrival_with_fish_stage2 FROM customer WHERE c_custkey < 200),
+_FEATURES = f"""{DET}, ev AS (SELECT c_custkey AS event_id, CAST(c_custkey % 2 AS INTEGER) AS arrival_with_fish_stage2 FROM customer),
     tot AS (SELECT video_id, max(second) + 1 AS total_frames FROM det GROUP BY 1),
     fi AS (SELECT d.*, total_frames, (xmax - xmin) * (ymax - ymin) AS a FROM det d JOIN tot USING (video_id) WHERE class = 'click'),
     fa AS (SELECT video_id, count(DISTINCT second) AS fish_frames, count(*) AS fish_detection_count, avg(confidence) AS fish_avg_confidence, stddev_pop(confidence) AS fish_confidence_std,
@@ -69,11 +69,10 @@ def op_223(spark, sf_dir):
 
 @query("op_224_logistic", None)
 def op_224(spark, sf_dir):
-    """Fit on a bounded table (the 150 users' features), score all of them."""
-    f = classify.features(*_clips(spark, sf_dir), bird="view", fish="click").where("total_frames > 0")
+    """Fit on all clips with boxes, score them."""
+    f = classify.features(*_clips(spark, sf_dir), bird="view", fish="click").where("total_frames > 0").persist()
     names = ["fish_frames", "bird_frames", "bird_displacement"]
-    rows = f.select("arrival_with_fish_stage2", *names).orderBy("event_id").limit(5000).toPandas()
-    model = classify.fit_logistic(rows[names].to_numpy(float), rows["arrival_with_fish_stage2"].to_numpy(float), epochs=500)
+    model = classify.fit_logistic(f, names, "arrival_with_fish_stage2")
     return f.select("event_id", F.round(classify.linear_score(names, model["means"], model["stds"], model["weights"], model["bias"]), 6).alias("score"))
 
 
@@ -87,10 +86,21 @@ def op_225(spark, sf_dir):
     return out.select("threshold", "tp", "fp", "fn", F.round("f1", 6).alias("f1"))
 
 
-@query("op_226_rule_search", f"WITH {_FEATURES}, g AS (SELECT * FROM (SELECT CAST(unnest([2, 4, 8]) AS DOUBLE) AS min_fish_frames), (SELECT CAST(unnest([4, 8, 12]) AS DOUBLE) AS min_bird_frames)) SELECT min_fish_frames, min_bird_frames, count(*) FILTER (arrival_with_fish_stage2 = 1 AND s) AS tp, count(*) FILTER (arrival_with_fish_stage2 <> 1 AND s) AS fp FROM (SELECT *, fish_frames >= min_fish_frames AND bird_frames >= min_bird_frames AS s FROM ft, g) GROUP BY ALL")
+#: Bounds of the rule search: column, comparison, values.
+_RULE_GRID = [("fish_detection_count", ">=", [2, 3, 4, 6]), ("fish_first_frame_ratio", ">=", [0.05, 0.1, 0.15, 0.2, 0.25]), ("fish_bird_min_distance", "<=", [60.0, 80.0, 100.0, 140.0]), ("fish_avg_confidence", ">=", [0.45, 0.55, 0.65, 0.75])]
+_GRID_SQL = ", ".join(f"(SELECT unnest({[float(v) for v in values]}::DOUBLE[]) AS b{i})" for i, (_, _, values) in enumerate(_RULE_GRID))
+_SAID_SQL = " AND ".join(f"{c} {op} b{i}" for i, (c, op, _) in enumerate(_RULE_GRID))
+
+
+@query("op_226_rule_search", f"""WITH {_FEATURES}, v AS (SELECT *, event_id % 5 = 0 AS val, arrival_with_fish_stage2 = 1 AS t FROM ft),
+    n AS (SELECT b0, b1, b2, b3, count(*) FILTER (NOT val AND t AND s) AS train_tp, count(*) FILTER (NOT val AND NOT t AND s) AS train_fp, count(*) FILTER (NOT val AND t AND NOT s) AS train_fn, count(*) FILTER (val AND t AND s) AS tp, count(*) FILTER (val AND NOT t AND s) AS fp, count(*) FILTER (val AND t AND NOT s) AS fn
+      FROM (SELECT *, {_SAID_SQL} AS s FROM v, {_GRID_SQL}) GROUP BY ALL)
+    SELECT b0 AS fish_detection_count, b1 AS fish_first_frame_ratio, b2 AS fish_bird_min_distance, b3 AS fish_avg_confidence, train_tp, train_fp, train_fn, tp, fp, fn, row_number() OVER (ORDER BY coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0) DESC, b0, b1, b2, b3) = 1 AS chosen FROM n""")
 def op_226(spark, sf_dir):
+    """Clips of every fifth event validate: the rule with the best F1 on them is chosen."""
     f = classify.features(*_clips(spark, sf_dir), bird="view", fish="click")
-    return classify.search_rule(f, "arrival_with_fish_stage2", {"fish_frames": [2, 4, 8], "bird_frames": [4, 8, 12]}).select("min_fish_frames", "min_bird_frames", "tp", "fp")
+    out = classify.search_rule(f, "arrival_with_fish_stage2", _RULE_GRID, F.col("event_id") % 5 == 0)
+    return out.select(*(c for c, _, _ in _RULE_GRID), "train_tp", "train_fp", "train_fn", "tp", "fp", "fn", "chosen")
 
 
 @query("op_227_detector_grid", None)
@@ -110,7 +120,7 @@ def op_227(spark, sf_dir):
 
 @query("op_164_mahalanobis", None)
 def op_164(spark, sf_dir):
-    e = table(spark, sf_dir, "embeddings").select("label", "vec_id", F.slice("embedding", 1, 6).alias("v"))
+    e = table(spark, sf_dir, "embeddings").select("label", "vec_id", F.col("embedding").alias("v"))
     return grid.mahalanobis(e, "label", "vec_id", "v", 20).withColumn("score", F.round("score", 5))
 
 

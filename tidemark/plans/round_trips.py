@@ -1,26 +1,18 @@
 """Sources and sinks: tables written in a format and read back by its reader.
 
-Files go to the folder that the cluster names in spark.checkpoint.dir, or to a
-temporary one where that is unset.
+Files go to the folder that the cluster names in spark.checkpoint.dir.
 """
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from tidemark.plans.registry import query
 from tidemark.plans.roles import detections, table
+from tidemark.plans.session import scratch
 from tidemark.sources import files, sinks
 
 
-def scratch(spark, tag: str) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="tidemark-")
-    return f"{base.rstrip('/')}/files/{tag}-{uuid.uuid4().hex}"
-
-
 def _csv(df, tag: str, sep: str = ",") -> str:
     path = scratch(df.sparkSession, tag)
     df.write.option("header", True).option("sep", sep).csv(path)
@@ -58,9 +50,9 @@ def op_011(spark, sf_dir):
     return there.unionByName(files.read_or_empty(spark, scratch(spark, "missing"), "n_name string, n bigint"))
 
 
-@query("op_012_annotations", "SELECT 'ST_20240101T080000' AS file, event_type AS event_type, CAST(event_id % 600 AS BIGINT) AS second, event_id % 2 = 0 AS with_fish FROM events WHERE event_id < 900")
+@query("op_012_annotations", "SELECT 'ST_20240101T080000' AS file, event_type AS event_type, CAST(event_id % 600 AS BIGINT) AS second, event_id % 2 = 0 AS with_fish FROM events")
 def op_012(spark, sf_dir):
-    e = table(spark, sf_dir, "events").where("event_id < 900").selectExpr("'ST_20240101T080000.mp4' File_name", "initcap(event_type) Event", "date_format(timestamp_ntz'2024-01-01 08:00:00' + make_dt_interval(0, 0, 0, event_id % 600), 'HH:mm:ss') Time", "if(event_id % 2 = 0, 'Yes', 'No') With_fish")
+    e = table(spark, sf_dir, "events").selectExpr("'ST_20240101T080000.mp4' File_name", "initcap(event_type) Event", "date_format(timestamp_ntz'2024-01-01 08:00:00' + make_dt_interval(0, 0, 0, event_id % 600), 'HH:mm:ss') Time", "if(event_id % 2 = 0, 'Yes', 'No') With_fish")
     return files.read_annotations(spark, _csv(e, "annotations", ";")).select("file", "event_type", "second", "with_fish")
 
 
@@ -70,19 +62,19 @@ def op_013(spark, sf_dir):
     return files.read_validation(spark, _csv(e, "validation", ";"), ["S0"], ["view"], "2000-01-01", "2100-01-01").select("event_id")
 
 
-@query("op_014_xml_boxes", "SELECT 'img' || user_id AS image, event_type AS class, CAST(event_id % 2500 AS DOUBLE) AS xmin, CAST(event_id % 2500 + 10 AS DOUBLE) AS xmax FROM events WHERE event_id < 500")
+@query("op_014_xml_boxes", "SELECT 'img' || user_id AS image, event_type AS class, CAST(event_id % 2500 AS DOUBLE) AS xmin, CAST(event_id % 2500 + 10 AS DOUBLE) AS xmax FROM events")
 def op_014(spark, sf_dir):
     box = "named_struct('name', event_type, 'bndbox', named_struct('xmin', event_id % 2500, 'ymin', 1, 'xmax', event_id % 2500 + 10, 'ymax', 5))"
-    e = table(spark, sf_dir, "events").where("event_id < 500").groupBy("user_id").agg(F.expr(f"collect_list({box})").alias("object"))
+    e = table(spark, sf_dir, "events").groupBy("user_id").agg(F.expr(f"collect_list({box})").alias("object"))
     path = scratch(spark, "xml")
     e.selectExpr("concat('img', user_id) filename", "named_struct('width', 100, 'height', 50) size", "object").write.format("xml").option("rowTag", "annotation").save(path)
     return files.read_boxes_xml(spark, path).select("image", "class", "xmin", "xmax")
 
 
-@query("op_020_result_tables", "SELECT user_id, count(*) AS n FROM events GROUP BY 1 UNION ALL SELECT event_id % 7, event_id FROM events WHERE event_id < 100")
+@query("op_020_result_tables", "SELECT user_id, count(*) AS n FROM events GROUP BY 1 UNION ALL SELECT event_id % 7, event_id FROM events")
 def op_020(spark, sf_dir):
     e, path = table(spark, sf_dir, "events"), scratch(spark, "results")
-    sinks.write_results({"events": e.where("event_id < 100").selectExpr("event_id % 7 user_id", "event_id n"), "per_minute": e.groupBy("user_id").agg(F.count("*").alias("n"))}, path)
+    sinks.write_results({"events": e.selectExpr("event_id % 7 user_id", "event_id n"), "per_minute": e.groupBy("user_id").agg(F.count("*").alias("n"))}, path)
     return spark.read.parquet(f"{path}/events").unionByName(spark.read.parquet(f"{path}/per_minute"))
 
 

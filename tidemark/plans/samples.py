@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import boxes, sampling, series
-from tidemark.plans.core import repair_sql, ser
+from tidemark.operators import boxes, sampling
+from tidemark.plans.core import repair_sql
 from tidemark.plans.registry import query
-from tidemark.plans.roles import GRID, detections, table
+from tidemark.plans.roles import CLASSES, GRID, detections, table
 
 _TOP = "SELECT *, CAST(floor(value) AS BIGINT) * 100000 + event_id AS s FROM events ORDER BY s DESC, event_id LIMIT 500"
 
@@ -45,9 +45,9 @@ def op_188(spark, sf_dir):
     return sampling.sample(table(spark, sf_dir, "events").select("event_id"), 200, 42, "event_id")
 
 
-@query("op_189_targets", "SELECT event_id, round(value * (0.1 + 0.8 * unnest(range(0, 5)) / 4), 6) AS offset FROM events WHERE event_id < 500")
+@query("op_189_targets", "SELECT event_id, round(value * (0.1 + 0.8 * unnest(range(0, 5)) / 4), 6) AS offset FROM events")
 def op_189(spark, sf_dir):
-    out = sampling.targets(table(spark, sf_dir, "events").where("event_id < 500"), F.col("value"), 5)
+    out = sampling.targets(table(spark, sf_dir, "events"), F.col("value"), 5)
     return out.select("event_id", F.round("offset", 6).alias("offset"))
 
 
@@ -80,8 +80,7 @@ _DIP = repair_sql("ser", "dp", 3, True)
     UNION ALL SELECT video_id, second, 'transition' FROM (SELECT *, c - lag(c) OVER (PARTITION BY video_id ORDER BY second) AS d FROM ser) WHERE d <> 0
     UNION ALL (SELECT DISTINCT video_id, second, 'fish' FROM det WHERE class = 'signup')""")
 def op_232(spark, sf_dir):
-    d, s = detections(spark, sf_dir), ser(spark, sf_dir)
-    return sampling.problem_frames(s, boxes.only_edge(d, margin=100), d.where("class = 'signup'"), series.remove_spikes(s, longest=2), series.remove_dips(s, longest=3), 3)
+    return sampling.problem_frames(detections(spark, sf_dir), CLASSES, "signup", margin=100, spike=2, dip=3, high=3)
 
 
 @query("op_234_low_quality", "SELECT event_id, round(greatest(0, (60 - value) / 60) + greatest(0, (100 - CAST(json_extract_string(props, '$.k') AS INTEGER)) / 100), 6) AS score FROM events")

@@ -21,6 +21,10 @@ def build(master: str = "local[8]", shuffle: int = 8, memory: str = "8g") -> Spa
 
 
 def scratch(spark: SparkSession, tag: str) -> str:
-    """A fresh path under spark.checkpoint.dir, or a temporary one where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="tidemark-")
+    """A fresh path under spark.checkpoint.dir; in local mode alone a temporary one where that is unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="tidemark-")
     return f"{base.rstrip('/')}/tidemark/{tag}-{uuid.uuid4().hex}"
