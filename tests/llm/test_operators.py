@@ -555,7 +555,7 @@ def test_exact_with_clashing_keys(docs, key_bytes):
 
 
 def test_settings_stay(spark, docs):
-    before = {k: spark.conf.get(k, None) for k in ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.streaming.stateStore.providerClass", "spark.sql.streaming.stateStore.rocksdb.allowFAllocate")}
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.streaming.stateStore.providerClass", "spark.sql.streaming.stateStore.rocksdb.allowFAllocate")}
     for operator in (exact_dedup, simhash_groups, find_secrets):
         operator(docs).count()
     assert before == {k: spark.conf.get(k, None) for k in before}

@@ -107,9 +107,21 @@ def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def slices(batches, rows: int = 2000):
-    """Batches of at most `rows`, so that a worker's arrays do not follow the
-    session's larger default (Spark bounds a batch in bytes besides)."""
+#: Rows of text in one Arrow batch. The frames that operators return run later, in
+#: the caller's session, so its larger setting is lowered for good.
+ARROW_ROWS = 2000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Hand texts to Python in batches of at most ARROW_ROWS, so that executors'
+    memory does not follow the session's larger default."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= ARROW_ROWS:
+        spark.conf.set(key, ARROW_ROWS)
+
+
+def slices(batches, rows: int = ARROW_ROWS):
+    """Batches of at most `rows`."""
     for batch in batches:
         for k in range(0, batch.num_rows, rows):
             yield batch.slice(k, rows)
@@ -130,6 +142,7 @@ def configured(spark: SparkSession, settings: dict[str, str]):
 
 def id_and_bytes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The two columns an operator needs, under fixed names; null text is empty."""
+    bounded_batches(docs.sparkSession)
     return docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(text_col).cast("string").cast("binary"), F.lit(b"")).alias("text"),

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Powers, flat, gather, id_and_bytes, mix, slices, staged, word_hashes
+from tidemark.llm.common import Powers, bounded_batches, flat, gather, id_and_bytes, mix, slices, staged, word_hashes
 
 WINDOW = 8
 #: A window needs so many tokens that are no placeholders.
@@ -380,6 +380,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """`docs` less the contaminated ones; every other row stays as it is."""
+    bounded_batches(docs.sparkSession)
     column = docs.columns.index(text_col)
     for k, (index, only) in enumerate(_passes(benchmark, "item_id", "text")):
         docs = docs.mapInArrow(lambda b, i=index: _keep_batches(b, i, column), docs.schema)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from tidemark.llm.common import configured, flat, scratch, slices, small_or_shuffled, staged, unused
+from tidemark.llm.common import configured, flat, id_and_bytes, scratch, slices, small_or_shuffled, staged, unused
 
 _STREAM = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -83,7 +83,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Other columns are ignored; an empty table gives an empty result.
     """
     spark = docs.sparkSession
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string").cast("binary"), F.lit(b"")).alias("text"))
+    narrow = id_and_bytes(docs, id_col, text_col)
     located = narrow.withColumn("file", F.input_file_name())
     key = F.substring("digest", 1, key_bytes).alias("key")
     rows = staged(located.mapInArrow(_digest_batches, "doc_id long, digest binary, file string"), "digests")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices
+from tidemark.llm.common import bounded_batches, slices
 
 # Kinds of HTML elements.
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -429,6 +429,7 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     give an empty text; null identifiers and urls are kept; repeated rows give
     equal rows; other columns are ignored; an empty table gives none.
     """
+    bounded_batches(pages.sparkSession)
     weights, moves = (chain or trained()).whole()
     narrow = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
     return narrow.mapInArrow(lambda b: _extract_batches(b, weights, moves), "page_id long, url string, text string, n_chars long")

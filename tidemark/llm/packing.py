@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import flat, slices, words_of
+from tidemark.llm.common import bounded_batches, flat, slices, words_of
 
 CAPACITY = 2048
 #: Texts that one shard holds at most, on average; a shard is packed in one task.
@@ -134,6 +134,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     ignored; an empty table gives none.
     """
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.coalesce(F.col(text_col).cast("string").cast("binary"), F.lit(b"")).alias("text"))
+    bounded_batches(docs.sparkSession)
     rows = docs.count()
     shards = max(1, -(-rows // SHARD))
     sized = narrow.mapInArrow(_measure_batches, "doc_id long, source string, n_tokens long, cluster long")

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tidemark.llm.common import flat, id_and_bytes, slices, unused, word_hashes, words_of
+from tidemark.llm.common import bounded_batches, flat, id_and_bytes, slices, unused, word_hashes, words_of
 
 BUCKETS, DIM = 1 << 16, 12
 #: Words in a passage, and from one passage's start to the next.
@@ -310,6 +310,7 @@ def _score_batches(batches, column, model, name):
 
 def with_score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "_score") -> DataFrame:
     """`docs` with a column of scores, row by row; null text scores as empty."""
+    bounded_batches(docs.sparkSession)
     slim = Model(model.scores, model.bias, model.slope, model.shift, model.empty)
     column = docs.columns.index(text_col)
     schema = StructType([*docs.schema.fields, StructField(name, DoubleType())])
