@@ -35,9 +35,10 @@ def edited():
     return [*rows, (len(rows), ""), (len(rows) + 1, None), (len(rows) + 2, "  ")]
 
 
-@pytest.mark.parametrize("frequent", [2, 8])
-def test_near_stage_finds_all(spark, sf_dir, monkeypatch, frequent):
+@pytest.mark.parametrize("frequent, hot", [(2, 3), (8, 100)])
+def test_near_stage_finds_all(spark, sf_dir, monkeypatch, frequent, hot):
     monkeypatch.setattr(jaccard, "FREQUENT", frequent)
+    monkeypatch.setattr(jaccard, "HOT", hot)
     rows = edited()
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.doc_id for r in corpus_pipeline.near(spark, docs, sf_dir).collect()} == brute(rows)

@@ -25,6 +25,9 @@ _STREAM = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # small stores would each reserve several megabytes of disk for their logs
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    # all stores of an executor share this much memory
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
 }
 
 

@@ -33,12 +33,20 @@ WIDTH = 5
 NUM, DEN = 4, 5
 #: Bits in which the fingerprints of a pair that multi-index hashing proposes may differ.
 BITS = 3
-#: Texts whose shingles are counted for the order, and the count from which a shingle is frequent.
-SAMPLE, FREQUENT = 20_000, 8
+#: Texts whose shingles are counted for the order, and the counts from which a shingle
+#: is frequent (it comes later in the order) and hot (its rows are spread over tasks).
+SAMPLE, FREQUENT, HOT = 20_000, 8, 100
+#: Parts of a hot shingle's rows.
+PARTS = 64
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+_PREFIX = "shingle long, node long, n int, at int, part int"
+_SHARED = "shingle long, node long, n int, at int, low long, low_n int, high long, high_n int"
+_PREFIX_NAMES, _SHARED_NAMES = ([c.split()[0] for c in x.split(", ")] for x in (_PREFIX, _SHARED))
+
+
 def shingle_sets(column) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of each text's distinct shingles, sorted, all end to end, and the
     text of each; of a text of fewer words, one hash of all."""
@@ -75,7 +83,8 @@ def _shingle_batches(batches):
 
 
 def _prefix_batches(batches, frequent):
-    """(shingle, node, n, at): each text's prefix, with its number of shingles and the place among them."""
+    """(shingle, node, n, at, part): each text's prefix, with its number of shingles
+    and the place among them; part is 0, or from 1 on for rows of a hot shingle."""
     known, counts = frequent.value
     for part in slices(batches, 200):
         h, text = shingle_sets(part.column(1))
@@ -84,12 +93,36 @@ def _prefix_batches(batches, frequent):
             at = np.minimum(np.searchsorted(known, h), len(known) - 1)
             rank = np.where(known[at] == h, counts[at], 0)
         order = np.lexsort((h, rank, text))
-        h, text = h[order], text[order]
+        h, text, rank = h[order], text[order], rank[order]
         n = np.bincount(text, minlength=part.num_rows)
         at = np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n)
         n = n[text]
         use = at < n - -(-NUM * n // DEN) + 1
-        yield pa.RecordBatch.from_arrays([pa.array(h[use].view(np.int64)), pa.array(ids_of(part.column(0))[text[use]]), pa.array(n[use].astype(np.int32)), pa.array(at[use].astype(np.int32))], names=["shingle", "node", "n", "at"])
+        node = ids_of(part.column(0))[text[use]]
+        salt = np.where(rank[use] >= HOT, 1 + mix(node.view(np.uint64)) % np.uint64(PARTS), 0)
+        yield pa.RecordBatch.from_arrays([pa.array(h[use].view(np.int64)), pa.array(node), pa.array(n[use].astype(np.int32)), pa.array(at[use].astype(np.int32)), pa.array(salt.astype(np.int32))], names=_PREFIX_NAMES)
+
+
+def _shared_batches(batches):
+    """Of rows that one task has by shingle and part: those of a shingle with
+    several nodes, with its first and last node and their sizes; of hot shingles
+    all, without these, since other tasks have more of them."""
+    parts = [[b.column(i).to_numpy(zero_copy_only=False) for i in range(5)] for b in batches]
+    if not parts:
+        return
+    shingle, node, n, at, salt = (np.concatenate(x) for x in zip(*parts))
+    del parts
+    order = np.lexsort((n, node, shingle))
+    new = np.concatenate([[True], shingle[order[1:]] != shingle[order[:-1]]])
+    begin = np.flatnonzero(new)
+    size = np.diff(np.append(begin, len(order)))
+    low, high = order[begin], order[begin + size - 1]
+    hot = np.repeat(salt[low] > 0, size)
+    use = np.flatnonzero(np.repeat(node[low] != node[high], size) | hot)
+    for k in range(0, len(use), 50_000):
+        u = use[k : k + 50_000]
+        row, a, b, mask = order[u], np.repeat(low, size)[u], np.repeat(high, size)[u], hot[u]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (shingle[row], node[row], n[row], at[row])] + [pa.array(x, mask=mask) for x in (node[a], n[a], node[b], n[b])], names=_SHARED_NAMES)
 
 
 def _candidate_batches(batches):
@@ -184,13 +217,16 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     named = prints.join(nodes, "fp").select(F.col("node").alias("u"), F.col("doc_id").alias("v"))
     proposed = links.union(named.where("u <> v"))
     frequent = _frequent(texts, texts.count())
-    prefixes = staged(texts.mapInArrow(lambda b: _prefix_batches(b, frequent), "shingle long, node long, n int, at int"), "near-prefixes")
-    ends = prefixes.groupBy("shingle").agg(F.min(F.struct("node", "n")).alias("low"), F.max(F.struct("node", "n")).alias("high")).where("low.node <> high.node")
-    met = prefixes.join(ends, "shingle").select("node", "n", F.explode(F.array("low", "high")).alias("end"))
+    prefixes = texts.mapInArrow(lambda b: _prefix_batches(b, frequent), _PREFIX).repartition(partitions(spark), "shingle", "part")
+    shared = staged(prefixes.mapInArrow(_shared_batches, _SHARED), "near-shared")
+    hot, cold = shared.where("low is null"), shared.where("low is not null")
+    ends = F.broadcast(hot.groupBy("shingle").agg(F.min(F.struct("node", "n")).alias("a"), F.max(F.struct("node", "n")).alias("b")))
+    met = hot.join(ends, "shingle").select("node", "n", F.explode(F.array("a", "b")).alias("end"))
+    met = met.union(cold.select("node", "n", F.explode(F.array(F.struct(F.col("low").alias("node"), F.col("low_n").alias("n")), F.struct(F.col("high").alias("node"), F.col("high_n").alias("n")))).alias("end")))
     met = met.where(f"node <> end.node and {DEN} * least(n, end.n) >= {NUM} * greatest(n, end.n)").select(F.col("node").alias("u"), F.col("end.node").alias("v"))
     edges = _verified(proposed.union(met), texts, "near-first")
     known = staged(components(edges), "near-known")
-    placed = prefixes.join(small_or_shuffled(known, known.count()), "node", "left").withColumn("whole", F.coalesce("component", "node"))
+    placed = shared.select("shingle", "node", "n", "at").join(small_or_shuffled(known, known.count()), "node", "left").withColumn("whole", F.coalesce("component", "node"))
     mixed = placed.groupBy("shingle").agg(F.min("whole").alias("low"), F.max("whole").alias("high")).where("low <> high").select("shingle")
     rows = placed.join(mixed, "shingle").select("shingle", "node", "n", "at", "whole").repartition(partitions(spark), "shingle")
     rest = _verified(rows.mapInArrow(_candidate_batches, "u long, v long"), texts, "near-rest")
