@@ -27,6 +27,51 @@ def any_time(stem: Column) -> Column:
     return F.coalesce(*(F.try_to_timestamp(F.nullif(F.regexp_extract(stem, rx, 1), F.lit("")), F.lit(form)).cast("timestamp_ntz") for rx, form in _TIMES))
 
 
+# Forms of video names, in the order in which they are tried: pattern,
+# groups of the station, the date and the time.
+_FORMS = [
+    (r"([A-Za-z0-9]+)_([0-9]{8})T([0-9]{6})", 1, 2, 3),
+    (r"([A-Za-z0-9]+)_([0-9]{8})_([0-9]{6})", 1, 2, 3),
+    (r"([A-Za-z0-9]+)_([0-9]{8})([0-9]{6})", 1, 2, 3),
+    (r"(?:[0-9]+_)?([A-Za-z0-9]+)(?:_\([^)]*\))?_([0-9]{4}-[0-9]{2}-[0-9]{2})_([0-9]{2}\.[0-9]{2}\.[0-9]{2})(?:_[0-9]+)?$", 1, 2, 3),
+    (r"(?:[A-Za-z0-9]+_)?([A-Za-z0-9]+(?:_[A-Za-z0-9]+)*)_([0-9]{4}[-_][0-9]{2}[-_][0-9]{2})(?:_([0-9]{2}[:.\-][0-9]{2}[:.\-][0-9]{2}))?", 1, 2, 3),
+    (r"([A-Za-z0-9]+)_([0-9]{8})", 1, 2, 0),
+]
+#: Extensions of videos; folders of dates and years, which name no station.
+VIDEO = ("mkv", "mp4", "avi")
+_NO_STATION = r"(?i)^$|@|\.(?:mkv|mp4|avi)$|^[0-9]{4}-[0-9]{2}-[0-9]{2}$|^[0-9]{4}$"
+
+
+def stem_of(path: Column) -> Column:
+    return F.regexp_extract(path, r"([^/]+?)(?:\.[^./]*)?$", 1)
+
+
+def station_in(path: Column) -> Column:
+    """The innermost folder that is no date, year or hidden folder; else the file's stem."""
+    parts = F.filter(F.split(path, "/"), lambda p: ~p.rlike(_NO_STATION))
+    return F.upper(F.coalesce(F.try_element_at(parts, F.lit(-1)), stem_of(path)))
+
+
+def video(path: Column, modified: Column) -> Column:
+    """Struct of a video's station, time `at` and video_id, by the first form of
+    name whose digits are a date; else by folder and time of modification. An
+    identifier without a time of day ends in digits of the path's digest."""
+    stem, found = stem_of(path), []
+    for rx, station, day, time in _FORMS:
+        digits = lambda g: F.regexp_replace(F.regexp_extract(stem, rx, g), "[^0-9]", "") if g else F.lit("")  # noqa: B023, E731
+        date, clock = digits(day), digits(time)
+        timed = F.length(clock) == 6
+        at = F.try_to_timestamp(F.concat(F.nullif(date, F.lit("")), F.when(timed, clock).otherwise("000000")), F.lit("yyyyMMddHHmmss")).cast("timestamp_ntz")
+        name = F.upper(F.regexp_extract(stem, rx, station))
+        end = F.when(timed, F.concat(F.lit("T"), clock)).otherwise(F.concat(F.lit("_"), short_id(path)))
+        good = at.isNotNull()
+        if not time:
+            good = good & F.substring(date, 1, 4).try_cast("int").between(2000, 2100)
+        found.append(F.when(good, F.struct(name.alias("station"), at.alias("at"), F.concat(name, F.lit("_"), date, end).alias("video_id"))))
+    at, name = modified.cast("timestamp_ntz"), station_in(path)
+    return F.coalesce(*found, F.struct(name.alias("station"), at.alias("at"), video_id(name, at, path).alias("video_id")))
+
+
 def station_of(stem: Column) -> Column:
     """The name before the date, upper case, without a leading number."""
     return F.upper(F.nullif(F.regexp_extract(stem, r"^(?:[0-9]+_)?([A-Za-z][A-Za-z0-9]*)", 1), F.lit("")))

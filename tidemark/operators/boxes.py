@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -78,20 +80,26 @@ def class_threshold(df: DataFrame, thresholds: dict[str, float], default: float
     return df.where(F.col("confidence") >= limit)
 
 
-def suppress(df: DataFrame, group: list[str], limit: float = 0.5, strictly_above: float | None = None, tie: str = "event_id") -> DataFrame:
+def suppress(df: DataFrame, group: list[str], limit: float = 0.5, strictly_above: float | None = None, tie: str = "event_id", epsilon: float = 1e-8) -> DataFrame:
     """Greedy non-maximum suppression: within a group, by falling confidence
     (ties: smaller `tie`), a box stays if its IoU with each kept one is at most
-    `limit`. Groups are frames (and classes) and so of bounded size."""
+    `limit`; `epsilon` is added to the union. Groups are frames (and classes) and
+    so of bounded size; each kept box is compared with all that are left at once."""
     if strictly_above is not None:
         df = above(df, strictly_above)
-    box = F.struct((-F.col("confidence")).alias("key"), F.col(tie).alias("tie"), "xmin", "ymin", "xmax", "ymax")
-    grouped = df.groupBy(*group).agg(F.sort_array(F.collect_list(box)).alias("boxes"))
-
-    def overlap(a, b):
-        w = F.greatest(F.lit(0.0), F.least(a.xmax, b.xmax) - F.greatest(a.xmin, b.xmin))
-        h = F.greatest(F.lit(0.0), F.least(a.ymax, b.ymax) - F.greatest(a.ymin, b.ymin))
-        return w * h / ((a.xmax - a.xmin) * (a.ymax - a.ymin) + (b.xmax - b.xmin) * (b.ymax - b.ymin) - w * h + 1e-8)
-
-    none = F.array().cast(grouped.schema["boxes"].dataType)
-    kept = F.aggregate("boxes", none, lambda acc, x: F.when(F.exists(acc, lambda k: overlap(k, x) > limit), acc).otherwise(F.concat(acc, F.array(x))))
-    return grouped.select(*group, F.explode(kept).alias("b")).select(*group, F.col("b.tie").alias(tie), (-F.col("b.key")).alias("confidence"), "b.xmin", "b.ymin", "b.xmax", "b.ymax")
+    columns = [*group, tie, "confidence", "xmin", "ymin", "xmax", "ymax"]
+    df = df.select(*group, tie, *(F.col(c).cast("double").alias(c) for c in columns[len(group) + 1 :]))
+
+    def keep(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("confidence", "descending"), (tie, "ascending")])
+        x1, y1, x2, y2 = (table.column(c).to_numpy() for c in columns[-4:])
+        size = (x2 - x1) * (y2 - y1)
+        left, kept = np.arange(table.num_rows), []
+        while len(left):
+            k, left = left[0], left[1:]
+            kept.append(k)
+            both = np.maximum(0, np.minimum(x2[k], x2[left]) - np.maximum(x1[k], x1[left])) * np.maximum(0, np.minimum(y2[k], y2[left]) - np.maximum(y1[k], y1[left]))
+            left = left[both / (size[k] + size[left] - both + epsilon) <= limit]
+        return table.take(pa.array(kept, pa.int64()))
+
+    return df.groupBy(*group).applyInArrow(keep, df.schema)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -50,25 +50,43 @@ def smooth(embedding: DataFrame, channel: str, frames: int) -> DataFrame:
     return embedding.withColumn(channel, F.avg(channel).over(w))
 
 
+#: Rows of a key that one Python call scores.
+CHUNK = 2048
+
+
 def mahalanobis(df: DataFrame, key: str, order: str, vector: str, history: int) -> DataFrame:
     """Distance of each vector from the `history` ones before it, in their
     covariance (+ 1e-6 on the diagonal); null with fewer than two before it.
 
-    A key's rows go to one Python call: keys are videos, whose frames are bounded.
+    A key's rows are cut into chunks in order; each also gets the last `history`
+    rows of the one before, so keys of any size are spread.
     """
-
-    def score(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
-        x, out = np.stack(pdf[vector].to_numpy()).astype(float), np.full(len(pdf), np.nan)
-        for i in range(2, len(x)):
-            past = x[max(0, i - history) : i]
-            off = x[i] - past.mean(axis=0)
-            cov = np.cov(past, rowvar=False) + 1e-6 * np.eye(x.shape[1])
-            out[i] = np.sqrt(max(off @ np.linalg.pinv(cov) @ off, 0))
-        return pd.DataFrame({key: pdf[key], order: pdf[order], "score": [None if np.isnan(v) else v for v in out]})
-
-    kinds = dict(df.dtypes)
-    return df.select(key, order, vector).groupBy(key).applyInPandas(score, f"{key} {kinds[key]}, {order} {kinds[order]}, score double")
+    at = F.row_number().over(W.partitionBy(key).orderBy(order)) - 1
+    rows = df.select(F.col(key).alias("_key"), F.col(order).alias("_order"), F.col(vector).cast("array<double>").alias("_v"), at.cast("bigint").alias("_at"))
+    own = F.floor(F.col("_at") / CHUNK)
+    chunks = F.when((F.col("_at") % CHUNK >= CHUNK - history), F.array(own, own + 1)).otherwise(F.array(own))
+    rows = rows.withColumn("_chunk", F.explode(chunks))
+    kinds = dict(rows.dtypes)
+
+    def score(table: pa.Table) -> pa.Table:
+        table = table.sort_by("_at")
+        at, chunk = table.column("_at").to_numpy(), table.column("_chunk")[0].as_py()
+        x = np.stack(table.column("_v").to_pylist()).astype(float)
+        mine = np.flatnonzero(at // CHUNK == chunk)
+        out, ridge = np.full(len(mine), np.nan), 1e-6 * np.eye(x.shape[1])
+        past = np.minimum(at[mine], history)
+        for n in np.unique(past[past >= 2]).tolist():  # rows with equally long histories, some at a time
+            for part in np.array_split(np.flatnonzero(past == n), -(-int((past == n).sum()) * x.shape[1] ** 2 // (1 << 21)) or 1):
+                rows_ = mine[part]
+                before = x[rows_[:, None] - np.arange(n, 0, -1)]
+                mean = before.mean(axis=1)
+                off, spread = x[rows_] - mean, before - mean[:, None]
+                cov = spread.transpose(0, 2, 1) @ spread / (n - 1) + ridge
+                out[part] = np.sqrt(np.maximum((off * np.linalg.solve(cov, off[:, :, None])[:, :, 0]).sum(axis=1), 0))
+        own_rows = table.take(pa.array(mine))
+        return pa.table({key: own_rows.column("_key"), order: own_rows.column("_order"), "score": pa.array(out, mask=np.isnan(out))})
+
+    return rows.groupBy("_key", "_chunk").applyInArrow(score, f"{key} {kinds['_key']}, {order} {kinds['_order']}, score double")
 
 
 def adaptive_cells(points: np.ndarray, width: float, height: float, cells: int = 100, smallest: float = 40.0, aspect: float = 4.0, fewest: int = 2) -> list[tuple]:

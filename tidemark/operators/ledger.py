@@ -26,37 +26,98 @@ def ready(jobs: DataFrame, limit: int | None = None, max_retries: int | None = N
     return out.orderBy(F.desc("priority_score"), "discovered_at", "video_id").limit(limit) if limit else out
 
 
-def _update(jobs: DataFrame, where: Column, **values: Column) -> DataFrame:
-    return jobs.select(*(F.when(where, values[c]).otherwise(F.col(c)).alias(c) if c in values else F.col(c) for c in jobs.columns))
+def _update(jobs: DataFrame, where: Column, **values: Column | None) -> DataFrame:
+    kinds = dict(jobs.dtypes)
+    return jobs.select(*(F.when(where, (values[c] if values[c] is not None else F.lit(None)).cast(kinds[c])).otherwise(F.col(c)).alias(c) if c in values else F.col(c) for c in jobs.columns))
 
 
-def start(jobs: DataFrame, picked: Column) -> DataFrame:
-    """pending to in_progress; picked jobs in another status stay (compare and set)."""
-    return _update(jobs, picked & (F.col("status") == "pending"), status=F.lit("in_progress"))
+#: Columns of a job beside its keys, and their types: see migrate.
+JOB = {"status": "string", "retry_count": "bigint", "worker_id": "string", "started_at": "timestamp_ntz", "completed_at": "timestamp_ntz", "duration_seconds": "double", "error_message": "string", "metadata": "string"}
 
 
-def complete(jobs: DataFrame, picked: Column) -> DataFrame:
-    return _update(jobs, picked & (F.col("status") == "in_progress"), status=F.lit("completed"))
+def start(jobs: DataFrame, picked: Column, worker: Column, now: Column) -> DataFrame:
+    """Picked jobs that are pending go to a worker (compare and set): what an
+    earlier run left is cleared. Picked jobs in another status stay, see refused."""
+    return _update(jobs, picked & (F.col("status") == "pending"), status=F.lit("in_progress"), worker_id=worker, started_at=now, completed_at=None, duration_seconds=None, error_message=None)
 
 
-def fail(jobs: DataFrame, picked: Column, retryable: Column) -> DataFrame:
-    """Retryable failures wait again, others are final; either counts a retry."""
-    hit = picked & (F.col("status") == "in_progress")
-    return _update(jobs, hit, status=F.when(retryable, "pending").otherwise("failed"), retry_count=F.col("retry_count") + 1)
+def refused(jobs: DataFrame, picked: Column) -> DataFrame:
+    """Picked jobs that start can't give out, since they are not pending."""
+    return jobs.where(picked & (F.col("status") != "pending"))
+
+
+def complete(jobs: DataFrame, picked: Column, now: Column, duration: Column | None = None, metadata: Column | None = None) -> DataFrame:
+    """Picked jobs are done, whatever their status; a duration that is missing or 0
+    is the time since the start, metadata a struct or map kept as JSON."""
+    since = (F.unix_micros(now.cast("timestamp")) - F.unix_micros(F.col("started_at").cast("timestamp"))) / 1e6
+    took = F.coalesce(F.nullif(duration.cast("double"), F.lit(0.0)), since) if duration is not None else since
+    return _update(jobs, picked, status=F.lit("completed"), completed_at=now, duration_seconds=took, metadata=F.to_json(metadata) if metadata is not None else None)
+
+
+def fail(jobs: DataFrame, picked: Column, retryable: Column, message: Column, now: Column) -> DataFrame:
+    """Retryable failures wait again, others are final; either counts a retry and
+    keeps the message."""
+    return _update(jobs, picked, status=F.when(retryable, "pending").otherwise("failed"), error_message=message, completed_at=now, retry_count=F.col("retry_count") + 1)
+
+
+#: What a message says when the file itself is at fault.
+CORRUPT = ("Invalid data found when processing input", "appears corrupt or unreadable")
+
+
+def corrupt(failed: DataFrame, videos: DataFrame) -> DataFrame:
+    """Rows for the archive of corrupt videos: final failures (video_id, stage,
+    error_message) whose message blames the file, with what is known of the video."""
+    blamed = F.contains("error_message", F.lit(CORRUPT[0])) | F.contains("error_message", F.lit(CORRUPT[1]))
+    return failed.where((F.col("status") == "failed") & blamed).select("video_id", "stage", "error_message").join(videos, "video_id")
 
 
 def give_back(jobs: DataFrame, picked: Column) -> DataFrame:
-    return _update(jobs, picked & (F.col("status") == "in_progress"), status=F.lit("pending"))
+    return _update(jobs, picked, status=F.lit("pending"), worker_id=None, started_at=None, completed_at=None)
+
+
+def reset_stuck(jobs: DataFrame, before: Column) -> DataFrame:
+    """Requeue jobs in progress that started before a time."""
+    return _update(jobs, (F.col("status") == "in_progress") & F.coalesce(F.col("started_at") < before, F.lit(False)), status=F.lit("pending"), worker_id=None, started_at=None)
+
+
+def reset_failed(jobs: DataFrame, stages=()) -> DataFrame:
+    """Requeue failed jobs, of some stages or of all."""
+    again = F.col("status") == "failed"
+    return _update(jobs, again & F.col("stage").isin(*stages) if stages else again, status=F.lit("pending"), worker_id=None, started_at=None, completed_at=None)
+
+
+# -- batches of a station and date ----------------------------------------------
+
+
+def fetch_batches(batches: DataFrame, statuses=(), stations=(), first: str | None = None, last: str | None = None, limit: int | None = None) -> DataFrame:
+    """Batches by status, station (in either case) and dates, both included, in
+    order of date and station; what is empty or None does not restrict."""
+    if statuses:
+        batches = batches.where(F.col("status").isin(*statuses))
+    if stations:
+        batches = batches.where(F.col("station").isin(*(s.upper() for s in stations)))
+    if first:
+        batches = batches.where(F.col("date") >= first)
+    if last:
+        batches = batches.where(F.col("date") <= last)
+    ordered = batches.orderBy("date", "station")
+    return ordered.limit(limit) if limit else ordered
+
+
+def start_batch(batches: DataFrame, picked: Column, now: Column) -> DataFrame:
+    return _update(batches, picked, status=F.lit("in_progress"), started_at=now, completed_at=None, error_message=None)
+
+
+def complete_batch(batches: DataFrame, picked: Column, created: Column, failed: Column, now: Column) -> DataFrame:
+    return _update(batches, picked, status=F.lit("completed"), completed_at=now, clips_created=created, clips_failed=failed, error_message=None)
+
+
+def fail_batch(batches: DataFrame, picked: Column, message: Column, now: Column) -> DataFrame:
+    return _update(batches, picked, status=F.lit("failed"), completed_at=now, error_message=message)
 
 
-def reset(jobs: DataFrame, stuck: Column | None = None, failed_stages=()) -> DataFrame:
-    """Requeue jobs that are stuck in progress, and failed ones of some stages."""
-    again = F.lit(False)
-    if stuck is not None:
-        again = again | ((F.col("status") == "in_progress") & stuck)
-    if failed_stages:
-        again = again | ((F.col("status") == "failed") & F.col("stage").isin(*failed_stages))
-    return _update(jobs, again, status=F.lit("pending"))
+def reset_batch(batches: DataFrame, picked: Column) -> DataFrame:
+    return _update(batches, picked, status=F.lit("pending"), started_at=None, completed_at=None, error_message=None)
 
 
 def all_done(jobs: DataFrame, last: int = 4) -> DataFrame:

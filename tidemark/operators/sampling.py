@@ -10,8 +10,8 @@ from tidemark.operators import boxes, series
 
 
 def dealt(seed: int, *keys: str) -> Column:
-    """A reproducible order that looks random."""
-    return F.xxhash64(F.lit(seed), *keys)
+    """A reproducible order that looks random: by MD5, so that other engines agree."""
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *(F.col(k).cast("string") for k in keys)).cast("binary"))
 
 
 def sample(df: DataFrame, n: int, seed: int, *keys: str) -> DataFrame:
@@ -78,7 +78,7 @@ def chronological_split(df: DataFrame, keys: list[str], order: list[str], share:
 
 def random_split(df: DataFrame, shares: dict[str, float], seed: int, *keys: str) -> DataFrame:
     """Column part by the place of a row's hash on the unit interval: no shuffle."""
-    u = F.pmod(dealt(seed, *keys), F.lit(1 << 30)) / float(1 << 30)
+    u = F.conv(F.substring(dealt(seed, *keys), 1, 8), 16, 10).cast("double") / float(1 << 32)
     part, top = F.lit(None).cast("string"), 1.0
     for name, share in reversed(list(shares.items())):
         part = F.when(u < top, name).otherwise(part)
@@ -86,6 +86,11 @@ def random_split(df: DataFrame, shares: dict[str, float], seed: int, *keys: str)
     return df.withColumn("part", part)
 
 
+def worst(df: DataFrame, missed: str, extra: str) -> DataFrame:
+    """Files with a miss or over one extra detection, most of both first."""
+    return df.where((F.col(missed) > 0) | (F.col(extra) > 1)).orderBy(F.desc(F.col(missed) + F.col(extra)))
+
+
 def batches(df: DataFrame, size: int, key: str, group: list[str]) -> DataFrame:
     """Column batch: numbers of fixed-size batches in order of a key."""
     return df.withColumn("batch", F.floor((F.row_number().over(W.partitionBy(*group).orderBy(key)) - 1) / size).cast("bigint"))

@@ -129,12 +129,24 @@ def op_157(spark, sf_dir):
     return out.withColumn("confidence", F.round("confidence", 6))
 
 
-@query("op_154_stable_periods_varied")
+_CHOSEN = """first AS (SELECT video_id, min(t) AS t, arg_min(resume, t) AS resume FROM cand GROUP BY video_id),
+    pick AS (SELECT * FROM first UNION ALL SELECT c.video_id, min(c.t), arg_min(c.resume, c.t) FROM pick p JOIN cand c ON c.video_id = p.video_id AND c.t >= p.resume GROUP BY c.video_id)"""
+
+
+@query("op_154_stable_periods_varied", f"""WITH RECURSIVE {GRID}, w AS (SELECT a.video_id, a.second AS t, max(b.c) OVER x - min(b.c) OVER x AS spread FROM ser a JOIN ser b ON b.video_id = a.video_id AND b.second >= a.second WINDOW x AS (PARTITION BY a.video_id, a.second ORDER BY b.second)),
+    cand AS (SELECT video_id, t, t + count(*) AS resume FROM w WHERE spread <= 1 GROUP BY 1, 2 HAVING count(*) >= 5), {_CHOSEN}
+    SELECT p.video_id, p.t AS start_second, p.resume - 1 AS end_second, count(*) AS duration, avg(c) AS mean_count, quantile_cont(c, 0.5) AS median_count, min(c) AS min_count, max(c) AS max_count FROM pick p JOIN ser s ON s.video_id = p.video_id AND s.second >= p.t AND s.second < p.resume GROUP BY ALL""")
 def op_154_varied(spark, sf_dir):
     return states.stable_periods(ser(spark, sf_dir), shortest=5, variation=1)
 
 
-@query("op_158_threshold_events")
+@query("op_158_threshold_events", f"""WITH RECURSIVE {_FLAGS}, ls AS (SELECT video_id, second, list(c) OVER (PARTITION BY video_id ORDER BY second ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS l, n FROM ser),
+    sm AS (SELECT video_id, second, list_sum([l[greatest(1, least(n, second + 1 + o))] for o in range(-1, 2)]) / 3.0 AS s FROM ls),
+    m AS (SELECT f.*, coalesce(avg(s) OVER (PARTITION BY f.video_id ORDER BY f.second ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING), 0) AS b, avg(s) OVER h AS a, min(CASE WHEN up THEN f.second END) OVER h AS u, coalesce(min(CASE WHEN down THEN f.second END) OVER h, f.second) AS d
+      FROM fl f JOIN sm USING (video_id, second) WINDOW h AS (PARTITION BY f.video_id ORDER BY f.second ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING)),
+    k AS (SELECT m.*, a - b >= 0.8 AND a >= 1 AND m.second > 10 AND coalesce(g.new, false) AS arr, b - a >= 1 AND a <= greatest(0.5, b - 1) AS dep FROM m LEFT JOIN fl g ON g.video_id = m.video_id AND g.second = u),
+    e AS (SELECT video_id, second AS t, CASE WHEN arr THEN 'arrival' ELSE 'departure' END AS type, CASE WHEN arr THEN u ELSE d END AS m, a, b FROM k WHERE arr OR dep), cand AS (SELECT *, m + 2 AS resume FROM e), {_CHOSEN}
+    SELECT p.video_id, p.resume - 2 AS second, type, round(b, 6) AS before_mean, round(a, 6) AS after_mean FROM pick p JOIN cand c ON c.video_id = p.video_id AND c.t = p.t""")
 def op_158(spark, sf_dir):
     return threshold.detect(ser(spark, sf_dir), smooth=3).withColumns({c: F.round(c, 6) for c in ("before_mean", "after_mean")})
 

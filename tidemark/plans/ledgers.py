@@ -11,19 +11,112 @@ from tidemark.plans.roles import table
 from tidemark.sources import sinks
 
 
-def _moved(name, sql, change):
-    @query(name, f"WITH {JOBS} SELECT video_id, stage, {sql} FROM jobs")
+_NOW = "TIMESTAMP '2024-06-01 12:00:00'"
+#: Jobs with all columns: started ones have a worker and a time, failed ones a message.
+FULL = f"""{JOBS}, fj AS (SELECT video_id, stage, status, retry_count, CASE WHEN status <> 'pending' THEN 'w' || video_id % 3 END AS worker_id, CASE WHEN status <> 'pending' THEN discovered_at END AS started_at,
+    CASE WHEN status IN ('completed', 'failed') THEN discovered_at + INTERVAL 1 HOUR END AS completed_at, CASE WHEN status = 'completed' THEN 3600.0 END::DOUBLE AS duration_seconds, CASE WHEN status = 'failed' THEN 'old' END AS error_message, CAST(NULL AS VARCHAR) AS metadata FROM jobs)"""
+_ALL = ("status", "retry_count", "worker_id", "started_at", "completed_at", "duration_seconds", "error_message", "metadata")
+
+
+def full_jobs(spark, sf_dir):
+    s, at = F.col("status"), F.col("discovered_at").cast("timestamp_ntz")
+    j = jobs(spark, sf_dir).select("video_id", "stage", "status", "retry_count", "discovered_at")
+    j = j.withColumns({"worker_id": F.when(s != "pending", F.concat(F.lit("w"), (F.col("video_id") % 3).cast("string"))), "started_at": F.when(s != "pending", at), "completed_at": F.when(s.isin("completed", "failed"), at + F.expr("interval 1 hour")), "duration_seconds": F.when(s == "completed", F.lit(3600.0)), "error_message": F.when(s == "failed", "old")})
+    return ledger.migrate(j, ledger.JOB).select("video_id", "stage", *_ALL)
+
+
+def now():
+    return F.expr("timestamp_ntz'2024-06-01 12:00:00'")
+
+
+def _moved(name, change, where="false", **values):
+    """Register a transition; its SQL sets `values` where `where` holds."""
+    columns = ", ".join(f"CASE WHEN {where} THEN {values[c]} ELSE {c} END AS {c}" if c in values else c for c in _ALL)
+
+    @query(name, f"WITH {FULL} SELECT video_id, stage, {columns} FROM fj")
     def run(spark, sf_dir):
-        return change(jobs(spark, sf_dir)).select("video_id", "stage", "status", "retry_count")
+        return change(full_jobs(spark, sf_dir))
 
     return run
 
 
-_moved("op_250_start", "CASE WHEN video_id % 2 = 0 AND status = 'pending' THEN 'in_progress' ELSE status END AS status, retry_count", lambda j: ledger.start(j, F.col("video_id") % 2 == 0))
-_moved("op_251_complete", "CASE WHEN video_id % 2 = 0 AND status = 'in_progress' THEN 'completed' ELSE status END AS status, retry_count", lambda j: ledger.complete(j, F.col("video_id") % 2 == 0))
-_moved("op_252_fail", "CASE WHEN status = 'in_progress' THEN CASE WHEN video_id % 3 = 0 THEN 'pending' ELSE 'failed' END ELSE status END AS status, retry_count + CAST(status = 'in_progress' AS BIGINT) AS retry_count", lambda j: ledger.fail(j, F.lit(True), F.col("video_id") % 3 == 0))
-_moved("op_253_give_back", "CASE WHEN video_id % 2 = 0 AND status = 'in_progress' THEN 'pending' ELSE status END AS status, retry_count", lambda j: ledger.give_back(j, F.col("video_id") % 2 == 0))
-_moved("op_254_reset", "CASE WHEN status = 'in_progress' AND discovered_at < TIMESTAMP '1998-01-01' OR status = 'failed' AND stage IN (2, 3, 4) THEN 'pending' ELSE status END AS status, retry_count", lambda j: ledger.reset(j, F.col("discovered_at") < F.expr("timestamp_ntz'1998-01-01 00:00:00'"), (2, 3, 4)))
+
+
+def _even():
+    return F.col("video_id") % 2 == 0
+
+
+_MESSAGE = "CASE WHEN video_id % 5 = 0 THEN 'Invalid data found when processing input' WHEN video_id % 5 = 1 THEN 'x.mkv appears corrupt or unreadable' ELSE 'no space left' END"
+_moved("op_250_start", lambda j: ledger.start(j, _even(), F.lit("w9"), now()), "video_id % 2 = 0 AND status = 'pending'", status="'in_progress'", worker_id="'w9'", started_at=_NOW, completed_at="NULL", duration_seconds="NULL", error_message="NULL")
+_moved("op_251_complete", lambda j: ledger.complete(j, _even() & (F.col("status") == "in_progress"), now(), F.when(F.col("video_id") % 4 == 0, 7.5), F.struct(F.col("stage").alias("k"))), "video_id % 2 = 0 AND status = 'in_progress'", status="'completed'", completed_at=_NOW, duration_seconds=f"CASE WHEN video_id % 4 = 0 THEN 7.5 ELSE date_diff('second', started_at, {_NOW}) END", metadata="""'{"k":' || stage || '}'""")
+_moved("op_252_fail", lambda j: ledger.fail(j, F.col("status") == "in_progress", F.col("video_id") % 3 == 0, F.expr(_MESSAGE), now()), "status = 'in_progress'", status="CASE WHEN video_id % 3 = 0 THEN 'pending' ELSE 'failed' END", retry_count="retry_count + 1", error_message=_MESSAGE, completed_at=_NOW)
+_moved("op_253_give_back", lambda j: ledger.give_back(j, _even() & (F.col("status") == "in_progress")), "video_id % 2 = 0 AND status = 'in_progress'", status="'pending'", worker_id="NULL", started_at="NULL", completed_at="NULL")
+_moved("op_254_reset_stuck", lambda j: ledger.reset_stuck(j, F.expr("timestamp_ntz'1998-01-01 00:00:00'")), "status = 'in_progress' AND started_at < TIMESTAMP '1998-01-01'", status="'pending'", worker_id="NULL", started_at="NULL")
+_moved("op_254_reset_failed", lambda j: ledger.reset_failed(j, (2, 3, 4)), "status = 'failed' AND stage IN (2, 3, 4)", status="'pending'", worker_id="NULL", started_at="NULL", completed_at="NULL")
+
+
+@query("op_250_refused", f"WITH {FULL} SELECT video_id, stage, status FROM fj WHERE video_id % 2 = 0 AND status <> 'pending'")
+def op_250_refused(spark, sf_dir):
+    return ledger.refused(full_jobs(spark, sf_dir), _even()).select("video_id", "stage", "status")
+
+
+@query("op_073_252_corrupt", f"WITH {FULL}, f AS (SELECT *, {_MESSAGE} AS m FROM fj WHERE status = 'in_progress' AND video_id % 3 <> 0) SELECT video_id, stage, m AS error_message, o_orderpriority AS station FROM f JOIN orders ON o_orderkey = video_id WHERE video_id % 5 IN (0, 1)")
+def op_073_corrupt(spark, sf_dir):
+    """Failures of this run, and of these the ones that say the file is corrupt."""
+    now_failed = ledger.fail(full_jobs(spark, sf_dir).where("status = 'in_progress'"), F.lit(True), F.col("video_id") % 3 == 0, F.expr(_MESSAGE), now())
+    videos = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("video_id"), F.col("o_orderpriority").alias("station"))
+    return ledger.corrupt(now_failed, videos)
+
+
+#: Batches: a supplier's nation and day as station and date.
+_BATCHES = """bt AS (SELECT upper('st' || s_nationkey) AS station, CAST(DATE '2024-01-01' + CAST(s_suppkey % 300 AS INTEGER) AS VARCHAR) AS date, s_suppkey AS batch, CASE s_suppkey % 4 WHEN 0 THEN 'pending' WHEN 1 THEN 'in_progress' WHEN 2 THEN 'completed' ELSE 'failed' END AS status,
+    CASE WHEN s_suppkey % 4 > 0 THEN TIMESTAMP '2024-05-01' END AS started_at, CASE WHEN s_suppkey % 4 > 1 THEN TIMESTAMP '2024-05-02' END AS completed_at, CAST(0 AS BIGINT) AS clips_created, CAST(0 AS BIGINT) AS clips_failed, CASE WHEN s_suppkey % 4 = 3 THEN 'old' END AS error_message FROM supplier)"""
+_BATCH_COLUMNS = ("status", "started_at", "completed_at", "clips_created", "clips_failed", "error_message")
+
+
+def batches(spark, sf_dir):
+    k = F.col("s_suppkey")
+    return table(spark, sf_dir, "supplier").select(
+        F.upper(F.concat(F.lit("st"), F.col("s_nationkey").cast("string"))).alias("station"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (k % 300).cast("int")).cast("string").alias("date"),
+        k.alias("batch"),
+        F.element_at(F.array(*map(F.lit, ("pending", "in_progress", "completed", "failed"))), (k % 4).cast("int") + 1).alias("status"),
+        F.when(k % 4 > 0, F.expr("timestamp_ntz'2024-05-01 00:00:00'")).alias("started_at"),
+        F.when(k % 4 > 1, F.expr("timestamp_ntz'2024-05-02 00:00:00'")).alias("completed_at"),
+        F.lit(0).cast("bigint").alias("clips_created"),
+        F.lit(0).cast("bigint").alias("clips_failed"),
+        F.when(k % 4 == 3, "old").alias("error_message"),
+    )
+
+
+def _moved_batch(name, change, where, **values):
+    columns = ", ".join(f"CASE WHEN {where} THEN {values[c]} ELSE {c} END AS {c}" if c in values else c for c in _BATCH_COLUMNS)
+
+    @query(name, f"WITH {_BATCHES} SELECT batch, {columns} FROM bt")
+    def run(spark, sf_dir):
+        return change(batches(spark, sf_dir)).select("batch", *_BATCH_COLUMNS)
+
+    return run
+
+
+
+
+def _third():
+    return F.col("batch") % 3 == 0
+
+
+_moved_batch("op_256_batch_start", lambda b: ledger.start_batch(b, _third(), now()), "batch % 3 = 0", status="'in_progress'", started_at=_NOW, completed_at="NULL", error_message="NULL")
+_moved_batch("op_256_batch_complete", lambda b: ledger.complete_batch(b, _third(), F.col("batch") % 10, F.col("batch") % 2, now()), "batch % 3 = 0", status="'completed'", completed_at=_NOW, clips_created="batch % 10", clips_failed="batch % 2", error_message="NULL")
+_moved_batch("op_256_batch_fail", lambda b: ledger.fail_batch(b, _third(), F.lit("disk full"), now()), "batch % 3 = 0", status="'failed'", completed_at=_NOW, error_message="'disk full'")
+_moved_batch("op_256_batch_reset", lambda b: ledger.reset_batch(b, _third()), "batch % 3 = 0", status="'pending'", started_at="NULL", completed_at="NULL", error_message="NULL")
+
+
+@query("op_258_recompute", "SELECT o_orderkey AS video_id, CASE WHEN o_orderkey % 2 = 0 THEN 1000.0 * (year(o_orderdate) = 1997)::INTEGER + greatest(0, 365 - (dayofyear(o_orderdate) - 1)) / 365.0 ELSE o_totalprice END AS priority_score FROM orders")
+def op_258(spark, sf_dir):
+    """New scores replace those of the videos that they name."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("video_id"), F.col("o_totalprice").alias("priority_score"), "o_orderdate", "o_orderpriority")
+    score = ledger.priority(F.year("o_orderdate"), F.col("o_orderdate"), F.col("o_orderpriority"), {1997: 1}, {})
+    return ledger.update_known(o.select("video_id", "priority_score"), o.where("video_id % 2 = 0").select("video_id", score.alias("priority_score")), ["video_id"])
 
 
 @query("op_180_181_job_order", f"WITH {JOBS}, r AS (SELECT j.* FROM jobs j LEFT JOIN jobs p ON p.video_id = j.video_id AND p.stage = j.stage - 1 WHERE j.status = 'pending' AND (j.stage = 1 OR p.status = 'completed')) SELECT video_id, stage, priority_score FROM r ORDER BY priority_score DESC, discovered_at, video_id LIMIT 100")
@@ -44,9 +137,9 @@ def op_255(spark, sf_dir):
     return ledger.update_known(c, change, ["c_custkey"])
 
 
-@query("op_256_batch_fetch", f"WITH {JOBS} SELECT video_id, stage FROM jobs WHERE status IN ('pending', 'failed') AND stage = 3 AND station IN ('1-URGENT', '2-HIGH')")
+@query("op_256_batch_fetch", f"WITH {_BATCHES} SELECT station, date, batch, status FROM bt WHERE status IN ('pending', 'failed') AND station IN ('ST1', 'ST2', 'ST3', 'ST4', 'ST5') AND date >= '2024-01-05' AND date <= '2024-11-01'")
 def op_256(spark, sf_dir):
-    return jobs(spark, sf_dir).where(F.col("status").isin("pending", "failed") & (F.col("stage") == 3) & F.col("station").isin("1-URGENT", "2-HIGH")).select("video_id", "stage")
+    return ledger.fetch_batches(batches(spark, sf_dir), ["pending", "failed"], ["st1", "ST2", "st3", "st4", "st5"], "2024-01-05", "2024-11-01").select("station", "date", "batch", "status")
 
 
 @query("op_257_all_done", f"WITH {JOBS} SELECT count(*) FILTER (stage = 4 AND status NOT IN ('completed', 'skipped')) AS unfinished, unfinished = 0 AS all_done FROM jobs")

@@ -69,7 +69,13 @@ def op_078(spark, sf_dir):
     return lookup.containing(d.where("class = 'view'").select("video_id", "ts", F.col("event_id").alias("point_id")), spans, ["video_id"], "ts", "a", "b", "span_id")
 
 
-@query("op_080_match_nearest")
+@query("op_080_match_nearest", f"""WITH RECURSIVE {DET}, n AS (SELECT t.video_id AS file, t.event_id AS t, f.event_id AS f, f.second - t.second AS o FROM det t JOIN det f ON t.video_id = f.video_id AND abs(t.second - f.second) <= 3 WHERE t.class = 'purchase' AND f.class = 'click'),
+    i AS (SELECT file, t, dense_rank() OVER (PARTITION BY file ORDER BY t) AS i FROM (SELECT DISTINCT file, t FROM n)), x AS (SELECT n.*, i FROM n JOIN i USING (file, t)),
+    r AS (SELECT DISTINCT file, CAST(0 AS BIGINT) AS i, CAST([] AS BIGINT[]) AS used, CAST(NULL AS BIGINT) AS t, CAST(NULL AS BIGINT) AS f, CAST(NULL AS BIGINT) AS o FROM x
+      UNION ALL SELECT r.file, r.i + 1, CASE WHEN b.f IS NULL THEN r.used ELSE list_append(r.used, b.f) END, b.t, b.f, b.o
+      FROM r JOIN (SELECT file, max(i) AS most FROM x GROUP BY file) m ON m.file = r.file AND r.i < m.most,
+        LATERAL (SELECT min(x.t) AS t, arg_min(x.f, abs(x.o) * 1000000000 + x.f) AS f, arg_min(x.o, abs(x.o) * 1000000000 + x.f) AS o FROM x WHERE x.file = r.file AND x.i = r.i + 1 AND NOT list_contains(r.used, x.f)) b)
+    SELECT file, t AS truth_no, f AS found_no, o AS "offset" FROM r WHERE f IS NOT NULL""")
 def op_080(spark, sf_dir):
     d = detections(spark, sf_dir)
     truth = d.where("class = 'purchase'").selectExpr("video_id file", "event_id truth_no", "'x' type", "second")

@@ -19,7 +19,7 @@ def query(name: str, sql: str | None = None):
 
 
 def _load() -> None:
-    from tidemark.plans import core, details, ledgers, lookups, models, rollups, round_trips, samples, streams, tables  # noqa: F401
+    from tidemark.plans import core, details, discovery, ledgers, lookups, models, rollups, round_trips, samples, streams, tables  # noqa: F401
 
 
 _load()

@@ -74,11 +74,6 @@ def op_052(spark, sf_dir):
     return boxes.class_threshold(detections(spark, sf_dir), {"view": 0.5, "click": 0.7}).select("event_id")
 
 
-@query("op_053_057_event_filter", f"WITH {DET} SELECT event_id FROM det WHERE class IN ('view', 'click') AND ts IS NOT NULL AND (class <> 'view' OR value > 20)")
-def op_053(spark, sf_dir):
-    return detections(spark, sf_dir).where(F.col("class").isin("view", "click") & F.col("ts").isNotNull() & ((F.col("class") != "view") | (F.col("value") > 20))).select("event_id")
-
-
 @query("op_055_station_match", "SELECT s_suppkey, contains(upper(s_name), 'SUPPLIER#00000001') OR contains(regexp_replace(upper(s_name), '[^A-Z0-9]', '', 'g'), 'SUPPLIER00000002') AS hit FROM supplier")
 def op_055(spark, sf_dir):
     return table(spark, sf_dir, "supplier").select("s_suppkey", names.station_matches(F.col("s_name"), ["supplier#00000001", "supplier-00000002"]).alias("hit"))
@@ -101,14 +96,6 @@ def op_060(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", kind.alias("type"), F.when(F.coalesce(kind == "arrival", F.lit(False)), F.when(F.col("value") > 20, "arrival_with_fish").otherwise("arrival_no_fish")).otherwise("departure").alias("route"))
 
 
-@query("op_062_clip_window", "WITH x AS (SELECT event_id, value - 30 AS s, CASE WHEN event_id % 7 = 0 THEN NULL ELSE 60.0 END AS d FROM events) SELECT event_id, CASE WHEN s >= 0 THEN greatest(0, s - 5) END AS clip_from, CASE WHEN s >= 0 THEN coalesce(least(d, s + 10), s + 10) END AS clip_to, CASE WHEN s < 0 THEN 'failed_negative_offset' WHEN coalesce(least(d, s + 10), s + 10) <= greatest(0, s - 5) THEN 'failed_window' ELSE 'ok' END AS status FROM x")
-def op_062(spark, sf_dir):
-    x = table(spark, sf_dir, "events").select("event_id", (F.col("value") - 30).alias("s"), F.when(F.col("event_id") % 7 != 0, 60.0).alias("d"))
-    lo, hi = F.greatest(F.lit(0.0), F.col("s") - 5), F.least(F.col("d"), F.col("s") + 10)
-    good = F.col("s") >= 0
-    return x.select("event_id", F.when(good, lo).alias("clip_from"), F.when(good, hi).alias("clip_to"), F.when(F.col("s").isNull(), "failed_offset").when(~good, "failed_negative_offset").when(hi <= lo, "failed_window").otherwise("ok").alias("status"))
-
-
 @query("op_063_model_short", r"SELECT p_partkey, coalesce(nullif(regexp_extract(s, '(?:^|[^0-9])([0-9]{4})(?:[^0-9]|$)', 1), ''), nullif(regexp_extract(s, '([0-9]+)$', 1), ''), s) AS short FROM (SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'net_' || (6000 + p_partkey % 1000) || '_x' WHEN p_partkey % 3 = 1 THEN p_brand ELSE p_type END AS s FROM part)")
 def op_063(spark, sf_dir):
     s = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("net_"), (6000 + F.col("p_partkey") % 1000).cast("string"), F.lit("_x"))).when(F.col("p_partkey") % 3 == 1, F.col("p_brand")).otherwise(F.col("p_type"))

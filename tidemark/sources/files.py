@@ -6,8 +6,10 @@ value becomes null and its row can be dropped or audited instead of failing.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -51,10 +53,11 @@ def read_legacy(spark: SparkSession, path: str) -> DataFrame:
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*", include=(), exclude=("@eaDir",), recursive: bool = True) -> DataFrame:
-    """path, modified and stem of files, by glob and regular expressions; contents are not read."""
+    """path, modified and stem of files, by glob and regular expressions (any of
+    `include`, none of `exclude`); contents are not read."""
     found = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", recursive).load(path).select("path", F.col("modificationTime").alias("modified"))
-    for rx in include:
-        found = found.where(F.col("path").rlike(rx))
+    if include:
+        found = found.where(reduce(or_, (F.col("path").rlike(rx) for rx in include)))
     for rx in exclude:
         found = found.where(~F.col("path").rlike(rx))
     return found.withColumn("stem", F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1))
@@ -62,7 +65,28 @@ def list_files(spark: SparkSession, path: str, glob: str = "*", include=(), excl
 
 def index_by_stem(files: DataFrame) -> DataFrame:
     """The first path of each stem."""
-    return files.withColumn("_n", F.row_number().over(W.partitionBy("stem").orderBy("path"))).where("_n = 1").drop("_n")
+    columns = [c for c in files.columns if c not in ("stem", "path")]
+    return files.groupBy("stem").agg(F.min(F.struct("path", *columns)).alias("x")).select("x.path", *(f"x.{c}" for c in columns), "stem")
+
+
+def videos(found: DataFrame, stations=(), ignored=(), years=(), first: str | None = None, last: str | None = None) -> DataFrame:
+    """Videos among files (path, modified): video_id, station, at, year, date,
+    filename, path. Other extensions and @eaDir folders are left out; of one
+    video_id the first path counts; what is empty or None does not restrict."""
+    own = found.where(F.lower(F.regexp_extract("path", r"\.([^./]*)$", 1)).isin(*names.VIDEO) & ~F.col("path").rlike("(?:^|/)@eaDir(?:/|$)"))
+    own = own.select("path", names.video(F.col("path"), F.col("modified")).alias("v")).groupBy("v.video_id").agg(F.min(F.struct("path", "v.station", "v.at")).alias("x"))
+    out = own.select("video_id", "x.station", "x.at", F.year("x.at").alias("year"), F.date_format("x.at", "yyyy-MM-dd").alias("date"), F.regexp_extract("x.path", r"([^/]+)$", 1).alias("filename"), "x.path")
+    if ignored:
+        out = out.where(~names.station_matches(F.col("station"), ignored))
+    if stations:
+        out = out.where(names.station_matches(F.col("station"), stations))
+    if years:
+        out = out.where(F.col("year").isin(*years))
+    if first:
+        out = out.where(F.col("date") >= first)
+    if last:
+        out = out.where(F.col("date") <= last)
+    return out
 
 
 def read_annotations(spark: SparkSession, path: str) -> DataFrame:
@@ -122,8 +146,9 @@ def read_label_text(spark: SparkSession, path: str) -> DataFrame:
     return lines.select("image", F.expr("try_cast(split(line, '\\\\s+')[0] as int)").alias("class"), *(part.getItem(i + 1).try_cast("double").alias(c) for i, c in enumerate(("cx", "cy", "w", "h"))))
 
 
-def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.option("multiLine", True).schema(schema).json(path)
+def read_json(spark: SparkSession, path: str, schema: str, lines: bool = False) -> DataFrame:
+    """JSON files of one value each, or of one value per line."""
+    return spark.read.option("multiLine", not lines).schema(schema).json(path)
 
 
 def every_kth(df: DataFrame, k: int, frame: str = "frame") -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,26 +25,28 @@ def sessions(stream: DataFrame, size: int, threshold: float) -> DataFrame:
 
     def step(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         last, held, ident, began = state.get if state.exists else ([], 0, 0, -1)
-        rows: dict = {}
-        for pdf in batches:
-            for s, c in pdf.sort_values("second")[["second", "c"]].itertuples(index=False):
-                fresh = not last
-                last = ([*last, float(c)])[-size:]
-                high = len(last) == size and sum(last) / size > threshold
-                if high and not held:
-                    ident, began = ident + (0 if fresh else 1), int(s)
-                if high:
-                    rows[ident] = (key[0], ident, began, int(s), int(s) - began)
-                held = int(high)
-        state.update((last, held, ident, began))
-        yield pd.DataFrame(list(rows.values()), columns=["video_id", "session", "start_second", "end_second", "duration"])
+        rows = pd.concat(list(batches)).sort_values("second")
+        second, value = rows["second"].to_numpy(), np.concatenate([last, rows["c"].to_numpy(float)])
+        # trailing sums; a mean needs `size` values
+        sums = np.concatenate([[0.0], np.cumsum(value)])
+        end = np.arange(len(last) + 1, len(value) + 1)
+        high = (end >= size) & (sums[end] - sums[np.maximum(end - size, 0)] > threshold * size)
+        opens = high & ~np.concatenate([[bool(held)], high[:-1]])
+        number = ident + np.cumsum(opens & (np.arange(len(high)) + len(last) > 0))
+        at = np.flatnonzero(opens)
+        place = np.searchsorted(at, np.arange(len(high)), "right") - 1
+        first = np.where(place >= 0, second[at[np.maximum(place, 0)]] if len(at) else began, began)
+        if len(high):
+            state.update((value[-size:].tolist(), int(high[-1]), int(number[-1]), int(first[-1])))
+        out = pd.DataFrame({"video_id": key[0], "session": number, "start_second": first, "end_second": second, "duration": second - first})[high]
+        yield out.drop_duplicates("session", keep="last")
 
     return stream.groupBy("video_id").applyInPandasWithState(step, "video_id long, session long, start_second long, end_second long, duration long", "last array<double>, held int, ident long, began long", "update", GroupStateTimeout.NoTimeout)
 
 
 def discover(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """New files as a stream; the checkpoint remembers which were seen."""
-    return spark.readStream.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path).select("path", F.col("modificationTime").alias("modified"))
+    return spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path).select("path", F.col("modificationTime").alias("modified"))
 
 
 def drain(stream: DataFrame, checkpoint: str, out: str, mode: str = "append") -> DataFrame:
@@ -57,6 +60,12 @@ def drain(stream: DataFrame, checkpoint: str, out: str, mode: str = "append") ->
     return stream.sparkSession.read.parquet(out).drop("part")
 
 
-def work(stream: DataFrame, claim, process, checkpoint: str):
-    """Claim and process the jobs of each micro-batch; claim returns those that were still pending."""
-    return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda df, batch: process(claim(df), batch)).start()
+def work(stream: DataFrame, claim, process, checkpoint: str, until_empty: bool = False):
+    """Claim and process the jobs of each micro-batch; claim returns those that were
+    still pending. With `until_empty` it ends when no input is left. A repeated
+    micro-batch has the same number, so what `process` writes can replace itself."""
+    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda df, batch: process(claim(df), batch))
+    running = (writer.trigger(availableNow=True) if until_empty else writer).start()
+    if until_empty:
+        running.awaitTermination()
+    return running
