@@ -173,3 +173,107 @@ def test_upsert_and_ledger(spark):
 def test_suppression(spark):
     df = spark.createDataFrame([(1, "a", 0.9, 0.0, 0.0, 10.0, 10.0, 1), (1, "a", 0.9, 0.0, 0.0, 10.0, 10.0, 2), (1, "a", 0.5, 20.0, 0.0, 30.0, 10.0, 3)], "frame long, class string, confidence double, xmin double, ymin double, xmax double, ymax double, event_id long")
     assert sorted(r.event_id for r in boxes.suppress(df, ["frame", "class"]).collect()) == [1, 3]
+
+
+def test_logistic_reaches_the_optimum(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(400, 3)) * [1, 30, 0.2] + [0, 100, 5]
+    y = (rng.random(400) < 1 / (1 + np.exp(-(x[:, 0] + (x[:, 1] - 100) / 20)))).astype(float)
+    x[5, 2] = np.nan
+    df = spark.createDataFrame([(*map(float, r[:2]), None if np.isnan(r[2]) else float(r[2]), 4.0, float(t)) for r, t in zip(x, y)], "a double, b double, c double, same double, y double")
+    names_ = ["a", "b", "c", "same"]
+    model = classify.fit_logistic(df, names_, "y", l2=0.05)
+    z = np.column_stack([x, np.full(400, 4.0)])
+    z = np.where(np.isnan(z), model["means"], z)
+    z = (z - model["means"]) / model["stds"]
+    w, b = np.array(model["weights"]), model["bias"]
+
+    def loss(w, b):
+        eta = z @ w + b
+        return np.mean(np.logaddexp(0, eta) - y * eta) + 0.025 * w @ w
+
+    err = 1 / (1 + np.exp(-(z @ w + b))) - y
+    assert np.abs(z.T @ err / 400 + 0.05 * w).max() < 1e-8 and abs(err.mean()) < 1e-8
+    assert model["stds"][3] == 1.0 and model["loss"] == pytest.approx(loss(w, b))
+    assert all(loss(w + d, b + d[0]) >= loss(w, b) for d in rng.normal(size=(50, 4)) * 0.1)
+    assert classify.fit_logistic(df.limit(0), names_, "y")["weights"] == [0.0] * 4
+
+
+def test_rule_search_chooses_on_validation(spark):
+    rows = [(k, float(k % 7), float(k % 5) * 10, int(k % 7 >= 3 and k % 5 <= 2)) for k in range(200)]
+    df = spark.createDataFrame(rows, "id long, a double, d double, y int")
+    out = classify.search_rule(df, "y", [("a", ">=", [1, 3, 5]), ("d", "<=", [0, 20, 40])], F.col("id") % 4 == 0)
+    best = out.where("chosen").collect()
+    assert out.count() == 9 and [(r.a, r.d, r.f1) for r in best] == [(3.0, 20.0, 1.0)]
+    for r in out.collect():
+        said = [(i % 4 == 0, y, a >= r.a and d <= r.d) for i, a, d, y in rows]
+        assert r.tp == sum(v and y and s for v, y, s in said) and r.train_fp == sum(not v and not y and s for v, y, s in said)
+
+
+def test_mahalanobis_against_model(spark, monkeypatch):
+    from tidemark.operators import grid
+
+    monkeypatch.setattr(grid, "CHUNK", 7)
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(40, 6))
+    df = spark.createDataFrame([(k % 2, k, x[k].tolist()) for k in range(40)], "label long, vec_id long, v array<double>")
+    got = {r.vec_id: r.score for r in grid.mahalanobis(df, "label", "vec_id", "v", 5).collect()}
+    assert len(got) == 40
+    for label in (0, 1):
+        own = list(range(label, 40, 2))
+        for i, k in enumerate(own):
+            past = x[own[max(0, i - 5) : i]]
+            if len(past) < 2:
+                assert got[k] is None
+                continue
+            off = x[k] - past.mean(axis=0)
+            cov = np.cov(past, rowvar=False) + 1e-6 * np.eye(6)
+            assert got[k] == pytest.approx(np.sqrt(off @ np.linalg.pinv(cov) @ off), rel=1e-6)
+
+
+def test_components_and_cells(spark):
+    from tidemark.operators import grid
+
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(60, 4)) @ np.diag([5, 2, 1, 0.5])
+    df = spark.createDataFrame([(k, x[k].tolist()) for k in range(60)], "vec_id long, v array<double>")
+    got = np.array([r.pca for r in grid.principal_components(df, "v", 2).orderBy("vec_id").collect()])
+    _, _, axes = np.linalg.svd(x - x.mean(axis=0))
+    for j in range(2):
+        axis = axes[j] * np.sign(axes[j][np.abs(axes[j]).argmax()])
+        assert np.allclose(got[:, j], x @ axis, atol=1e-6)
+    points = rng.random((300, 2)) * [800, 600]
+    cells = grid.adaptive_cells(points, 800, 600, 16)
+    area = sum((c[3] - c[1]) * (c[4] - c[2]) for c in cells)
+    assert len(cells) <= 16 and area == pytest.approx(800 * 600) and sum(c[5] for c in cells) == 300
+    for _, x1, y1, x2, y2, n in cells:
+        assert n == ((points[:, 0] >= x1) & (points[:, 0] < x2) & (points[:, 1] >= y1) & (points[:, 1] < y2)).sum()
+
+
+def test_settings(tmp_path, monkeypatch):
+    from tidemark.sources import config
+
+    monkeypatch.setenv("ROOT_OF_IT", "/data")
+    path = tmp_path / "run.json"
+    path.write_text('{"video_sources": ["$ROOT_OF_IT/a", "${ROOT_OF_IT}/b"], "confidence": 0.4}')
+    assert config.load(str(path)).video_sources == ["/data/a", "/data/b"]
+    for text in ('{"confidence": 2}', '{"nonsense": 1}', "[1]", '{"stations": "x"}', '{"first_date": "2024-02-01", "last_date": "2024-01-01"}'):
+        path.write_text(text)
+        with pytest.raises(ValueError):
+            config.load(str(path))
+    path.write_text("")
+    assert config.load(str(path)) == config.Settings()
+
+
+def test_nms_and_walks_of_many(spark):
+    """Selections grow in proportion to their candidates."""
+    df = spark.range(200_000).selectExpr("1 video", "id at", "id + 3 resume")
+    assert select.jump_select(df, "video", "at", "resume").count() == 66_667
+    one = spark.range(20_000).selectExpr("'f' file", "id truth_no", "'x' type", "id * 10 second")
+    assert select.match_nearest(one, one.withColumnRenamed("truth_no", "found_no"), 3).count() == 20_000
+
+
+def test_long_series_with_variation(spark):
+    series_ = [k // 50 % 3 for k in range(20_000)]
+    found = states.stable_periods(as_series(spark, series_), shortest=5, variation=1)
+    assert found.agg(F.sum("duration")).first()[0] == 20_000
