@@ -10,6 +10,7 @@ from tidemark.operators import boxes, classify, series, states
 from tidemark.plans.core import _FLAGS, _STATE_EVENTS, ser
 from tidemark.plans.registry import query
 from tidemark.plans.roles import DET, GRID, detections, table
+from tidemark.plans.session import scratch
 from tidemark.sources import files, sinks
 
 _NEAR = "xmin >= 200 AND xmax <= 2488 AND ymin >= 200 AND ymax <= 1320"
@@ -41,9 +42,11 @@ def op_008(spark, sf_dir):
 
 @query("op_027_append_metrics", "SELECT o_orderstatus AS stage, count(*) AS n, CAST(0 AS BIGINT) AS run FROM orders GROUP BY 1 UNION ALL SELECT o_orderpriority, count(*), 1 FROM orders GROUP BY 1")
 def op_027(spark, sf_dir):
-    o = table(spark, sf_dir, "orders")
-    run = lambda c, k: o.groupBy(F.col(c).alias("stage")).agg(F.count("*").alias("n")).withColumn("run", F.lit(k).cast("bigint"))
-    return run("o_orderstatus", 0).unionByName(run("o_orderpriority", 1))
+    """Two runs append their metrics to one table."""
+    o, path = table(spark, sf_dir, "orders"), scratch(spark, "metrics")
+    for k, c in enumerate(("o_orderstatus", "o_orderpriority")):
+        sinks.append(o.groupBy(F.col(c).alias("stage")).agg(F.count("*").alias("n")).withColumn("run", F.lit(k).cast("bigint")), path)
+    return spark.read.parquet(path)
 
 
 @query("op_028_embedding_columns", "SELECT vec_id AS frame, " + ", ".join(f"round(CAST(embedding[{16 * r + 4 * c + k + 1}] AS DOUBLE), 6) AS cell_{r}_{c}_{k}" for r in range(4) for c in range(4) for k in range(4)) + " FROM embeddings")
@@ -59,6 +62,16 @@ def op_031(spark, sf_dir):
     return table(spark, sf_dir, "pages").where(day.try_cast("date").isNull()).select("page_id", "url")
 
 
+@query("op_031_rejected_lines", "SELECT CASE WHEN event_id % 7 = 0 THEN 'n/a' ELSE CAST(event_id AS VARCHAR) END AS frame, CASE WHEN event_id % 5 = 0 THEN 'x' ELSE '0.5' END AS confidence, count(*) AS n FROM events WHERE event_id % 7 = 0 OR event_id % 5 = 0 GROUP BY ALL")
+def op_031_lines(spark, sf_dir):
+    """Lines of detection files that don't convert, appended to the audit table."""
+    path, audit = scratch(spark, "raw"), scratch(spark, "audit")
+    e = table(spark, sf_dir, "events").selectExpr("if(event_id % 7 = 0, 'n/a', cast(event_id as string)) frame", "event_type class", "if(event_id % 5 = 0, 'x', '0.5') confidence", "1 xmin", "2 ymin", "3 xmax", "4 ymax")
+    e.write.option("header", True).csv(path)
+    sinks.append(files.rejected(spark, path), audit)
+    return spark.read.parquet(audit).groupBy("frame", "confidence").agg(F.count("*").alias("n"))
+
+
 @query("op_033_not_done", f"WITH {DET} SELECT DISTINCT video_id FROM det WHERE video_id NOT IN (SELECT video_id FROM det WHERE class = 'error')")
 def op_033(spark, sf_dir):
     d = detections(spark, sf_dir)

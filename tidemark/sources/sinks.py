@@ -67,3 +67,8 @@ def embedding_columns(df: DataFrame, rows: int, cols: int, channels: int) -> Dat
     """A frame's flattened grid as columns cell_r_c_k."""
     names = [f"cell_{r}_{c}_{k}" for r in range(rows) for c in range(cols) for k in range(channels)]
     return df.select("frame", *(F.col("values")[i].alias(n) for i, n in enumerate(names)))
+
+
+def append(df: DataFrame, path: str) -> None:
+    """Add rows to a table; what is there stays."""
+    df.write.mode("append").parquet(path)
