@@ -74,3 +74,15 @@ def test_without_labels(spark, tables):
     rows = T.score_toxicity(docs.limit(5), labels.limit(0)).collect()
     assert len(rows) == 5 and {round(r.score, 6) for r in rows} == {0.01}
     assert T.score_toxicity(docs.limit(0), labels).count() == 0
+
+
+def test_very_long_texts():
+    """The worst passage decides, wherever it stands; pieces don't change a score."""
+    model = T.fit([b"you stupid idiot go away now", b"what a lovely day it is"] * 40, np.array([1, 0] * 40), steps=50)
+    clean, rude = b"what a lovely day it is " * 20_000, b"you stupid idiot go away now "
+    texts = [clean, clean + rude + clean, rude, b"x" * 300_000, b""]
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    scores = T.predict(np.frombuffer(b"".join(texts), np.uint8), offsets, model)
+    assert len(scores) == 5 and ((scores >= 0) & (scores <= 1)).all() and scores[1] >= scores[0]
+    alone = [T.predict(np.frombuffer(t, np.uint8), np.array([0, len(t)]), model)[0] for t in texts]
+    assert np.allclose(alone, scores)

@@ -19,18 +19,19 @@ def _with_minimum(edges: DataFrame, include_self: bool) -> DataFrame:
     return salted.join(lows, ["u", "salt"]).drop("salt")
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of `edges` (columns u, v; long).
 
     The component is its smallest node. Alternating large-star and small-star
-    rounds; each result is checkpointed to the shared folder. Null ends and
-    loops are ignored, repeated edges count once, an empty table gives none.
+    rounds until nothing changes; each result is checkpointed to the shared
+    folder. Null ends and loops are ignored, repeated edges count once, an empty
+    table gives none.
     """
     spark = edges.sparkSession
     shared_dir(spark)
     edges = edges.where("u is not null and v is not null and u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     edges, before = edges.checkpoint(), None
-    for _ in range(max_rounds):
+    while True:
         # large star: every neighbour above u links to the smallest around u
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         edges = _with_minimum(both, True).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -42,7 +43,5 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if now == before:
             break
         before = now
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     ends = edges.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("node"), "component")
     return ends.union(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
