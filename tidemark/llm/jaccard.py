@@ -17,16 +17,16 @@ pairs; in a second one, the texts of shingles whose components still differ meet
 
 from __future__ import annotations
 
-from functools import lru_cache
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import flat, id_and_bytes, ids_of, mix, partitions, slices, small_or_shuffled, sole, staged, without, word_hashes, words_of
+from tidemark.llm.common import flat, id_and_bytes, ids_of, mix, partitions, same_words, slices, small_or_shuffled, sole, staged, without, word_hashes, words_of
 from tidemark.llm.components import components
-from tidemark.llm.simhash import linked
+from tidemark.llm.simhash import linked, majorities
 
 WIDTH = 5
 #: Similarity that links, as a fraction.
@@ -47,9 +47,23 @@ _SHARED = "shingle long, node long, n int, at int, low long, low_n int, high lon
 _PREFIX_NAMES, _SHARED_NAMES = ([c.split()[0] for c in x.split(", ")] for x in (_PREFIX, _SHARED))
 
 
-def shingle_sets(column) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of each text's distinct shingles, sorted, all end to end, and the
-    text of each; of a text of fewer words, one hash of all."""
+@dataclass
+class Shingles:
+    """Distinct shingles of several texts, by text and hash: hash, text and first
+    word of each; of a text of fewer than WIDTH words, one of all. `words` holds
+    the texts' bytes, where words start and end, and how many a text has."""
+
+    hash: np.ndarray
+    text: np.ndarray
+    at: np.ndarray
+    words: tuple
+
+    def size(self, k: np.ndarray) -> np.ndarray:
+        """Words of some shingles."""
+        return np.minimum(self.words[3][self.text[k]], WIDTH)
+
+
+def shingles_of(column) -> Shingles:
     data, offsets = flat(column)
     data = _LOWER[data]
     starts, ends, first = words_of(data, offsets)
@@ -64,22 +78,27 @@ def shingle_sets(column) -> tuple[np.ndarray, np.ndarray]:
     for j in range(WIDTH - 1):
         more = count[short] > j
         few[more] = mix(few[more] + words[first[short[more]] + j] + np.uint64(1))
-    h, text = np.concatenate([h, few]), np.concatenate([text[whole], short])
+    h, text, at = np.concatenate([h, few]), np.concatenate([text[whole], short]), np.concatenate([whole, first[short]])
     order = np.lexsort((h, text))
-    h, text = h[order], text[order]
+    h, text, at = h[order], text[order], at[order]
     new = np.concatenate([[True], (h[1:] != h[:-1]) | (text[1:] != text[:-1])]) if len(h) else np.zeros(0, bool)
-    return h[new], text[new]
+    return Shingles(h[new], text[new], at[new], (data, starts, ends, count))
 
 
-@lru_cache(maxsize=256)
-def exact_set(text: bytes) -> frozenset:
+def _exact_set(text: bytes) -> set:
     words = text.translate(_LOWER.tobytes()).split()
-    return frozenset(tuple(words[k : k + WIDTH]) for k in range(max(len(words) - WIDTH, 0) + 1))
+    return {tuple(words[k : k + WIDTH]) for k in range(max(len(words) - WIDTH, 0) + 1)}
+
+
+def _print_batches(batches):
+    for part in slices(batches, 200):
+        s = shingles_of(part.column(1))
+        yield pa.RecordBatch.from_arrays([part.column(0), pa.array(majorities(s.hash, s.text, part.num_rows).view(np.int64))], names=["doc_id", "fp"])
 
 
 def _shingle_batches(batches):
     for part in slices(batches, 200):
-        yield pa.RecordBatch.from_arrays([pa.array(shingle_sets(part.column(1))[0].view(np.int64))], names=["shingle"])
+        yield pa.RecordBatch.from_arrays([pa.array(shingles_of(part.column(1)).hash.view(np.int64))], names=["shingle"])
 
 
 def _prefix_batches(batches, frequent):
@@ -87,7 +106,8 @@ def _prefix_batches(batches, frequent):
     and the place among them; part is 0, or from 1 on for rows of a hot shingle."""
     known, counts = frequent.value
     for part in slices(batches, 200):
-        h, text = shingle_sets(part.column(1))
+        s = shingles_of(part.column(1))
+        h, text = s.hash, s.text
         rank = np.zeros(len(h), np.int64)
         if len(known):
             at = np.minimum(np.searchsorted(known, h), len(known) - 1)
@@ -163,22 +183,33 @@ def _candidate_batches(batches):
 
 
 def _verified_batches(batches):
-    """Pairs (u, v, a, b) whose texts a and b are similar: by hashes, then by the shingles themselves."""
+    """Pairs (u, v, a, b) whose texts a and b are similar. Shingles meet by hash and
+    are compared as bytes; where that disagrees, the sets of shingles decide."""
     for part in slices(batches, 200):
-        both = pa.concat_arrays([part.column(2).cast(pa.binary()), part.column(3).cast(pa.binary())])
-        h, text = shingle_sets(both)
-        n, pair = np.bincount(text, minlength=len(both)), text % part.num_rows
-        order = np.lexsort((h, pair))
-        h, pair = h[order], pair[order]
-        common = np.bincount(pair[1:][(h[1:] == h[:-1]) & (pair[1:] == pair[:-1])], minlength=part.num_rows)
-        near = np.flatnonzero(common * (NUM + DEN) >= NUM * (n[: part.num_rows] + n[part.num_rows :]))
-        sure = []
-        for k in near.tolist():
-            a, b = exact_set(part.column(2)[k].as_py()), exact_set(part.column(3)[k].as_py())
-            if len(a & b) * (NUM + DEN) >= NUM * (len(a) + len(b)):
-                sure.append(k)
-        at = pa.array(sure, pa.int64())
-        yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at)], names=["u", "v"])
+        rows = part.num_rows
+        s = shingles_of(pa.concat_arrays([part.column(2).cast(pa.binary()), part.column(3).cast(pa.binary())]))
+        n, pair = np.bincount(s.text, minlength=2 * rows), s.text % rows
+        order = np.lexsort((s.text, s.hash, pair))
+        met = np.flatnonzero((s.hash[order[1:]] == s.hash[order[:-1]]) & (pair[order[1:]] == pair[order[:-1]]))
+        x, y = order[met], order[met + 1]
+        near = np.bincount(pair[x], minlength=rows) * (NUM + DEN) >= NUM * (n[:rows] + n[rows:])
+        use = near[pair[x]]
+        x, y = x[use], y[use]
+        data, starts, ends, count = s.words
+        wide = s.size(x)
+        same = (wide == s.size(y)) & ((wide == 0) | _equal_words(data, starts, ends, s.at[x], s.at[y], wide))
+        for k in np.unique(pair[x[~same]]).tolist():
+            a, b = (_exact_set(part.column(c)[k].as_py()) for c in (2, 3))
+            near[k] = len(a & b) * (NUM + DEN) >= NUM * (len(a) + len(b))
+        keep = pa.array(near)
+        yield pa.RecordBatch.from_arrays([part.column(0).filter(keep), part.column(1).filter(keep)], names=["u", "v"])
+
+
+def _equal_words(data, starts, ends, a, b, size) -> np.ndarray:
+    out = np.ones(len(a), bool)
+    some = np.flatnonzero(size)
+    out[some] = same_words(data, starts, ends, a[some], b[some], size[some])
+    return out
 
 
 def _frequent(texts: DataFrame, rows: int):
@@ -213,7 +244,8 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     spark = docs.sparkSession
     texts = id_and_bytes(docs, id_col, text_col).where("doc_id is not null")
-    prints, nodes, links = linked(docs, id_col, text_col, WIDTH, BITS)
+    prints = staged(texts.mapInArrow(_print_batches, "doc_id long, fp long"), "near-prints")
+    nodes, links = linked(prints, BITS)
     named = prints.join(nodes, "fp").select(F.col("node").alias("u"), F.col("doc_id").alias("v"))
     proposed = links.union(named.where("u <> v"))
     frequent = _frequent(texts, texts.count())

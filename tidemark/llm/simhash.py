@@ -52,8 +52,19 @@ def _shingle_hashes(text: bytes, width: int):
         yield np.fromiter(map(xxhash.xxh64_intdigest, map(joined.__getitem__, map(slice, a, b)), repeat(SEED)), np.uint64, len(a))
 
 
+def majorities(hashes: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """uint64 fingerprint of each of n owners from hashes in order of owner: a bit is 1
+    if set in over half of them."""
+    counts, totals = np.zeros((n, 64), np.int64), np.bincount(owner, minlength=n)
+    if len(hashes):
+        place = np.arange(len(hashes)) - np.repeat((np.cumsum(totals) - totals)[totals > 0], totals[totals > 0])
+        begins = np.flatnonzero(place % _RUN == 0)
+        np.add.at(counts, owner[begins], _bit_counts(hashes, begins))
+    return ((counts * 2 > totals[:, None]).astype(np.uint64) << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
+
+
 def _bit_counts(hashes: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """For each run of hashes, how many have each of the 64 bits."""
+    """For each run of hashes (at most _RUN), how many have each of the 64 bits."""
     out, lane = np.empty((len(begins), 64), np.int64), np.uint64(0x0001000100010001)
     for bit in range(16):
         sums = np.add.reduceat((hashes >> np.uint64(bit)) & lane, begins)
@@ -179,17 +190,16 @@ def _dealt(probes: DataFrame, nodes: DataFrame, hot_half: int) -> DataFrame:
     return probes.select((F.col("key") * 2048 + F.col("_s")).alias("deal"), "fp", "node", "own")
 
 
-def linked(docs: DataFrame, id_col: str, text_col: str, width: int, most: int, hot_half: int = HOT_HALF) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Fingerprints (doc_id, fp) of all documents; of each fingerprint the smallest
-    identifier, its node (fp, node); links (u, v) between nodes that connect what
-    `most` or fewer differing bits connect."""
+def linked(prints: DataFrame, most: int, hot_half: int = HOT_HALF) -> tuple[DataFrame, DataFrame]:
+    """Of staged fingerprints (doc_id, fp): the smallest identifier of each, its node
+    (fp, node), and links (u, v) between nodes that connect what `most` or fewer
+    differing bits connect."""
     if most > 3:
         raise ValueError("two segments with balls of radius 1 find up to 3 differing bits")
-    prints = staged(id_and_bytes(docs, id_col, text_col).mapInArrow(lambda b: _fingerprint_batches(b, width), "doc_id long, fp long"), "simhash")
     nodes = prints.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("node"))
     probes = _dealt(nodes.mapInArrow(_probe_batches, "key long, fp long, node long, own boolean"), nodes, hot_half)
-    links = probes.repartition(partitions(docs.sparkSession), "deal").mapInArrow(lambda b: _link_batches(b, most), "u long, v long")
-    return prints, nodes, links
+    links = probes.repartition(partitions(prints.sparkSession), "deal").mapInArrow(lambda b: _link_batches(b, most), "u long, v long")
+    return nodes, links
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, most: int = 3, hot_half: int = HOT_HALF) -> DataFrame:
@@ -203,7 +213,8 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     null identifier takes the component of its fingerprint, null if no other
     document is in it. Other columns are ignored; an empty table gives none.
     """
-    prints, nodes, links = linked(docs, id_col, text_col, width, most, hot_half)
+    prints = staged(id_and_bytes(docs, id_col, text_col).mapInArrow(lambda b: _fingerprint_batches(b, width), "doc_id long, fp long"), "simhash")
+    nodes, links = linked(prints, most, hot_half)
     whole = components(links)
     named = nodes.join(whole, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     return prints.join(named, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
