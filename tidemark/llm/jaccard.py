@@ -10,9 +10,12 @@ n - ceil(4n/5) + 1 of each. So only these prefixes meet, and no pair is lost.
 Frequent shingles come last in the order; a bounded sample tells which they are,
 and since any common order is exact, the sample bears on time alone.
 
-In a first round each text of a prefix shingle meets the shingle's first and last
-one only, so that a large group of copies becomes one component without its
-pairs; in a second one, the texts of shingles whose components still differ meet.
+In star rounds each text of a prefix shingle meets two texts of it only, others
+in each round, so that a large group of copies becomes one component without its
+pairs. When a round links nothing more, the texts of shingles whose components
+still differ meet. Of all pairs, those are looked at more closely whose counts of
+shingles by bucket of their hash leave room for the similarity: an upper bound, so
+no pair is lost.
 """
 
 from __future__ import annotations
@@ -38,6 +41,8 @@ BITS = 3
 SAMPLE, FREQUENT, HOT = 20_000, 8, 100
 #: Parts of a hot shingle's rows.
 PARTS = 64
+#: Buckets of a text's sketch; a count that reaches FULL may be any larger one.
+BUCKETS, FULL = 128, 255
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -90,10 +95,38 @@ def _exact_set(text: bytes) -> set:
     return {tuple(words[k : k + WIDTH]) for k in range(max(len(words) - WIDTH, 0) + 1)}
 
 
+def _sketches(s: Shingles, rows: int) -> np.ndarray:
+    """Per text, how many of its shingles fall into each bucket."""
+    at = s.text * BUCKETS + (s.hash >> np.uint64(57)).astype(np.int64)
+    return np.minimum(np.bincount(at, minlength=rows * BUCKETS), FULL).astype(np.uint8).reshape(rows, BUCKETS)
+
+
 def _print_batches(batches):
+    """(doc_id, fp, n, sketch): fingerprint, number of shingles and sketch of each text."""
     for part in slices(batches, 200):
-        s = shingles_of(part.column(1))
-        yield pa.RecordBatch.from_arrays([part.column(0), pa.array(majorities(s.hash, s.text, part.num_rows).view(np.int64))], names=["doc_id", "fp"])
+        s, rows = shingles_of(part.column(1)), part.num_rows
+        n = np.bincount(s.text, minlength=rows).astype(np.int32)
+        sketch = pa.array([x.tobytes() for x in _sketches(s, rows)], pa.binary())
+        yield pa.RecordBatch.from_arrays([part.column(0), pa.array(majorities(s.hash, s.text, rows).view(np.int64)), pa.array(n), sketch], names=["doc_id", "fp", "n", "sketch"])
+
+
+def _may_be_similar(a: np.ndarray, b: np.ndarray, both: np.ndarray) -> np.ndarray:
+    """Whether rows of sketches a and b, of texts with `both` shingles together, leave
+    room for the similarity."""
+    least = np.minimum(a, b)
+    return (least.sum(axis=1, dtype=np.int64) * (NUM + DEN) >= NUM * both) | (least == FULL).any(axis=1)
+
+
+def _rows_of(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BUCKETS)
+
+
+def _possible_batches(batches):
+    """Pairs (u, v, n, m, a, b) whose sizes and sketches leave room for the similarity."""
+    for part in slices(batches):
+        n, m = (part.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (2, 3))
+        keep = (DEN * np.minimum(n, m) >= NUM * np.maximum(n, m)) & _may_be_similar(_rows_of(part.column(4)), _rows_of(part.column(5)), n + m)
+        yield pa.RecordBatch.from_arrays([part.column(k).filter(pa.array(keep)) for k in (0, 1)], names=["u", "v"])
 
 
 def _shingle_batches(batches):
@@ -147,14 +180,15 @@ def _shared_batches(batches):
 
 def _candidate_batches(batches):
     """Pairs that meet under a shingle, are of different components and can be
-    similar by number and place."""
-    parts = [[b.column(i).to_numpy(zero_copy_only=False) for i in range(5)] for b in batches]
+    similar by number, place and sketch."""
+    parts = list(batches)
     if not parts:
         return
-    shingle, node, n, at, whole = (np.concatenate(x) for x in zip(*parts))
+    shingle, node, n, at, whole = (np.concatenate([b.column(i).to_numpy(zero_copy_only=False) for b in parts]) for i in range(5))
+    sketch = np.concatenate([_rows_of(b.column(5)) for b in parts])
     del parts
     order = np.lexsort((node, n, shingle))
-    shingle, node, n, at, whole = (x[order] for x in (shingle, node, n.astype(np.int64), at.astype(np.int64), whole))
+    shingle, node, n, at, whole, sketch = (x[order] for x in (shingle, node, n.astype(np.int64), at.astype(np.int64), whole, sketch))
     begin = np.flatnonzero(np.concatenate([[True], shingle[1:] != shingle[:-1]]))
     size = np.diff(np.append(begin, len(shingle)))
     group_end = np.repeat(begin + size, size)
@@ -169,10 +203,14 @@ def _candidate_batches(batches):
     while len(left):  # each row with the one `step` behind it; n grows, so what is too long ends a row's turn
         i, j = left, left + step
         use = (whole[i] != whole[j]) & (DEN * n[i] >= NUM * n[j]) & (np.minimum(n[i] - at[i], n[j] - at[j]) * (NUM + DEN) >= NUM * (n[i] + n[j]))
-        u, v = node[i[use]], node[j[use]]
-        found.append(np.stack([np.minimum(u, v), np.maximum(u, v)], 1))
-        held += len(u)
-        if held > 500_000:
+        i, j = i[use], j[use]
+        for k in range(0, len(i), 50_000):
+            x, y = i[k : k + 50_000], j[k : k + 50_000]
+            good = _may_be_similar(sketch[x], sketch[y], n[x] + n[y])
+            u, v = node[x[good]], node[y[good]]
+            found.append(np.stack([np.minimum(u, v), np.maximum(u, v)], 1))
+            held += len(u)
+        if held > 100_000:
             yield pairs()
             found, held = [], 0
         step += 1
@@ -222,14 +260,28 @@ def _frequent(texts: DataFrame, rows: int):
     return spark.sparkContext.broadcast((h[order], c[order]))
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, tag: str) -> DataFrame:
-    """The similar ones among candidate pairs (u, v)."""
-    pairs = staged(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), f"{tag}-pairs")
+def _verified(pairs: DataFrame, texts: DataFrame, prints: DataFrame, tag: str) -> DataFrame:
+    """The similar ones among candidate pairs (u, v). Texts are moved for those
+    alone that the sketches leave room for."""
+    pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    a, b = prints.select(F.col("doc_id").alias("u"), "n", F.col("sketch").alias("a")), prints.select(F.col("doc_id").alias("v"), F.col("n").alias("m"), F.col("sketch").alias("b"))
+    bounded = pairs.join(a, "u").join(b, "v").select("u", "v", "n", "m", "a", "b")
+    pairs = staged(bounded.mapInArrow(_possible_batches, "u long, v long").distinct(), f"{tag}-pairs")
     ids = staged(pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct(), f"{tag}-ids")
     some = staged(texts.join(small_or_shuffled(ids, ids.count()), "doc_id", "left_semi"), f"{tag}-texts")
     a, b = some.select(F.col("doc_id").alias("u"), F.col("text").alias("a")), some.select(F.col("doc_id").alias("v"), F.col("text").alias("b"))
     joined = pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b")
-    return staged(joined.mapInArrow(_verified_batches, "u long, v long"), f"{tag}-edges")
+    return staged(joined.mapInArrow(_verified_batches, "u long, v long").distinct(), f"{tag}-edges")
+
+
+def _ends(rows: DataFrame, turn: int) -> DataFrame:
+    """Each row of a shingle with two rows of it, chosen by a hash that differs from
+    turn to turn: pairs of different components and similar size."""
+    kept, by = F.struct("node", "n", "whole"), F.xxhash64("node", F.lit(turn))
+    ends = rows.groupBy("shingle").agg(F.min_by(kept, by).alias("a"), F.max_by(kept, by).alias("b"))
+    met = rows.join(ends, "shingle").select("node", "n", "whole", F.explode(F.array("a", "b")).alias("end"))
+    met = met.where(f"whole <> end.whole and {DEN} * least(n, end.n) >= {NUM} * greatest(n, end.n)")
+    return met.select(F.col("node").alias("u"), F.col("end.node").alias("v"))
 
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -244,25 +296,31 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     spark = docs.sparkSession
     texts = id_and_bytes(docs, id_col, text_col).where("doc_id is not null")
-    prints = staged(texts.mapInArrow(_print_batches, "doc_id long, fp long"), "near-prints")
-    nodes, links = linked(prints, BITS)
+    prints = staged(texts.mapInArrow(_print_batches, "doc_id long, fp long, n int, sketch binary"), "near-prints")
+    nodes, links = linked(prints.select("doc_id", "fp"), BITS)
     named = prints.join(nodes, "fp").select(F.col("node").alias("u"), F.col("doc_id").alias("v"))
     proposed = links.union(named.where("u <> v"))
     frequent = _frequent(texts, texts.count())
     prefixes = texts.mapInArrow(lambda b: _prefix_batches(b, frequent), _PREFIX).repartition(partitions(spark), "shingle", "part")
     shared = staged(prefixes.mapInArrow(_shared_batches, _SHARED), "near-shared")
     hot, cold = shared.where("low is null"), shared.where("low is not null")
-    ends = F.broadcast(hot.groupBy("shingle").agg(F.min(F.struct("node", "n")).alias("a"), F.max(F.struct("node", "n")).alias("b")))
-    met = hot.join(ends, "shingle").select("node", "n", F.explode(F.array("a", "b")).alias("end"))
-    met = met.union(cold.select("node", "n", F.explode(F.array(F.struct(F.col("low").alias("node"), F.col("low_n").alias("n")), F.struct(F.col("high").alias("node"), F.col("high_n").alias("n")))).alias("end")))
+    met = cold.select("node", "n", F.explode(F.array(F.struct(F.col("low").alias("node"), F.col("low_n").alias("n")), F.struct(F.col("high").alias("node"), F.col("high_n").alias("n")))).alias("end"))
     met = met.where(f"node <> end.node and {DEN} * least(n, end.n) >= {NUM} * greatest(n, end.n)").select(F.col("node").alias("u"), F.col("end.node").alias("v"))
-    edges = _verified(proposed.union(met), texts, "near-first")
-    known = staged(components(edges), "near-known")
-    placed = shared.select("shingle", "node", "n", "at").join(small_or_shuffled(known, known.count()), "node", "left").withColumn("whole", F.coalesce("component", "node"))
-    mixed = placed.groupBy("shingle").agg(F.min("whole").alias("low"), F.max("whole").alias("high")).where("low <> high").select("shingle")
-    rows = placed.join(mixed, "shingle").select("shingle", "node", "n", "at", "whole").repartition(partitions(spark), "shingle")
-    rest = _verified(rows.mapInArrow(_candidate_batches, "u long, v long"), texts, "near-rest")
-    return components(edges.union(rest))
+    met = met.union(_ends(hot.withColumn("whole", F.col("node")), 0))
+    edges, turn = _verified(proposed.union(met), texts, prints, "near-first"), 0
+    while True:
+        known, turn = staged(components(edges), "near-known"), turn + 1
+        placed = shared.select("shingle", "node", "n", "at").join(small_or_shuffled(known, known.count()), "node", "left").withColumn("whole", F.coalesce("component", "node"))
+        several = placed.groupBy("shingle").agg(F.min("whole").alias("low"), F.max("whole").alias("high")).where("low <> high").select("shingle")
+        mixed = staged(placed.join(several, "shingle").select("shingle", "node", "n", "at", "whole"), "near-mixed")
+        more = _verified(_ends(mixed, turn), texts, prints, "near-more")
+        edges = known.select(F.col("node").alias("u"), F.col("component").alias("v"))
+        if not more.head(1):
+            break
+        edges = edges.union(more)
+    rows = mixed.join(prints.select(F.col("doc_id").alias("node"), "sketch"), "node").select("shingle", "node", "n", "at", "whole", "sketch").repartition(partitions(spark), "shingle")
+    rest = _verified(rows.mapInArrow(_candidate_batches, "u long, v long"), texts, prints, "near-rest")
+    return components(edges.union(rest)) if rest.head(1) else known
 
 
 def similar_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
