@@ -15,10 +15,12 @@ windows, and a document meets the class, not each of its items.
 from __future__ import annotations
 
 import hashlib
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -318,9 +320,9 @@ _TYPES = [pa.int64()] * 5 + [pa.float64(), pa.bool_(), pa.bool_()]
 
 
 def _leak_batches(batches, index):
-    canon = Canon()
+    canon, index = Canon(), pickle.loads(index.value)
     for batch in slices(batches):
-        rows = list(_found(batch.column(1), index.value, canon))
+        rows = list(_found(batch.column(1), index, canon))
         if rows:
             place, *columns = zip(*rows)
             of = [hashlib.blake2b(batch.column(1)[k].as_py() or b"", digest_size=16).digest() for k in place]
@@ -329,10 +331,10 @@ def _leak_batches(batches, index):
 
 def _keep_batches(batches, index, column):
     """A batch's rows that hold no contaminated passage."""
-    canon = Canon()
+    canon, index = Canon(), pickle.loads(index.value)
     for batch in slices(batches):
         keep = np.ones(batch.num_rows, bool)
-        keep[[r[0] for r in _found(batch.column(column).cast(pa.binary()), index.value, canon) if r[-1]]] = False
+        keep[[r[0] for r in _found(batch.column(column).cast(pa.binary()), index, canon) if r[-1]]] = False
         yield batch.filter(pa.array(keep))
 
 
@@ -345,7 +347,8 @@ def _passes(benchmark: DataFrame, item_col: str, text_col: str):
     n = max(1, -(-size // PASS_BYTES))
     for k in range(n):
         table = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).toArrow().sort_by([("item_id", "ascending"), ("text", "ascending")])
-        index = spark.sparkContext.broadcast(build_index(table.column("item_id").to_pylist(), table.column("text").to_pylist()))
+        # pickled here, by value: a worker needs no copy of this package to read it
+        index = spark.sparkContext.broadcast(cloudpickle.dumps(build_index(table.column("item_id").to_pylist(), table.column("text").to_pylist())))
         yield index, n == 1
         if n > 1:
             index.destroy()

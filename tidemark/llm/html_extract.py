@@ -83,16 +83,12 @@ def _marks_of(tag: str, attributes: str) -> tuple[str, ...]:
     return tuple(dict.fromkeys(out))
 
 
-@lru_cache(maxsize=20_000)
-def _marks_kept(tag: str, attributes: str) -> tuple[str, ...]:
-    return _marks_of(tag, attributes)
-
-
-def leaf_blocks(page: str, lean: dict | None = None) -> list[tuple]:
+def leaf_blocks(page: str, lean: dict | None = None, marks_of=_marks_of) -> list[tuple]:
     """Leaf blocks in page order: (text, characters inside links, block element
     around it, features of ancestors). With `lean`, scores of features in
     multiples of 1 / UNIT, the last is their sum, kept up to date as elements
-    open and close; time is then in proportion to the page however deep it nests."""
+    open and close; time is then in proportion to the page however deep it nests.
+    `marks_of` may be a cached one; it is asked about short attributes alone."""
     blocks: list = []
     stack: list = []  # (tag, marks)
     places: dict = defaultdict(list)  # tag -> its places on the stack
@@ -191,7 +187,7 @@ def leaf_blocks(page: str, lean: dict | None = None) -> list[tuple]:
         if tag in _ENDS:
             close(_ENDS[tag], _SCOPE - _ENDS[tag])
         attributes = page[m.end() : end]
-        push(tag, (_marks_kept if len(attributes) < 500 else _marks_of)(tag, attributes))
+        push(tag, (marks_of if len(attributes) < 500 else _marks_of)(tag, attributes))
     flush()
     return blocks
 
@@ -407,17 +403,17 @@ def trained() -> Chain:
     return Chain().fit(pages)
 
 
-def main_text(page: str, chain: Chain) -> str:
+def main_text(page: str, chain: Chain, marks_of=_marks_of) -> str:
     """`chain` holds whole multiples of 1 / UNIT, see Chain.whole."""
-    blocks, weights = leaf_blocks(page, chain.weights), chain.weights
+    blocks, weights = leaf_blocks(page, chain.weights, marks_of), chain.weights
     lean = [block[3] + sum(weights.get(f, 0) for f in own) for own, block in zip(_own(blocks), blocks)]
     return "\n".join(b[0] for b, label in zip(blocks, chain.decode(lean)) if label)
 
 
 def _extract_batches(batches, weights, moves):
-    chain = Chain(weights, moves)
+    chain, marks_of = Chain(weights, moves), lru_cache(maxsize=20_000)(_marks_of)
     for batch in slices(batches, 500):
-        texts = [main_text(h, chain) if h else "" for h in batch.column(2).to_pylist()]
+        texts = [main_text(h, chain, marks_of) if h else "" for h in batch.column(2).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
 
