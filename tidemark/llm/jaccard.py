@@ -12,7 +12,7 @@ and since any common order is exact, the sample bears on time alone.
 
 In star rounds each text of a prefix shingle meets two texts of it only, others
 in each round, so that a large group of copies becomes one component without its
-pairs. When a round links nothing more, the texts of shingles whose components
+pairs. When a round links few more, the texts of shingles whose components
 still differ meet. Of all pairs, those are looked at more closely whose counts of
 shingles by bucket of their hash leave room for the similarity: an upper bound, so
 no pair is lost.
@@ -310,17 +310,17 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     edges, turn = _verified(proposed.union(met), texts, prints, "near-first"), 0
     while True:
         known, turn = staged(components(edges), "near-known"), turn + 1
-        placed = shared.select("shingle", "node", "n", "at").join(small_or_shuffled(known, known.count()), "node", "left").withColumn("whole", F.coalesce("component", "node"))
+        nodes_known = known.count()
+        placed = shared.select("shingle", "node", "n", "at").join(small_or_shuffled(known, nodes_known), "node", "left").withColumn("whole", F.coalesce("component", "node"))
         several = placed.groupBy("shingle").agg(F.min("whole").alias("low"), F.max("whole").alias("high")).where("low <> high").select("shingle")
         mixed = staged(placed.join(several, "shingle").select("shingle", "node", "n", "at", "whole"), "near-mixed")
         more = _verified(_ends(mixed, turn), texts, prints, "near-more")
-        edges = known.select(F.col("node").alias("u"), F.col("component").alias("v"))
-        if not more.head(1):
+        edges = known.select(F.col("node").alias("u"), F.col("component").alias("v")).union(more)
+        if more.count() * 100 <= nodes_known:
             break
-        edges = edges.union(more)
     rows = mixed.join(prints.select(F.col("doc_id").alias("node"), "sketch"), "node").select("shingle", "node", "n", "at", "whole", "sketch").repartition(partitions(spark), "shingle")
     rest = _verified(rows.mapInArrow(_candidate_batches, "u long, v long"), texts, prints, "near-rest")
-    return components(edges.union(rest)) if rest.head(1) else known
+    return components(edges.union(rest))
 
 
 def similar_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
