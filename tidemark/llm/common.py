@@ -266,7 +266,7 @@ def gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - begin, lengths) + np.arange(int(lengths.sum()))
 
 
-def _portions(sizes: np.ndarray, most: int):
+def portions(sizes: np.ndarray, most: int):
     """Slices of neighbours of some `most` symbols in all."""
     ends, k = np.cumsum(sizes), 0
     while k < len(sizes):
@@ -278,7 +278,7 @@ def _portions(sizes: np.ndarray, most: int):
 def same_stretches(symbols: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
     """For each i, whether symbols[a[i] : a[i] + size[i]] equals the stretch at b[i]; sizes are positive."""
     out = np.ones(len(a), bool)
-    for s in _portions(size, 1 << 19):
+    for s in portions(size, 1 << 19):
         n = size[s]
         differ = symbols[gather(a[s], n)] != symbols[gather(b[s], n)]
         out[s] = ~np.logical_or.reduceat(differ, np.cumsum(n) - n)
@@ -288,7 +288,7 @@ def same_stretches(symbols: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.n
 def same_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
     """For each i, whether the size[i] words from word a[i] on equal those from word b[i] on, as bytes."""
     out = np.ones(len(a), bool)
-    for s in _portions(size, 1 << 16):
+    for s in portions(size, 1 << 16):
         n = size[s]
         x, y = gather(a[s], n), gather(b[s], n)
         same = ends[x] - starts[x] == ends[y] - starts[y]

@@ -15,7 +15,8 @@ in each round, so that a large group of copies becomes one component without its
 pairs. When a round links few more, the texts of shingles whose components
 still differ meet. Of all pairs, those are looked at more closely whose counts of
 shingles by bucket of their hash leave room for the similarity: an upper bound, so
-no pair is lost.
+no pair is lost. A text has the more buckets the more shingles it has, since in few
+of them any two long texts look alike.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import flat, id_and_bytes, ids_of, mix, partitions, same_words, slices, small_or_shuffled, sole, staged, without, word_hashes, words_of
+from tidemark.llm.common import configured, flat, id_and_bytes, ids_of, mix, partitions, portions, same_words, slices, small_or_shuffled, sole, staged, without, word_hashes, words_of
 from tidemark.llm.components import components
 from tidemark.llm.simhash import linked, majorities
 
@@ -41,8 +42,12 @@ BITS = 3
 SAMPLE, FREQUENT, HOT = 20_000, 8, 100
 #: Parts of a hot shingle's rows.
 PARTS = 64
-#: Buckets of a text's sketch; a count that reaches FULL may be any larger one.
-BUCKETS, FULL = 128, 255
+#: Buckets of a text's sketch; a count that reaches FULL may be any larger one. With
+#: over LOAD shingles a bucket the fine sketch has twice the buckets, and so on.
+BUCKETS, FULL, LOAD = 128, 255, 8
+#: Bytes of text that are taken apart at once (a longer text, alone), and rows of
+#: pairs with both texts in one Arrow batch.
+PIECE, PAIR_ROWS = 1 << 21, 200
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -95,19 +100,36 @@ def _exact_set(text: bytes) -> set:
     return {tuple(words[k : k + WIDTH]) for k in range(max(len(words) - WIDTH, 0) + 1)}
 
 
-def _sketches(s: Shingles, rows: int) -> np.ndarray:
-    """Per text, how many of its shingles fall into each bucket."""
-    at = s.text * BUCKETS + (s.hash >> np.uint64(57)).astype(np.int64)
-    return np.minimum(np.bincount(at, minlength=rows * BUCKETS), FULL).astype(np.uint8).reshape(rows, BUCKETS)
+def _sketches(s: Shingles, n: np.ndarray, level: np.ndarray) -> pa.Array:
+    """Per text of n shingles, how many of them fall into each of BUCKETS << level buckets."""
+    ends = np.cumsum(BUCKETS << level)
+    shift = (64 - BUCKETS.bit_length() + 1 - level).astype(np.uint64)
+    at = (ends - (BUCKETS << level))[s.text] + (s.hash >> shift[s.text]).astype(np.int64)
+    counts = np.minimum(np.bincount(at, minlength=int(ends[-1]) if len(n) else 0), FULL).astype(np.uint8)
+    offsets = np.concatenate([[0], ends]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(counts.tobytes())])
 
 
-def _print_batches(batches):
-    """(doc_id, fp, n, sketch): fingerprint, number of shingles and sketch of each text."""
+def _levels(n: np.ndarray) -> np.ndarray:
+    """How often the buckets are doubled for texts of n shingles."""
+    return np.ceil(np.log2(np.maximum(n / (BUCKETS * LOAD), 1))).astype(np.int64)
+
+
+def _pieces(batches, *columns: int):
+    """Batches cut so that the texts in some columns have at most PIECE bytes, or one row."""
     for part in slices(batches, 200):
+        sizes = sum(np.diff(flat(part.column(k))[1]) for k in columns)
+        for rows in portions(sizes, PIECE):
+            yield part.slice(rows.start, rows.stop - rows.start)
+
+
+def _print_batches(batches):
+    """(doc_id, fp, n, sketch, fine): fingerprint, number of shingles and sketches of each text."""
+    for part in _pieces(batches, 1):
         s, rows = shingles_of(part.column(1)), part.num_rows
         n = np.bincount(s.text, minlength=rows).astype(np.int32)
-        sketch = pa.array([x.tobytes() for x in _sketches(s, rows)], pa.binary())
-        yield pa.RecordBatch.from_arrays([part.column(0), pa.array(majorities(s.hash, s.text, rows).view(np.int64)), pa.array(n), sketch], names=["doc_id", "fp", "n", "sketch"])
+        sketch, fine = _sketches(s, n, np.zeros(rows, np.int64)), _sketches(s, n, _levels(n))
+        yield pa.RecordBatch.from_arrays([part.column(0), pa.array(majorities(s.hash, s.text, rows).view(np.int64)), pa.array(n), sketch, fine], names=["doc_id", "fp", "n", "sketch", "fine"])
 
 
 def _may_be_similar(a: np.ndarray, b: np.ndarray, both: np.ndarray) -> np.ndarray:
@@ -117,20 +139,33 @@ def _may_be_similar(a: np.ndarray, b: np.ndarray, both: np.ndarray) -> np.ndarra
     return (least.sum(axis=1, dtype=np.int64) * (NUM + DEN) >= NUM * both) | (least == FULL).any(axis=1)
 
 
-def _rows_of(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BUCKETS)
+def _rows_of(column, wide: int = BUCKETS) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, wide)
+
+
+def _folded(sketch: np.ndarray, wide: int) -> np.ndarray:
+    """Sketches with neighbouring buckets put together, so that `wide` are left."""
+    if sketch.shape[1] == wide:
+        return sketch
+    parts = sketch.reshape(len(sketch), wide, -1)
+    return np.where((parts == FULL).any(axis=2), FULL, np.minimum(parts.sum(axis=2, dtype=np.int64), FULL)).astype(np.uint8)
 
 
 def _possible_batches(batches):
-    """Pairs (u, v, n, m, a, b) whose sizes and sketches leave room for the similarity."""
-    for part in slices(batches):
+    """Pairs (u, v, n, m, a, b) whose sizes and fine sketches leave room for the similarity."""
+    for part in slices(batches, 500):
         n, m = (part.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (2, 3))
-        keep = (DEN * np.minimum(n, m) >= NUM * np.maximum(n, m)) & _may_be_similar(_rows_of(part.column(4)), _rows_of(part.column(5)), n + m)
+        keep = DEN * np.minimum(n, m) >= NUM * np.maximum(n, m)
+        wide = np.stack([BUCKETS << _levels(x) for x in (n, m)], 1)
+        for x, y in np.unique(wide[keep], axis=0).tolist():
+            at = np.flatnonzero(keep & (wide[:, 0] == x) & (wide[:, 1] == y))
+            a, b = (_folded(_rows_of(part.column(k).take(pa.array(at)), w), min(x, y)) for k, w in ((4, x), (5, y)))
+            keep[at] = _may_be_similar(a, b, n[at] + m[at])
         yield pa.RecordBatch.from_arrays([part.column(k).filter(pa.array(keep)) for k in (0, 1)], names=["u", "v"])
 
 
 def _shingle_batches(batches):
-    for part in slices(batches, 200):
+    for part in _pieces(batches, 1):
         yield pa.RecordBatch.from_arrays([pa.array(shingles_of(part.column(1)).hash.view(np.int64))], names=["shingle"])
 
 
@@ -138,7 +173,7 @@ def _prefix_batches(batches, frequent):
     """(shingle, node, n, at, part): each text's prefix, with its number of shingles
     and the place among them; part is 0, or from 1 on for rows of a hot shingle."""
     known, counts = frequent.value
-    for part in slices(batches, 200):
+    for part in _pieces(batches, 1):
         s = shingles_of(part.column(1))
         h, text = s.hash, s.text
         rank = np.zeros(len(h), np.int64)
@@ -223,7 +258,7 @@ def _candidate_batches(batches):
 def _verified_batches(batches):
     """Pairs (u, v, a, b) whose texts a and b are similar. Shingles meet by hash and
     are compared as bytes; where that disagrees, the sets of shingles decide."""
-    for part in slices(batches, 200):
+    for part in _pieces(batches, 2, 3):
         rows = part.num_rows
         s = shingles_of(pa.concat_arrays([part.column(2).cast(pa.binary()), part.column(3).cast(pa.binary())]))
         n, pair = np.bincount(s.text, minlength=2 * rows), s.text % rows
@@ -264,14 +299,15 @@ def _verified(pairs: DataFrame, texts: DataFrame, prints: DataFrame, tag: str) -
     """The similar ones among candidate pairs (u, v). Texts are moved for those
     alone that the sketches leave room for."""
     pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    a, b = prints.select(F.col("doc_id").alias("u"), "n", F.col("sketch").alias("a")), prints.select(F.col("doc_id").alias("v"), F.col("n").alias("m"), F.col("sketch").alias("b"))
+    a, b = prints.select(F.col("doc_id").alias("u"), "n", F.col("fine").alias("a")), prints.select(F.col("doc_id").alias("v"), F.col("n").alias("m"), F.col("fine").alias("b"))
     bounded = pairs.join(a, "u").join(b, "v").select("u", "v", "n", "m", "a", "b")
     pairs = staged(bounded.mapInArrow(_possible_batches, "u long, v long").distinct(), f"{tag}-pairs")
     ids = staged(pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct(), f"{tag}-ids")
     some = staged(texts.join(small_or_shuffled(ids, ids.count()), "doc_id", "left_semi"), f"{tag}-texts")
     a, b = some.select(F.col("doc_id").alias("u"), F.col("text").alias("a")), some.select(F.col("doc_id").alias("v"), F.col("text").alias("b"))
     joined = pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b")
-    return staged(joined.mapInArrow(_verified_batches, "u long, v long").distinct(), f"{tag}-edges")
+    with configured(texts.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(PAIR_ROWS)}):
+        return staged(joined.mapInArrow(_verified_batches, "u long, v long").distinct(), f"{tag}-edges")
 
 
 def _ends(rows: DataFrame, turn: int) -> DataFrame:
@@ -296,7 +332,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     spark = docs.sparkSession
     texts = id_and_bytes(docs, id_col, text_col).where("doc_id is not null")
-    prints = staged(texts.mapInArrow(_print_batches, "doc_id long, fp long, n int, sketch binary"), "near-prints")
+    prints = staged(texts.mapInArrow(_print_batches, "doc_id long, fp long, n int, sketch binary, fine binary"), "near-prints")
     nodes, links = linked(prints.select("doc_id", "fp"), BITS)
     named = prints.join(nodes, "fp").select(F.col("node").alias("u"), F.col("doc_id").alias("v"))
     proposed = links.union(named.where("u <> v"))
